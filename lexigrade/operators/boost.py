@@ -2,7 +2,7 @@
 
 Trees of all classes grow together, level by level. One level is one pass over the packed rows: a task
 routes its rows through the trees known so far, adds up gradient and hessian per (class, node, feature,
-value) and emits those partial sums; Spark combines them, forms the prefix sums and picks the best split of
+value) and emits those partial sums; Spark combines them, forms the running sums and picks the best split of
 every node. Only chosen splits (classes x nodes) reach the driver. Rows carry no per-round state: the margins
 of finished rounds are written out every few rounds, so a lost executor costs at most those few.
 """
@@ -23,12 +23,14 @@ from lexigrade.functions.packed import BLOCK_CELLS, list_column, list_parts
 from lexigrade.operators.linear import argmax_class, row_normalised
 from lexigrade.session import write_stage
 
-# Gains are compared with this many digits, so that equal splits tie and the order decides.
-GAIN_DIGITS = 9
-# Ranges into which the values of one feature are cut for the prefix sums.
+# Gains are compared with nine digits, so that equal splits tie and the order decides.
+GAIN_SCALE = 1e9
+# Distinct values of one feature that a single window partition may order.
+WINDOW_VALUES = 100_000
+# Ranges into which the values of a feature with more of them are cut.
 VALUE_RANGES = 64
-# Feature id under which the totals of a node are counted.
-NODE_TOTAL = -1
+
+SUMS = ("g", "h", "n")
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,15 @@ class Node:
     value: float | None
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Gradient, hessian and row count of a node."""
+
+    g: float
+    h: float
+    n: int
+
+
 @dataclass(frozen=True)
 class BoostModel:
     classes: tuple[int, ...]
@@ -207,15 +218,50 @@ def apply_trees(vectors: DataFrame, trees: DataFrame, classes: tuple[int, ...])
 # -- growing ----------------------------------------------------------------------------------------
 
 
-def value_ranges(rows: DataFrame) -> dict[int, list[float]]:
-    """Cut points of every feature, at most ``VALUE_RANGES - 1``, from its non-zero values.
+@dataclass(frozen=True)
+class ValueStats:
+    """What the split search must know about the values: ``cuts`` is None while every feature has few of them."""
 
-    They only decide which values share a range in the prefix sums, so approximate quantiles do.
-    """
-    probabilities = [i / VALUE_RANGES for i in range(1, VALUE_RANGES)]
+    has_negative: bool
+    cuts: dict[int, np.ndarray] | None
+
+
+def value_stats(rows: DataFrame) -> ValueStats:
+    """One row per feature reaches the driver. The estimate of distinct values only chooses between two exact plans."""
     long = rows.select(F.inline(F.arrays_zip("ids", "vals")))
+    per_feature = long.groupBy("ids").agg(F.approx_count_distinct("vals").alias("distinct"), F.min("vals").alias("low"))
+    overall = per_feature.agg(F.max("distinct").alias("distinct"), F.min("low").alias("low")).first()
+    has_negative = (overall["low"] or 0.0) < 0
+    if (overall["distinct"] or 0) <= WINDOW_VALUES:
+        return ValueStats(has_negative, None)
+    probabilities = [i / VALUE_RANGES for i in range(1, VALUE_RANGES)]
     cuts = long.groupBy("ids").agg(F.percentile_approx("vals", probabilities, 1000).alias("cuts"))
-    return {r["ids"]: sorted({0.0, *r["cuts"]}) for r in cuts.collect()}
+    return ValueStats(has_negative, {r["ids"]: np.array(sorted({0.0, *r["cuts"]})) for r in cuts.collect()})
+
+
+def root_totals(rows: DataFrame, classes: tuple[int, ...], done: Sequence[Node], params: BoostParams) -> dict[tuple[int, int], Totals]:
+    """Gradient, hessian and row count of every class over all rows, token-free ones included."""
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g_sum, h_sum, n = np.zeros(len(classes)), np.zeros(len(classes)), 0
+        for part in _slices(batches, len(_used_features(done)) + 4 * len(classes)):
+            g, h = _gradients(part, classes, done, params)
+            g_sum, h_sum, n = g_sum + g.sum(0), h_sum + h.sum(0), n + part.num_rows
+        columns = [pa.array(classes, pa.int32()), pa.array(g_sum), pa.array(h_sum), pa.array([n] * len(classes), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", "g", "h", "n"])
+
+    parts = rows.select("y", "ids", "vals", "logits").mapInArrow(partial, "class int, g double, h double, n long")
+    sums = parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return {(r["class"], 0): Totals(r["g"], r["h"], r["n"]) for r in sums.collect()}
+
+
+def _gradients(part: pa.RecordBatch, classes: tuple[int, ...], done: Sequence[Node], params: BoostParams) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and hessian of the logistic loss, rows x classes."""
+    logits = list_parts(part.column("logits"))[1].reshape(part.num_rows, len(classes)).copy()
+    logits = _add_trees(logits, part, classes, done, params.learning_rate)
+    with np.errstate(over="ignore"):  # a very negative logit is a plain 0 probability
+        p = 1.0 / (1.0 + np.exp(-logits))
+    return p - (part.column("y").to_numpy()[:, None] == np.array(classes)[None, :]), p * (1.0 - p)
 
 
 _HIST_SCHEMA = "class int, node int, feature_id int, vrange int, value double, g double, h double, n long"
@@ -228,176 +274,153 @@ def node_histograms(
     open_nodes: dict[int, list[int]],
     done: Sequence[Node],
     growing: Sequence[Node],
-    cuts: dict[int, list[float]],
+    stats: ValueStats,
     params: BoostParams,
-    totals_only: bool = False,
 ) -> DataFrame:
-    """Sums ``(class, node, feature_id, vrange, value, g, h, n)`` of the open nodes.
+    """Partial sums ``(class, node, feature_id, vrange, value, g, h, n)`` of the non-zero cells of the open nodes.
 
-    ``done`` are the trees since the ``logits`` column was written, ``growing`` those of this round. Rows with
-    ``feature_id = -1`` are node totals and count token-free documents too.
+    ``done`` are the trees since the ``logits`` column was written, ``growing`` those of this round.
     """
     grown = _by_tree(growing)
     growing_features = _used_features(growing)
     round_id = max((n.round for n in growing), default=0)
-    edges = {f: np.array(c) for f, c in cuts.items()}
     n_nodes = 2 ** (depth + 1)
+    cuts = stats.cuts
+
+    def ranges(cell_ids: np.ndarray, cell_vals: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(cell_ids), dtype=np.int64)
+        if cuts is not None:
+            starts = np.flatnonzero(np.diff(cell_ids, prepend=-1))
+            for start, end in zip(starts, [*starts[1:], len(cell_ids)]):
+                out[start:end] = np.searchsorted(cuts[cell_ids[start]], cell_vals[start:end], side="right")
+        return out
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches, len(_used_features(done)) + len(growing_features) + 2 * len(classes)):
-            y = part.column("y").to_numpy()
-            logits = list_parts(part.column("logits"))[1].reshape(part.num_rows, len(classes)).copy()
-            logits = _add_trees(logits, part, classes, done, params.learning_rate)
+        for part in _slices(batches, len(_used_features(done)) + len(growing_features) + 4 * len(classes)):
+            g, h = _gradients(part, classes, done, params)
             dense = _columns_of(part, growing_features)
             lengths, ids = list_parts(part.column("ids"))
             _, vals = list_parts(part.column("vals"))
             row = np.repeat(np.arange(part.num_rows), lengths)
-            # Cells of this batch: one code per distinct (feature, value).
+            filled = vals != 0
+            ids, vals, row = ids[filled], vals[filled], row[filled]
+            # One code per distinct (feature, value) of this batch.
             order = np.lexsort((vals, ids))
-            sorted_ids, sorted_vals = ids[order], vals[order]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (sorted_ids[1:] != sorted_ids[:-1]) | (sorted_vals[1:] != sorted_vals[:-1])
-            code = np.empty(len(order), dtype=np.int64)
-            code[order] = np.cumsum(fresh) - 1
-            cell_ids, cell_vals = sorted_ids[fresh], sorted_vals[fresh]
-            n_cells = len(cell_ids)
-            cell_ranges = np.zeros(n_cells, dtype=np.int64)
-            starts = np.flatnonzero(np.diff(cell_ids, prepend=-1))
-            for start, end in zip(starts, [*starts[1:], n_cells]):
-                cell_ranges[start:end] = np.searchsorted(edges[cell_ids[start]], cell_vals[start:end], side="right")
+            ids, vals, row = ids[order], vals[order], row[order]
+            fresh = np.ones(len(ids), bool)
+            fresh[1:] = (ids[1:] != ids[:-1]) | (vals[1:] != vals[:-1])
+            code = np.cumsum(fresh) - 1
+            cell_ids, cell_vals = ids[fresh], vals[fresh]
+            cell_ranges = ranges(cell_ids, cell_vals)
+            n_cells = max(1, len(cell_ids))
             out = []
             for k, target in enumerate(classes):
-                nodes = open_nodes.get(target)
-                if not nodes:
-                    continue
-                # The gradient of the logistic loss; exp overflow of a very negative logit is a plain 0 probability.
-                with np.errstate(over="ignore"):
-                    p = 1.0 / (1.0 + np.exp(-logits[:, k]))
-                g, h = p - (y == target), p * (1.0 - p)
-                at = _route(dense, growing_features, grown.get((round_id, target), {}), depth)
+                nodes = np.array(open_nodes.get(target, []), dtype=np.int64)
                 slot = np.full(n_nodes, -1, dtype=np.int64)
                 slot[nodes] = np.arange(len(nodes))
-                where = slot[at]
-                live = where >= 0
-                sizes = np.bincount(where[live], minlength=len(nodes))
-                totals_g = np.bincount(where[live], g[live], len(nodes))
-                totals_h = np.bincount(where[live], h[live], len(nodes))
-                blank = np.zeros(len(nodes))
-                out.append((target, np.array(nodes), blank + NODE_TOTAL, blank, blank, totals_g, totals_h, sizes))
-                if totals_only:
-                    continue
-                cell_live = live[row]
-                key = where[row[cell_live]] * n_cells + code[cell_live]
-                size = len(nodes) * n_cells
-                n = np.bincount(key, minlength=size)
+                where = slot[_route(dense, growing_features, grown.get((round_id, target), {}), depth)]
+                live = where[row] >= 0
+                mine = row[live]
+                key = where[mine] * n_cells + code[live]
+                n = np.bincount(key, minlength=len(nodes) * n_cells)
                 hit = np.flatnonzero(n)
-                gs = np.bincount(key, g[row[cell_live]], size)[hit]
-                hs = np.bincount(key, h[row[cell_live]], size)[hit]
-                node_of, cell = np.array(nodes)[hit // max(1, n_cells)], hit % max(1, n_cells)
-                out.append((target, node_of, cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, n[hit]))
-            if not out:
-                continue
-            merged = [np.concatenate([np.full(len(o[1]), o[0]) for o in out])]
-            merged += [np.concatenate([o[i] for o in out]) for i in range(1, 8)]
+                gs, hs = (np.bincount(key, x[mine, k], len(n))[hit] for x in (g, h))
+                cell = hit % n_cells
+                out.append((np.full(len(hit), target), nodes[hit // n_cells], cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, n[hit]))
             kinds = (np.int32, np.int32, np.int32, np.int32, np.float64, np.float64, np.float64, np.int64)
-            columns = [pa.array(column.astype(kind)) for column, kind in zip(merged, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "node", "feature_id", "vrange", "value", "g", "h", "n"])
+            columns = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(zip(*out), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "node", "feature_id", "vrange", "value", *SUMS])
 
-    parts = rows.select("y", "ids", "vals", "logits").mapInArrow(partial, _HIST_SCHEMA)
-    sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
-    return parts.groupBy("class", "node", "feature_id", "vrange", "value").agg(*sums)
+    return rows.select("y", "ids", "vals", "logits").mapInArrow(partial, _HIST_SCHEMA)
 
 
-def split_candidates(hist: DataFrame, totals: dict[tuple[int, int], tuple[float, float, int]], zero_range: dict[int, int], params: BoostParams) -> DataFrame:
-    """``(class, node, feature_id, threshold, gain, n_left)`` for every non-empty split ``value < threshold``.
+def split_candidates(hist: DataFrame, totals: dict[tuple[int, int], Totals], stats: ValueStats, params: BoostParams) -> DataFrame:
+    """``(class, node, feature_id, threshold, gain, g_left, h_left, n_left)`` of every non-empty split ``value < threshold``.
 
-    The zero bucket of a feature is the node total minus its non-zero cells and enters as a cell of value 0.
-    Prefix sums run in two steps, over the ranges of a feature and then inside each range, so a feature with
-    very many distinct values is spread over tasks.
+    Zero cells are implicit. Above zero the left side is the node total minus the cells from the threshold
+    upwards; below zero it is the sum of the cells under it. Both are running sums from the outermost value
+    towards zero, so the zero bucket is never needed as a row.
     """
     key = ["class", "node", "feature_id"]
-    spark = hist.sparkSession
+    sums = [F.sum(c).alias(c) for c in SUMS]
+    positive = F.col("value") > 0
+    if stats.cuts is None:
+        # Few values per feature: one exchange on the feature serves the sums and the window.
+        cells = hist.repartition(*key).groupBy(*key, "value").agg(*sums)
+        outward = Window.partitionBy(*key, "positive").orderBy(F.desc(F.abs("value")))
+        cells = cells.withColumn("positive", positive)
+        running = cells.select("*", *[F.sum(c).over(outward.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_run") for c in SUMS])
+    else:
+        # Many values: cells are combined before the shuffle, then summed over ranges and inside each range.
+        cells = hist.groupBy(*key, "vrange", "value").agg(*sums).withColumn("positive", positive)
+        outer = F.when(F.col("positive"), -F.col("vrange")).otherwise(F.col("vrange"))
+        before = Window.partitionBy(*key, "positive").orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = cells.groupBy(*key, "positive", "vrange").agg(*sums)
+        offsets = offsets.select(*key, "positive", "vrange", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in SUMS])
+        inside = Window.partitionBy(*key, "positive", "vrange").orderBy(F.desc(F.abs("value")))
+        running = cells.select("*", *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_run") for c in SUMS])
+        running = running.join(offsets, [*key, "positive", "vrange"])
+        running = running.select(*key, "value", "positive", *SUMS, *[(F.col(f"{c}_before") + F.col(f"{c}_run")).alias(f"{c}_run") for c in SUMS])
+
     # One row per open node: classes x nodes, never more than the model.
-    node_rows = [(c, n, g, h, m) for (c, n), (g, h, m) in totals.items()]
-    node_totals = F.broadcast(spark.createDataFrame(node_rows, "class int, node int, g_all double, h_all double, n_all long"))
-    zero_rows = F.broadcast(spark.createDataFrame(sorted(zero_range.items()), "feature_id int, vrange int"))
-
-    cells = hist.where(F.col("feature_id") != NODE_TOTAL)
-    sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
-    zeros = (
-        cells.groupBy(*key)
-        .agg(*sums)
-        .join(node_totals, ["class", "node"])
-        .where(F.col("n") < F.col("n_all"))
-        .join(zero_rows, "feature_id")
-        .select(*key, "vrange", F.lit(0.0).alias("value"), *[(F.col(f"{c}_all") - F.col(c)).alias(c) for c in ("g", "h", "n")])
-    )
-    # A stored zero joins the bucket.
-    cells = cells.unionByName(zeros).groupBy(*key, "vrange", "value").agg(*sums)
-    before = Window.partitionBy(*key).orderBy("vrange").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = cells.groupBy(*key, "vrange").agg(*sums)
-    offsets = ranges.select(*key, "vrange", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("g", "h", "n")])
-    inside = Window.partitionBy(*key, "vrange").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    running = cells.select(*key, "vrange", "value", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}1") for c in ("g", "h", "n")])
-    left = running.join(offsets, [*key, "vrange"]).select(
-        *key, F.col("value").alias("threshold"), *[(F.col(f"{c}0") + F.col(f"{c}1")).alias(f"{c}_left") for c in ("g", "h", "n")]
-    )
+    node_rows = [(c, n, t.g, t.h, t.n) for (c, n), t in totals.items()]
+    schema = "class int, node int, g_all double, h_all double, n_all long"
+    node_totals = F.broadcast(hist.sparkSession.createDataFrame(node_rows, schema))
+    known = running.join(node_totals, ["class", "node"])
+    sides = [
+        F.when(F.col("positive"), F.col(f"{c}_all") - F.col(f"{c}_run")).otherwise(F.col(f"{c}_run") - F.col(c)).alias(f"{c}_left")
+        for c in SUMS
+    ]
+    left = known.select(*key, F.col("value").alias("threshold"), *[f"{c}_all" for c in SUMS], *sides)
+    if stats.has_negative:
+        # Zero itself is a threshold where a feature has negative cells and empty ones.
+        below = cells.groupBy(*key).agg(
+            *[F.sum(F.when(F.col("value") < 0, F.col(c)).otherwise(0)).alias(f"{c}_left") for c in SUMS], F.sum("n").alias("filled")
+        )
+        at_zero = below.join(node_totals, ["class", "node"]).where("filled < n_all").withColumn("threshold", F.lit(0.0))
+        left = left.unionByName(at_zero.select(*left.columns))
     gain = split_gain(F.col("g_all"), F.col("h_all"), F.col("g_left"), F.col("h_left"), params.reg_lambda, params.gamma)
-    return (
-        left.where("n_left > 0")
-        .join(node_totals, ["class", "node"])
-        .select(*key, "threshold", gain.alias("gain"), "n_left")
-    )
+    return left.where("n_left > 0").select(*key, "threshold", gain.alias("gain"), *[f"{c}_left" for c in SUMS])
 
 
 def best_splits(candidates: DataFrame) -> DataFrame:
-    """``(class, node, feature_id, threshold, gain)``: largest gain, then lowest feature, then lowest threshold.
+    """The candidate of every node with the largest gain, then the lowest feature, then the lowest threshold.
 
     A plain minimum over an ordering struct: it combines before the shuffle, whatever the number of candidates.
     """
-    order = F.struct((-F.round("gain", GAIN_DIGITS)).alias("loss"), "feature_id", "threshold", "gain")
+    rest = ("feature_id", "threshold", "gain", "g_left", "h_left", "n_left")
+    order = F.struct((-F.rint(F.col("gain") * GAIN_SCALE)).alias("loss"), *rest)
     best = candidates.groupBy("class", "node").agg(F.min(order).alias("best"))
-    return best.select("class", "node", "best.feature_id", "best.threshold", "best.gain")
-
-
-def _zero_ranges(cuts: dict[int, list[float]]) -> dict[int, int]:
-    return {f: int(np.searchsorted(np.array(c), 0.0, side="right")) for f, c in cuts.items()}
+    return best.select("class", "node", *[f"best.{c}" for c in rest])
 
 
 def _grow_round(
-    rows: DataFrame, classes: tuple[int, ...], round_id: int, done: Sequence[Node], cuts: dict[int, list[float]], params: BoostParams
+    rows: DataFrame, classes: tuple[int, ...], round_id: int, done: Sequence[Node], stats: ValueStats, params: BoostParams
 ) -> list[Node]:
-    """One tree per class, all of them level by level."""
-    zero_range = _zero_ranges(cuts)
+    """One tree per class, all of them level by level; the sums of a child follow from the chosen split."""
     nodes: list[Node] = []
-    open_nodes = {c: [0] for c in classes}
+    level = root_totals(rows, classes, done, params)
     for depth in range(params.max_depth + 1):
-        if not open_nodes:
-            break
-        last = depth == params.max_depth
-        hist = node_histograms(rows, classes, depth, open_nodes, done, nodes, cuts, params, totals_only=last)
-        if not last:
-            # Totals and splits both read the histogram; the partial sums are taken once.
-            hist = hist.persist()
-        totals = {
-            (r["class"], r["node"]): (r["g"], r["h"], r["n"]) for r in hist.where(F.col("feature_id") == NODE_TOTAL).collect()
-        }
+        open_nodes = {k: t for k, t in level.items() if depth < params.max_depth and t.n >= params.min_samples_split}
         splits = {}
-        large = {k: v for k, v in totals.items() if v[2] >= params.min_samples_split}
-        if not last and large and zero_range:
-            best = best_splits(split_candidates(hist, large, zero_range, params))
+        if open_nodes:
+            by_class: dict[int, list[int]] = {}
+            for target, node_id in sorted(open_nodes):
+                by_class.setdefault(target, []).append(node_id)
+            hist = node_histograms(rows, classes, depth, by_class, done, nodes, stats, params)
+            best = best_splits(split_candidates(hist, open_nodes, stats, params))
             splits = {(r["class"], r["node"]): r for r in best.collect() if r["gain"] > params.min_impurity_decrease}
-        if not last:
-            hist.unpersist()
-        following: dict[int, list[int]] = {}
-        for (target, node_id), (g, h, _) in sorted(totals.items()):
+        following: dict[tuple[int, int], Totals] = {}
+        for (target, node_id), t in sorted(level.items()):
             split = splits.get((target, node_id))
             if split is None:
-                nodes.append(Node(target, round_id, node_id, None, None, -g / (h + params.reg_lambda)))
-            else:
-                nodes.append(Node(target, round_id, node_id, split["feature_id"], split["threshold"], None))
-                following.setdefault(target, []).extend((2 * node_id + 1, 2 * node_id + 2))
-        open_nodes = following
+                nodes.append(Node(target, round_id, node_id, None, None, -t.g / (t.h + params.reg_lambda)))
+                continue
+            nodes.append(Node(target, round_id, node_id, split["feature_id"], split["threshold"], None))
+            left = Totals(split["g_left"], split["h_left"], split["n_left"])
+            following[(target, 2 * node_id + 1)] = left
+            following[(target, 2 * node_id + 2)] = Totals(t.g - left.g, t.h - left.h, t.n - left.n)
+        level = following
     return nodes
 
 
@@ -413,12 +436,12 @@ def build_trees(rows: DataFrame, classes: tuple[int, ...], params: BoostParams)
 
 def boost_ovr_fit(rows: DataFrame, classes: tuple[int, ...], params: BoostParams = BoostParams()) -> BoostModel:
     """One booster per class from rows ``(y, ids, vals)``."""
-    cuts = value_ranges(rows)
+    stats = value_stats(rows)
     state = with_logits(rows.select("y", "ids", "vals"), classes, params)
     nodes: list[Node] = []
     pending: list[Node] = []
     for round_id in range(params.n_estimators):
-        grown = _grow_round(state, classes, round_id, pending, cuts, params)
+        grown = _grow_round(state, classes, round_id, pending, stats, params)
         nodes += grown
         pending += grown
         if (round_id + 1) % params.write_every == 0 and round_id + 1 < params.n_estimators:

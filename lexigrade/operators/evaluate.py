@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrade.functions.numeric import f1, ratio, rounded4
+from lexigrade.functions.numeric import REPORT_SCALE, f1, ratio, rounded4
 
 METRICS = ("precision", "recall", "f1")
 
@@ -67,8 +67,12 @@ def micro_avg(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def macro_avg(per_class: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Mean of the rounded class values, rounded again."""
-    return _rounded(per_class.groupBy(*by).agg(*[F.avg(m).alias(m) for m in METRICS]), by)
+    """Mean of the rounded class values, rounded again.
+
+    The four-digit values are added as whole numbers: the sum is exact in any order, so a tie is a tie.
+    """
+    means = [F.rint(F.sum(F.rint(F.col(m) * REPORT_SCALE)) / F.count(F.lit(1))) / REPORT_SCALE for m in METRICS]
+    return per_class.groupBy(*by).agg(*[mean.alias(m) for mean, m in zip(means, METRICS)])
 
 
 def metrics_matrix(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -30,6 +30,8 @@ CURVE_EVERY = 100
 CELLS = ("tp", "fp", "fn", "tn")
 # Cells of the dense block of one chained mini-batch job.
 CHAIN_CELLS = 32_000_000
+# Cells of all partial gradients that the driver may add up itself.
+DRIVER_CELLS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -73,11 +75,11 @@ def _targets(y: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (y[:, None] == classes[None, :]).astype(float)
 
 
-def gradient(rows: DataFrame, model: LinearModel) -> DataFrame:
-    """``(class, feature_id, g)``: summed gradient of all rows; ``feature_id = -1`` is the bias.
+def gradient_parts(rows: DataFrame, model: LinearModel) -> DataFrame:
+    """``(class, g)``: the gradient of each task's rows, one array per class with the bias at its end.
 
-    Each task adds its rows into one classes x features matrix and emits that once, so the shuffle carries
-    tasks x model size, not rows.
+    A task adds its rows into one classes x features matrix and emits that once, so what moves is tasks x
+    model size, not rows.
     """
     weights, bias, classes = np.ascontiguousarray(model.weights.T), model.bias, np.array(model.classes)
     width = model.n_features
@@ -90,18 +92,29 @@ def gradient(rows: DataFrame, model: LinearModel) -> DataFrame:
             total[:, width] += error.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int32()), list_column(total)], names=["class", "g"])
 
-    parts = rows.select("y", "ids", "vals").mapInArrow(partial, "class int, g array<double>")
-    cells = parts.select("class", F.posexplode("g").alias("feature_id", "g"))
+    return rows.select("y", "ids", "vals").mapInArrow(partial, "class int, g array<double>")
+
+
+def gradient(rows: DataFrame, model: LinearModel) -> DataFrame:
+    """``(class, feature_id, g)``: summed gradient of all rows; ``feature_id = -1`` is the bias."""
+    cells = gradient_parts(rows, model).select("class", F.posexplode("g").alias("feature_id", "g"))
     summed = cells.groupBy("class", "feature_id").agg(F.sum("g").alias("g"))
-    return summed.withColumn("feature_id", F.when(F.col("feature_id") == width, -1).otherwise(F.col("feature_id")))
+    return summed.withColumn("feature_id", F.when(F.col("feature_id") == model.n_features, -1).otherwise(F.col("feature_id")))
 
 
-def _gradient_matrix(rows: DataFrame, model: LinearModel) -> np.ndarray:
-    """The summed gradient, model sized, on the driver; the last column is the bias."""
+def _gradient_matrix(rows: DataFrame, model: LinearModel, partitions: int) -> np.ndarray:
+    """The summed gradient, model sized, on the driver; the last column is the bias.
+
+    A few small parts are added here; many are added by Spark first.
+    """
     out = np.zeros((len(model.classes), model.n_features + 1))
     at = {c: i for i, c in enumerate(model.classes)}
-    for r in gradient(rows, model).collect():
-        out[at[r["class"]], r["feature_id"]] = r["g"]
+    if partitions * out.size <= DRIVER_CELLS:
+        for r in gradient_parts(rows, model).collect():
+            out[at[r["class"]]] += r["g"]
+    else:
+        for r in gradient(rows, model).collect():
+            out[at[r["class"]], r["feature_id"]] = r["g"]
     return out
 
 
@@ -148,13 +161,16 @@ def lr_fit_batch(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[i
 
 def _fit_full(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
     run = _start(classes, n_features)
+    rows = rows.select("y", "ids", "vals").persist()
+    partitions = rows.rdd.getNumPartitions()
     for iteration in range(1, params.n_iter + 1):
         if not run.active.any():
             break
-        g = _gradient_matrix(rows, LinearModel(classes, run.w, run.b)) / n_rows
+        g = _gradient_matrix(rows, LinearModel(classes, run.w, run.b), partitions) / n_rows
         dw, db = g[:, :-1] + params.alpha / n_rows * np.sign(run.w), g[:, -1]
         run.step(dw, db, params.lr)
         run.close_iteration(iteration, np.linalg.norm(dw, axis=1), np.abs(db), params.tolerance)
+    rows.unpersist()
     return run.result()
 
 

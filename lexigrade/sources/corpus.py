@@ -35,9 +35,9 @@ def read_corpus(spark: SparkSession, paths: Mapping[str, str], id_column: str =
     return corpus
 
 
-def read_level(spark: SparkSession, base: str, level: str, id_column: str = "doc_id") -> DataFrame:
-    """A label level stored as ``base/level/split``; a split folder or file both work."""
-    return read_corpus(spark, {split: f"{base}/{level}/{split}*" for split in SPLITS}, id_column)
+def read_level(spark: SparkSession, base: str, level: str) -> DataFrame:
+    """A label level stored by ``write_level``; a filter on ``split`` reads only that folder."""
+    return spark.read.parquet(f"{base}/{level}").select("doc_id", "text", "label", "split")
 
 
 def select_level(docs: DataFrame, level: str) -> DataFrame:
@@ -53,9 +53,9 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return docs.join(firsts, "doc_id", "left_semi")
 
 
-def write_corpus(docs: DataFrame, path: str) -> None:
-    """Store a corpus so that a split is read by partition pruning."""
-    docs.write.mode("overwrite").partitionBy("split").parquet(path)
+def write_level(docs: DataFrame, base: str, level: str) -> None:
+    """Store ``(doc_id, text, label)`` of one level as ``base/level/split=...``."""
+    docs.select("doc_id", "text", "label", "split").write.mode("overwrite").partitionBy("split").parquet(f"{base}/{level}")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
