@@ -161,7 +161,7 @@ def q_term_counts(spark, sf):
 
 def q_fit_vocab(spark, sf):
     params = FeatureParams(TOP_WORDS, SKIP_TOP, SKIP_RARE)
-    return vectorize.fit_vocab(vectorize.term_counts(_train(spark, sf)), params.max_terms).select("term", "term_id", "tf")
+    return vectorize.fit_vocab(_train(spark, sf), params.max_terms).select("term", "term_id", "tf")
 
 
 def q_doc_freq(spark, sf):
@@ -171,7 +171,7 @@ def q_doc_freq(spark, sf):
 def q_corpus_vocabulary(spark, sf):
     """Terms of the train split with counts and idf."""
     train = _train(spark, sf)
-    terms = vectorize.corpus_terms(vectorize.term_counts(train))
+    terms = vectorize.corpus_terms(train)
     return terms.select("term", "tf", "df", r6("idf", vectorize.smooth_idf(F.col("df"), train.count())))
 
 
@@ -486,6 +486,23 @@ def q_apply_tree(spark, sf):
     return applied.select("doc_id", "class", r6("value"))
 
 
+def q_best_split_dense(spark, sf):
+    """Root splits on the embedding table: dense features of any sign, all values distinct."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = vectors.select(
+        F.col("label").alias("y"),
+        F.sequence(F.lit(0), F.size("embedding") - 1).alias("ids"),
+        F.col("embedding").cast("array<double>").alias("vals"),
+    )
+    classes = tuple(r["y"] for r in labels.distinct_classes(rows).collect())
+    stats = boost.value_stats(rows)
+    state = boost.with_logits(rows, classes, TREE)
+    totals = boost.root_totals(state, classes, (), TREE)
+    hist = boost.node_histograms(state, classes, 0, {c: [0] for c in classes}, (), (), stats, TREE)
+    best = boost.best_splits(boost.split_candidates(hist, totals, stats, TREE))
+    return best.select("class", "feature_id", r6("threshold"), r6("gain"), "n_left")
+
+
 def q_boost_fit(spark, sf):
     """One booster: the labelled documents of good quality against the rest."""
     data = level_data(spark, sf, "quality")

@@ -411,6 +411,18 @@ def oracle_sql() -> dict[str, str]:
         "grad_hess": statement("SELECT doc_id, class, round(p - target, 6) AS g, round(p * (1.0 - p), 6) AS h FROM pp1", "pp1"),
         "split_gain": statement("SELECT class, feature_id, threshold, round(gain, 6) AS gain, CAST(n_left AS BIGINT) AS n_left FROM cand0", "cand0"),
         "best_split": statement("SELECT class, feature_id, threshold, round(gain, 6) AS gain FROM best0", "best0"),
+        "best_split_dense": f"""WITH v AS (SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS feature_id,
+                CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings),
+            k AS (SELECT DISTINCT label AS class FROM embeddings),
+            cells AS (SELECT class, feature_id, value, sum(0.5 - CAST(label = class AS INTEGER)) AS g, sum(0.25) AS h, count(*) AS n
+                FROM v, k GROUP BY class, feature_id, value),
+            run AS (SELECT class, feature_id, value AS threshold, sum(g) OVER w - g AS gl, sum(h) OVER w - h AS hl, sum(n) OVER w - n AS n_left,
+                sum(g) OVER (PARTITION BY class, feature_id) AS ga, sum(h) OVER (PARTITION BY class, feature_id) AS ha
+                FROM cells WINDOW w AS (PARTITION BY class, feature_id ORDER BY value ROWS UNBOUNDED PRECEDING)),
+            cand AS (SELECT *, 0.5 * (gl * gl / (hl + {LAMBDA}) + (ga - gl) * (ga - gl) / (ha - hl + {LAMBDA}) - ga * ga / (ha + {LAMBDA})) - {GAMMA} AS gain
+                FROM run WHERE n_left > 0)
+            SELECT class, feature_id, round(threshold, 6) AS threshold, round(gain, 6) AS gain, CAST(n_left AS BIGINT) AS n_left FROM cand
+            QUALIFY row_number() OVER (PARTITION BY class ORDER BY round(gain, 9) DESC, feature_id, threshold) = 1""",
         "leaf_value": statement(
             f"""SELECT class, feature_id, threshold, round(-g_left / (h_left + {LAMBDA}), 6) AS left_value,
                 round(-(ga - g_left) / (ha - h_left + {LAMBDA}), 6) AS right_value FROM cand0""",

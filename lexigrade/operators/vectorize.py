@@ -1,7 +1,8 @@
 """Term counts, vocabulary, TF-IDF weights and packed document vectors.
 
-A document is partitioned by its id once (``repartition``); counting, weighting and packing then all
-group by that id and need no further shuffle. A corpus bucketed by ``doc_id`` saves even that one.
+The vocabulary is counted straight from the texts: only partial term totals are shuffled. For the vectors a
+document is partitioned by its id once (``repartition``); counting, weighting and packing then all group by
+that id and need no further shuffle. A corpus bucketed by ``doc_id`` saves even that one.
 """
 
 from __future__ import annotations
@@ -34,21 +35,36 @@ def doc_freq(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def corpus_terms(counts: DataFrame) -> DataFrame:
-    """``(term, tf, df)`` over the counted documents."""
-    return counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+def corpus_terms(docs: DataFrame) -> DataFrame:
+    """``(term, tf, df)``: occurrences and documents of every term.
+
+    Every token counts once for ``tf``; every distinct token of a text counts once for ``df``. Nothing is
+    grouped by document, so the shuffle carries term totals of tasks, not documents.
+    """
+    spark = docs.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    # A few large files would leave cores idle.
+    texts = docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+    tokens = texts.select(word_tokens(F.col("text")).alias("tokens"))
+
+    def counted(terms: Column, tf: int, df: int) -> Column:
+        return F.struct(terms.alias("terms"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
+
+    kinds = F.array(counted(F.col("tokens"), 1, 0), counted(F.array_distinct("tokens"), 0, 1))
+    terms = tokens.select(F.explode(kinds).alias("k")).select(F.explode("k.terms").alias("term"), "k.tf", "k.df")
+    return terms.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def smooth_idf(df: Column, n_docs: int) -> Column:
     return F.ln((1.0 + F.lit(n_docs)) / (1.0 + df)) + 1.0
 
 
-def fit_vocab(train_counts: DataFrame, max_terms: int) -> DataFrame:
+def fit_vocab(train: DataFrame, max_terms: int) -> DataFrame:
     """The ``max_terms`` most counted terms of the train split with alphabetical ids.
 
     At most ``max_terms`` rows remain before the unpartitioned window.
     """
-    top = corpus_terms(train_counts).orderBy(F.desc("tf"), "term").limit(max_terms)
+    top = corpus_terms(train).orderBy(F.desc("tf"), "term").limit(max_terms)
     return top.withColumn("term_id", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 

@@ -64,7 +64,7 @@ def fit_feature_space(docs: DataFrame, params: FeatureParams) -> FeatureSpace:
     """Fit on the train rows of ``(doc_id, text, split)``; the fitted table has at most ``max_terms`` rows."""
     train = docs.where(F.col("split") == "train")
     n_train = train.count()
-    vocab = V.fit_vocab(V.term_counts(train), params.max_terms)
+    vocab = V.fit_vocab(train, params.max_terms)
     vocab = vocab.withColumn("idf", V.smooth_idf(F.col("df"), n_train))
     if params.representation == "bow":
         terms = write_stage(V.rank_terms(vocab.withColumn("weight", F.col("tf").cast("double")), params.skip_top_words, params.vocab_size, params.max_terms), "terms")
