@@ -278,17 +278,6 @@ cte(
 )
 cte("bp", f"SELECT doc_id, class, 1.0 / (1.0 + exp(-{RATE} * value)) AS p FROM leaf_of", "leaf_of")
 
-# Evaluation of a fixed guess.
-cte("guess", "SELECT split, y, CAST((doc_id * 7 + n_chars) % 5 AS INTEGER) AS prediction, count(*) AS n FROM lab_lang GROUP BY ALL", "lab_lang")
-cte(
-    "counts",
-    """SELECT t.split, t.class, t.tp, coalesce(f.n, 0) - t.tp AS fp, t.n - t.tp AS fn
-    FROM (SELECT split, y AS class, CAST(sum(n) AS BIGINT) AS n, CAST(coalesce(sum(n) FILTER (y = prediction), 0) AS BIGINT) AS tp FROM guess GROUP BY split, y) t
-    LEFT JOIN (SELECT split, prediction AS class, CAST(sum(n) AS BIGINT) AS n FROM guess GROUP BY split, prediction) f USING (split, class)""",
-    "guess",
-)
-
-
 def prf(tp: str, fp: str, fn: str) -> str:
     """Select list of precision, recall and f1, not rounded."""
     p = f"CASE WHEN {tp} + {fp} > 0 THEN {tp} / CAST({tp} + {fp} AS DOUBLE) ELSE 0.0 END"
@@ -298,23 +287,49 @@ def prf(tp: str, fp: str, fn: str) -> str:
 
 F1 = "CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END"
 ROUNDED = f"round_even(p, 4) AS precision, round_even(r, 4) AS recall, round_even({F1}, 4) AS f1"
-cte("prf_class", f"SELECT split, class, {ROUNDED} FROM (SELECT split, class, {prf('tp', 'fp', 'fn')} FROM counts)", "counts")
-cte(
-    "prf_micro",
-    f"SELECT split, {ROUNDED} FROM (SELECT split, {prf('tp', 'fp', 'fn')} FROM (SELECT split, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM counts GROUP BY split))",
-    "counts",
-)
-cte(
-    "prf_macro",
-    "SELECT split, "
-    + ", ".join(f"round_even(sum(round({m} * 10000)) / count(*), 0) / 10000 AS {m}" for m in ("precision", "recall", "f1"))
-    + " FROM prf_class GROUP BY split",
-    "prf_class",
-)
-cte("acc", "SELECT split, sum(n) FILTER (y = prediction) / CAST(sum(n) AS DOUBLE) AS accuracy FROM guess GROUP BY split", "guess")
+def evaluation(tag: str, source: str, *needs: str) -> None:
+    """Reports of a guess; ``source`` gives ``split, y, prediction, n``."""
+    cte(f"guess{tag}", source, *needs)
+    cte(
+        f"counts{tag}",
+        f"""SELECT t.split, t.class, t.tp, coalesce(f.n, 0) - t.tp AS fp, t.n - t.tp AS fn
+        FROM (SELECT split, y AS class, CAST(sum(n) AS BIGINT) AS n, CAST(coalesce(sum(n) FILTER (y = prediction), 0) AS BIGINT) AS tp FROM guess{tag} GROUP BY split, y) t
+        LEFT JOIN (SELECT split, prediction AS class, CAST(sum(n) AS BIGINT) AS n FROM guess{tag} GROUP BY split, prediction) f USING (split, class)""",
+        f"guess{tag}",
+    )
+    counts = f"counts{tag}"
+    cte(f"prf_class{tag}", f"SELECT split, class, {ROUNDED} FROM (SELECT split, class, {prf('tp', 'fp', 'fn')} FROM {counts})", counts)
+    sums = f"SELECT split, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM {counts} GROUP BY split"
+    cte(f"prf_micro{tag}", f"SELECT split, {ROUNDED} FROM (SELECT split, {prf('tp', 'fp', 'fn')} FROM ({sums}))", counts)
+    means = ", ".join(f"round_even(sum(round({m} * 10000)) / count(*), 0) / 10000 AS {m}" for m in ("precision", "recall", "f1"))
+    cte(f"prf_macro{tag}", f"SELECT split, {means} FROM prf_class{tag} GROUP BY split", f"prf_class{tag}")
+    cte(f"acc{tag}", f"SELECT split, sum(n) FILTER (y = prediction) / CAST(sum(n) AS DOUBLE) AS accuracy FROM guess{tag} GROUP BY split", f"guess{tag}")
+
+
+def summary(tag: str, model: str) -> str:
+    averages = ", ".join(f"{t}.{m} AS {name}_{m}" for t, name in (("i", "micro"), ("a", "macro")) for m in ("precision", "recall", "f1"))
+    return statement(
+        f"""SELECT '{model}' AS model, split, round(accuracy, 6) AS accuracy, {averages}
+        FROM acc{tag} JOIN prf_micro{tag} i USING (split) JOIN prf_macro{tag} a USING (split)""",
+        f"acc{tag}",
+        f"prf_micro{tag}",
+        f"prf_macro{tag}",
+    )
+
+
 MATRIX = """SELECT split, 'Class ' || class AS category, precision, recall, f1 FROM prf_class
 UNION ALL SELECT split, 'Micro-Average', precision, recall, f1 FROM prf_micro
 UNION ALL SELECT split, 'Macro-Average', precision, recall, f1 FROM prf_macro"""
+ARGMAX = "SELECT doc_id, class AS prediction FROM {rows} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {key} DESC, class) = 1"
+
+# A fixed guess over five classes, and the predictions after one step.
+evaluation("", "SELECT split, y, CAST((doc_id * 7 + n_chars) % 5 AS INTEGER) AS prediction, count(*) AS n FROM lab_lang GROUP BY ALL", "lab_lang")
+evaluation(
+    "_step",
+    f"SELECT split, y, prediction, count(*) AS n FROM ({ARGMAX.format(rows='pp1', key='p')}) JOIN rows0 USING (doc_id) GROUP BY ALL",
+    "pp1",
+    "rows0",
+)
 
 
 def binary(source: str, by: str) -> str:
@@ -336,9 +351,6 @@ def binary(source: str, by: str) -> str:
     return f"SELECT {by}, tp + fp + fn + tn AS n, round((tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE), 6) AS accuracy, {', '.join(columns)} FROM ({third})"
 
 
-ARGMAX = "SELECT doc_id, class AS prediction FROM {rows} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {key} DESC, class) = 1"
-
-
 def oracle_sql() -> dict[str, str]:
     both = lambda body: " UNION ALL ".join(body.replace("{rep}", r) for r in ("bow", "tfidf"))
     out = {
@@ -440,14 +452,13 @@ def oracle_sql() -> dict[str, str]:
         "micro_avg": statement("SELECT * FROM prf_micro", "prf_micro"),
         "macro_avg": statement("SELECT * FROM prf_macro", "prf_macro"),
         "metrics_matrix": statement(MATRIX, "prf_class", "prf_micro", "prf_macro"),
-        "summary": statement(
-            """SELECT 'guess' AS model, split, round(accuracy, 6) AS accuracy,
-                i.precision AS micro_precision, i.recall AS micro_recall, i.f1 AS micro_f1,
-                a.precision AS macro_precision, a.recall AS macro_recall, a.f1 AS macro_f1
-            FROM acc JOIN prf_micro i USING (split) JOIN prf_macro a USING (split)""",
-            "acc",
-            "prf_micro",
-            "prf_macro",
+        "summary": summary("", "guess"),
+        "lr_run": summary("_step", "Multi-Class Logistic Regression"),
+        "lr_stop_batch": statement(
+            """SELECT class, CASE WHEN sqrt(sum(w * w)) / 0.01 < 2.4 AND abs(any_value(b)) / 0.01 < 2.4 THEN 1 ELSE 2 END AS iterations
+            FROM w1 JOIN b1 USING (class) GROUP BY class""",
+            "w1",
+            "b1",
         ),
         "fit_predict_splits": statement(f"SELECT doc_id, split, y, prediction FROM ({ARGMAX.format(rows='pp1', key='p')}) JOIN rows0 USING (doc_id)", "pp1", "rows0"),
     }

@@ -11,10 +11,6 @@ import pyarrow as pa
 BLOCK_CELLS = 4_000_000
 
 
-def as_batches(data: Iterable[pa.RecordBatch] | pa.Table) -> Iterable[pa.RecordBatch]:
-    return data.to_batches() if isinstance(data, pa.Table) else data
-
-
 def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row lengths and flat values of a list column."""
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)

@@ -322,11 +322,10 @@ def node_histograms(
                 live = where[row] >= 0
                 mine = row[live]
                 key = where[mine] * n_cells + code[live]
-                n = np.bincount(key, minlength=len(nodes) * n_cells)
-                hit = np.flatnonzero(n)
-                gs, hs = (np.bincount(key, x[mine, k], len(n))[hit] for x in (g, h))
+                hit, index = np.unique(key, return_inverse=True)
+                gs, hs = (np.bincount(index, x[mine, k], len(hit)) for x in (g, h))
                 cell = hit % n_cells
-                out.append((np.full(len(hit), target), nodes[hit // n_cells], cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, n[hit]))
+                out.append((np.full(len(hit), target), nodes[hit // n_cells], cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, np.bincount(index, minlength=len(hit))))
             kinds = (np.int32, np.int32, np.int32, np.int32, np.float64, np.float64, np.float64, np.int64)
             columns = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["class", "node", "feature_id", "vrange", "value", *SUMS])
@@ -437,7 +436,8 @@ def build_trees(rows: DataFrame, classes: tuple[int, ...], params: BoostParams)
 def boost_ovr_fit(rows: DataFrame, classes: tuple[int, ...], params: BoostParams = BoostParams()) -> BoostModel:
     """One booster per class from rows ``(y, ids, vals)``."""
     stats = value_stats(rows)
-    state = with_logits(rows.select("y", "ids", "vals"), classes, params)
+    # Every level reads the rows once; a lost block is computed again from the stored rows.
+    state = with_logits(rows.select("y", "ids", "vals"), classes, params).persist()
     nodes: list[Node] = []
     pending: list[Node] = []
     for round_id in range(params.n_estimators):
@@ -447,8 +447,10 @@ def boost_ovr_fit(rows: DataFrame, classes: tuple[int, ...], params: BoostParams
         if (round_id + 1) % params.write_every == 0 and round_id + 1 < params.n_estimators:
             model = BoostModel(classes, params, tuple(pending))
             moved = boost_logits(state, model, ("y", "ids", "vals"), base="logits")
-            state = write_stage(moved.withColumnRenamed("scores", "logits"), "logits")
-            pending = []
+            stored = write_stage(moved.withColumnRenamed("scores", "logits"), "logits")
+            state.unpersist()
+            state, pending = stored.persist(), []
+    state.unpersist()
     return BoostModel(tuple(classes), params, tuple(nodes))
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrade.functions.packed import as_batches, list_column, list_parts
+from lexigrade.functions.packed import list_column, list_parts
 from lexigrade.operators.linear import LinearModel, argmax_class, linear_scores, signs
 
 
@@ -84,47 +84,50 @@ def _replay_blocks(rows: DataFrame, states: dict[int, _State], epochs: dict[int,
     return {r["y"]: _State(np.array(r["w"]), r["b"], r["step"]) for r in done}
 
 
-def _first_miss(margin: np.ndarray, pos: np.ndarray, state: _State, n_rows: int, last: int, decay: float) -> np.ndarray:
-    """Step at which each row would first miss, if no other row does before; ``last`` where it never does."""
-    first = pos + np.maximum(0, -((pos - state.step) // n_rows)) * n_rows
-    wait = (first - state.step).astype(float)
-    need = 1.0 + state.b
+def _first_miss(margin: np.ndarray, pos: np.ndarray, step: np.ndarray, b: np.ndarray, n_rows: int, last: int, decay: float) -> np.ndarray:
+    """Step at which each row would first miss, if no other row does before; ``last`` where it never does.
+
+    ``margin`` is ``x.w`` before step ``step`` of the row's class and ``b`` its bias.
+    """
+    first = pos + np.maximum(0, -((pos - step) // n_rows)) * n_rows
+    wait = (first - step).astype(float)
+    need = 1.0 + b
     now = decay**wait * margin < need
-    step = np.where(now, first, last)
-    if decay < 1.0 and need > 0:
-        later = ~now & (margin > 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rounds = np.ceil((np.log(need / margin) / np.log(decay) - wait) / n_rows)
-        rounds = np.maximum(1, np.where(later, rounds, 1)).astype(np.int64)
+    found = np.where(now, first, last)
+    later = ~now & (margin > 0) & (need > 0)
+    if decay < 1.0 and later.any():
+        rounds = np.ones(len(pos), dtype=np.int64)
+        exact = (np.log(need[later] / margin[later]) / np.log(decay) - wait[later]) / n_rows
+        rounds[later] = np.maximum(1, np.ceil(exact))
         # The logarithm may be off by one visit on either side.
         for shift in (-1, 0, 1):
             visit = np.maximum(1, rounds + shift)
             miss = later & (decay ** (wait + visit * n_rows) * margin < need)
-            step = np.where(miss, np.minimum(step, first + visit * n_rows), step)
-    return np.minimum(step, last)
+            found = np.where(miss, np.minimum(found, first + visit * n_rows), found)
+    return np.minimum(found, last)
 
 
 def _next_misses(rows: DataFrame, states: dict[int, _State], n_rows: int, last: int, params: SvmParams) -> dict[int, int]:
-    """First missing step of every class: a partial minimum per batch, then one aggregate."""
-    decay = params.decay
+    """First missing step of every class: a minimum per class and batch, then one aggregate."""
+    decay, classes = params.decay, np.array(sorted(states))
+    weights = np.vstack([states[c].w for c in classes])
+    biases = np.array([states[c].b for c in classes])
+    steps_done = np.array([states[c].step for c in classes])
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in as_batches(batches):
-            y, pos = batch.column("y").to_numpy(), batch.column("pos").to_numpy()
+        for batch in batches:
+            of = np.searchsorted(classes, batch.column("y").to_numpy())
             lengths, ids = list_parts(batch.column("ids"))
             _, vals = list_parts(batch.column("vals"))
-            row = np.repeat(np.arange(len(y)), lengths)
-            found = []
-            for c in np.unique(y):
-                mine = np.flatnonzero(y == c)
-                inside = (y == c)[row]
-                margin = np.bincount(row[inside], vals[inside] * states[c].w[ids[inside]], len(y))[mine]
-                found.append((int(c), int(_first_miss(margin, pos[mine], states[c], n_rows, last, decay).min())))
-            ys, steps = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(steps, pa.int64())], names=["y", "step"])
-
-    steps = rows.select("y", "pos", "ids", "vals").mapInArrow(scan, "y int, step long")
-    return {r["y"]: r["step"] for r in steps.groupBy("y").agg(F.min("step").alias("step")).collect()}
+            row = np.repeat(np.arange(len(of)), lengths)
+            margin = np.bincount(row, vals * weights[of[row], ids], len(of))
+            miss = _first_miss(margin, batch.column("pos").to_numpy(), steps_done[of], biases[of], n_rows, last, decay)
+            lowest = np.full(len(classes), last)
+            np.minimum.at(lowest, of, miss)
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int32()), pa.array(lowest, pa.int64())], names=["y", "step"])
+
+    found = rows.select("y", "pos", "ids", "vals").mapInArrow(scan, "y int, step long")
+    return {r["y"]: r["step"] for r in found.groupBy("y").agg(F.min("step").alias("step")).collect()}
 
 
 def svm_ovr_fit(rows: DataFrame, n_rows: int, n_features: int, n_classes: int, params: SvmParams = SvmParams()) -> LinearModel:

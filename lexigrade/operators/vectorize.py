@@ -41,10 +41,9 @@ def corpus_terms(docs: DataFrame) -> DataFrame:
     Every token counts once for ``tf``; every distinct token of a text counts once for ``df``. Nothing is
     grouped by document, so the shuffle carries term totals of tasks, not documents.
     """
-    spark = docs.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    # A few large files would leave cores idle.
-    texts = docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+    # Fewer files than cores may leave cores idle.
+    few = len(docs.inputFiles()) < docs.sparkSession.sparkContext.defaultParallelism
+    texts = docs.repartition("doc_id") if few else docs
     tokens = texts.select(word_tokens(F.col("text")).alias("tokens"))
 
     def counted(terms: Column, tf: int, df: int) -> Column:

@@ -60,20 +60,47 @@ class FeatureSpace:
         return V.pack_vectors(docs, self.terms, self.n_terms, self.params.representation, keep)
 
 
-def fit_feature_space(docs: DataFrame, params: FeatureParams) -> FeatureSpace:
-    """Fit on the train rows of ``(doc_id, text, split)``; the fitted table has at most ``max_terms`` rows."""
+def _fit_vocabulary(docs: DataFrame, params: FeatureParams) -> tuple[DataFrame, int, int]:
+    """Stored ``(term, term_id, tf, df, idf)``, its rows and the number of train documents."""
     train = docs.where(F.col("split") == "train")
     n_train = train.count()
     vocab = V.fit_vocab(train, params.max_terms)
-    vocab = vocab.withColumn("idf", V.smooth_idf(F.col("df"), n_train))
-    if params.representation == "bow":
-        terms = write_stage(V.rank_terms(vocab.withColumn("weight", F.col("tf").cast("double")), params.skip_top_words, params.vocab_size, params.max_terms), "terms")
-        return FeatureSpace(params, terms, terms.count(), n_train)
-    fitted = write_stage(vocab, "vocab")
-    n_terms = fitted.count()
-    weights = V.term_weights(V.pack_vectors(train, fitted, n_terms, "tfidf"))
-    ranked = V.rank_terms(fitted.join(weights, "term_id"), params.skip_top_words, params.vocab_size, n_terms)
-    return FeatureSpace(params, write_stage(ranked, "terms"), n_terms, n_train)
+    stored = write_stage(vocab.withColumn("idf", V.smooth_idf(F.col("df"), n_train)), "vocab")
+    return stored, stored.count(), n_train
+
+
+def _ranked(vocab: DataFrame, weights: DataFrame | None, n_terms: int, params: FeatureParams) -> DataFrame:
+    """Weights are term counts, or the given sums of TF-IDF cells."""
+    weighted = vocab.withColumn("weight", F.col("tf").cast("double")) if weights is None else vocab.join(weights, "term_id")
+    return write_stage(V.rank_terms(weighted, params.skip_top_words, params.vocab_size, n_terms), "terms")
+
+
+def fit_feature_space(docs: DataFrame, params: FeatureParams) -> FeatureSpace:
+    """Fit on the train rows of ``(doc_id, text, split)``; the fitted table has at most ``max_terms`` rows."""
+    vocab, n_terms, n_train = _fit_vocabulary(docs, params)
+    weights = None
+    if params.representation == "tfidf":
+        train = docs.where(F.col("split") == "train")
+        weights = V.term_weights(V.pack_vectors(train, vocab, n_terms, "tfidf"))
+    return FeatureSpace(params, _ranked(vocab, weights, n_terms, params), n_terms, n_train)
+
+
+def fit_vectors(docs: DataFrame, params: FeatureParams, keep: tuple[str, ...]) -> tuple[FeatureSpace, DataFrame]:
+    """The fitted space and the vectors of all documents, with one pass over the texts for each.
+
+    TF-IDF ranks terms by their weights in the vectors: these are stored over the whole vocabulary first and
+    dropped terms are cut from the stored rows, so the texts are not shuffled again.
+    """
+    vocab, n_terms, n_train = _fit_vocabulary(docs, params)
+    whole = params.representation == "tfidf"
+    if not whole:
+        space = FeatureSpace(params, _ranked(vocab, None, n_terms, params), n_terms, n_train)
+        return space, write_stage(space.vectors(docs, keep), "vectors")
+    stored = write_stage(V.pack_vectors(docs, vocab, n_terms, "tfidf", keep), "vectors")
+    weights = V.term_weights(stored.where(F.col("split") == "train"))
+    space = FeatureSpace(params, _ranked(vocab, weights, n_terms, params), n_terms, n_train)
+    kept = space.terms.where("kept").select("term_id", F.col("term_id").alias("feature_id"))
+    return space, S.project(stored, kept, n_terms, params.vocab_size, ("doc_id", *keep))
 
 
 @dataclass(frozen=True)

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from lexigrade.operators import boost, evaluate, logreg, svm
 from lexigrade.operators.labels import decode_signed
-from lexigrade.plans.features import FeatureParams, FeatureSpace, LevelData, fit_feature_space, preprocess
-from lexigrade.session import write_stage
+from lexigrade.plans.features import FeatureParams, LevelData, fit_vectors, preprocess
 
 KEYS = ("doc_id", "split", "y")
 
@@ -72,15 +71,9 @@ def lr_run(data: LevelData, params: logreg.LogRegParams = LOGREG_RUN) -> LogRegR
     return LogRegRun(fit, predictions, report(predictions, "Multi-Class Logistic Regression"), curve)
 
 
-def _spaces(docs: DataFrame, levels: Sequence[str], params: FeatureParams) -> tuple[FeatureSpace, DataFrame]:
-    """Vocabulary and vectors are shared by all levels of one representation and written once."""
-    space = fit_feature_space(docs, params)
-    vectors = space.vectors(docs, ("split", *levels))
-    return space, write_stage(vectors, "vectors")
-
-
 def _levels(docs: DataFrame, levels: Sequence[str], params: FeatureParams, run: Callable[[LevelData], DataFrame]) -> DataFrame:
-    space, vectors = _spaces(docs, levels, params)
+    # Vocabulary and vectors are shared by all levels of one representation.
+    space, vectors = fit_vectors(docs, params, ("split", *levels))
     parts = []
     for level in levels:
         data = preprocess(space, vectors, level)

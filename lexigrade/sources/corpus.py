@@ -13,8 +13,9 @@ from lexigrade.functions.lookup import constant_array
 # The three splits of a level, in the order in which they are reported.
 SPLITS = ("train", "validation", "test")
 
-# Rows ranked by one task when positions are assigned.
+# Rows of one position bucket, at most and, unless cores would idle, at least.
 POSITION_BUCKET_ROWS = 1_000_000
+POSITION_BUCKET_MIN = 500
 
 
 def read_corpus(spark: SparkSession, paths: Mapping[str, str], id_column: str = "doc_id") -> DataFrame:
@@ -47,9 +48,8 @@ def select_level(docs: DataFrame, level: str) -> DataFrame:
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """Keep the first document of every text. Optional: copies are kept by default."""
-    # Hashing first keeps the shuffled key small; min_by aggregates before the shuffle, so copies do not skew it.
-    key = F.struct(F.xxhash64("text").alias("h"), F.md5("text").alias("m"))
-    firsts = docs.groupBy(key.alias("k")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    # The digest keeps the shuffled key small; min combines before the shuffle, so copies do not skew it.
+    firsts = docs.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     return docs.join(firsts, "doc_id", "left_semi")
 
 
@@ -67,12 +67,14 @@ def with_positions(rows: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int
     """Add the dense 0-based position ``pos`` of every row in ``key`` order; also return the row count.
 
     Rows are ranked inside range buckets and shifted by the sizes of the buckets before, so no task sees all
-    rows. The keys are unique and the bucket bounds are their quantiles, so the buckets are even.
+    rows. The keys are unique and the bucket bounds are their quantiles, so the buckets are even. The result is
+    partitioned by bucket: stored, its files hold runs of positions.
     """
     n = rows.count()
-    buckets = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // POSITION_BUCKET_ROWS))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    buckets = max(2, -(-n // POSITION_BUCKET_ROWS), min(4 * cores, -(-n // POSITION_BUCKET_MIN)))
     probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = rows.agg(F.percentile_approx(key, probabilities or [0.5], 10_000)).first()[0] or [0]
+    bounds = rows.agg(F.percentile_approx(key, probabilities, 10_000)).first()[0] or [0]
     edges = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
     bucketed = Bucketizer(splits=edges, inputCol=key, outputCol="_bucket").transform(rows)
     bucketed = bucketed.withColumn("_bucket", F.col("_bucket").cast("int"))
@@ -81,6 +83,7 @@ def with_positions(rows: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int
     for bucket in range(len(edges) - 1):
         offsets.append(total)
         total += sizes.get(bucket, 0)
+    bucketed = bucketed.repartition(buckets, "_bucket")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
     pos = F.get(constant_array(offsets, "bigint"), F.col("_bucket")) + rank
     return bucketed.withColumn("pos", pos.cast("long")).drop("_bucket"), n

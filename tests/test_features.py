@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import entry_queries
 from lexigrade.functions.text import ws_tokens, word_tokens
 from lexigrade.operators import labels, select, sequences, vectorize
-from lexigrade.plans.features import FeatureParams, encode_level, fit_feature_space, preprocess
+from lexigrade.plans.features import FeatureParams, encode_level, fit_feature_space, fit_vectors, preprocess
 from lexigrade.session import write_stage
 from lexigrade.sources import corpus
 
@@ -73,6 +73,16 @@ def test_dropped_terms_are_not_renormalised(spark):
         assert cut[r["doc_id"]] == ([i for i, _ in pairs], [v for _, v in pairs])
 
 
+def test_stored_vectors_equal_fitted_ones(spark):
+    docs = entry_queries.documents(spark, SF_SMALL)
+    for rep in ("bow", "tfidf"):
+        params = FeatureParams(300, 15, 10, rep)
+        space, vectors = fit_vectors(docs, params, ("split",))
+        again = fit_feature_space(docs, params)
+        assert again.terms.select("term", "rank", "kept").exceptAll(space.terms.select("term", "rank", "kept")).count() == 0
+        assert vectors.exceptAll(again.vectors(docs)).count() == 0 and vectors.count() == 200
+
+
 def test_nothing_is_cut_without_skip_and_with_room(spark):
     space = fit_feature_space(trio(spark), FeatureParams(10, 0, 0, "bow"))
     assert space.terms.where("kept").count() == 5

@@ -58,13 +58,13 @@ def test_svm_one_vs_rest_is_sequential(spark, kind, block_rows):
 def test_first_miss_agrees_with_stepping():
     rng = np.random.default_rng(0)
     n, decay = 11, 0.97
-    for _ in range(300):
-        state = svm._State(np.zeros(1), float(rng.choice([-1.2, -1.0, -0.7, 0.0])), int(rng.integers(0, 30)))
-        margin, pos, last = np.round(rng.normal(0.4, 1, 5), 2), rng.integers(0, n, 5), n * 9
-        got = svm._first_miss(margin, pos, state, n, last, decay)
-        for m, p, step in zip(margin, pos, got):
-            visits = [t for t in range(state.step, last) if t % n == p and decay ** (t - state.step) * m < 1 + state.b]
-            assert step == (visits[0] if visits else last)
+    last, size = n * 9, 2000
+    margin, pos = np.round(rng.normal(0.4, 1, size), 2), rng.integers(0, n, size)
+    step, b = rng.integers(0, 30, size), rng.choice([-1.2, -1.0, -0.7, 0.0], size)
+    got = svm._first_miss(margin, pos, step, b, n, last, decay)
+    for i in range(size):
+        visits = [t for t in range(step[i], last) if t % n == pos[i] and decay ** (t - step[i]) * margin[i] < 1 + b[i]]
+        assert got[i] == (visits[0] if visits else last)
 
 
 def test_sign_ties_take_the_lowest_class(spark):

@@ -19,10 +19,8 @@ def test_registration():
         "svm_fit",
         "svm_ovr_fit",
         "lr_fit_stochastic",
-        "lr_stop_batch",
         "lr_stop_window",
         "lr_ovr_fit",
-        "lr_run",
         "boost_fit",
         "boost_ovr_fit",
         "svm_levels",

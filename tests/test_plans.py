@@ -7,7 +7,7 @@ import entry_queries
 from lexigrade import session
 from lexigrade.operators import boost, labels, logreg, select, svm, vectorize
 from lexigrade.plans import runs
-from lexigrade.plans.features import FeatureParams, preprocess
+from lexigrade.plans.features import FeatureParams, fit_vectors, preprocess
 from lexigrade.streaming.scoring import score_stream
 
 FEATURES = FeatureParams(600, 20, 0)
@@ -34,7 +34,7 @@ def test_every_document_gets_one_prediction(spark):
     docs = entry_queries.levelled(spark, SF_SMALL)
     extra = docs.limit(2).withColumn("doc_id", F.col("doc_id") + 10_000).withColumn("text", F.when(F.col("doc_id") % 2 == 0, "").otherwise(None))
     both = docs.unionByName(extra)
-    space, vectors = runs._spaces(both, ("lang",), FEATURES)
+    space, vectors = fit_vectors(both, FEATURES, ("split", "lang"))
     data = preprocess(space, vectors, "lang", 40)
     model = runs.fit_svm(data, svm.SvmParams(n_iters=2))
     got = svm.svm_ovr_predict(data.rows, model, ("doc_id",)).collect()
