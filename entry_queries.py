@@ -594,7 +594,7 @@ def q_lr_levels(spark, sf):
 
 
 def q_boost_levels(spark, sf):
-    return runs.boost_levels(levelled(spark, sf), ("lang", "toxic"), features=RUN_FEATURES)
+    return runs.boost_levels(levelled(spark, sf), RUN_LEVELS, features=RUN_FEATURES)
 
 
 QUERIES = {name[2:]: query for name, query in list(globals().items()) if name.startswith("q_")}

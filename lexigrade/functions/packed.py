@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 
 # Cells of one dense block: bounds the memory of a task whatever the batch size and width are.
 BLOCK_CELLS = 4_000_000
+# Partial sums that a task holds before it combines them.
+HELD_ROWS = 2_000_000
 
 
 def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -35,3 +37,27 @@ def list_column(rows: np.ndarray) -> pa.Array:
     n, width = rows.shape
     offsets = np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.ascontiguousarray(rows).ravel(), pa.float64()))
+
+
+def combine_sums(batches: Iterable[pa.RecordBatch], keys: Sequence[str], sums: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Add up the partial sums of a whole task by key, so that it emits each key once.
+
+    What does not shrink is passed on: the memory stays bounded however many keys there are.
+    """
+
+    def merged(held: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(held)
+        total = table.group_by(list(keys), use_threads=False).aggregate([(name, "sum") for name in sums])
+        return total.select([*keys, *[f"{name}_sum" for name in sums]]).rename_columns([*keys, *sums])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) > HELD_ROWS:
+            total = merged(held)
+            held = total.combine_chunks().to_batches()
+            if total.num_rows > HELD_ROWS // 2:
+                yield from held
+                held = []
+    if held:
+        yield from merged(held).combine_chunks().to_batches()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrade.functions.numeric import sigmoid
-from lexigrade.functions.packed import BLOCK_CELLS, list_column, list_parts
+from lexigrade.functions.packed import BLOCK_CELLS, combine_sums, list_column, list_parts
 from lexigrade.operators.linear import argmax_class, row_normalised
 from lexigrade.session import write_stage
 
@@ -264,6 +264,17 @@ def _gradients(part: pa.RecordBatch, classes: tuple[int, ...], done: Sequence[No
     return p - (part.column("y").to_numpy()[:, None] == np.array(classes)[None, :]), p * (1.0 - p)
 
 
+def _distinct(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the index of each key among them; keys are below ``size``."""
+    if size > 4 * len(key) + 1000:
+        return np.unique(key, return_inverse=True)
+    hit = np.flatnonzero(np.bincount(key, minlength=size))
+    place = np.zeros(size, dtype=np.int64)
+    place[hit] = np.arange(len(hit))
+    return hit, place[key]
+
+
+_HIST_KEYS = ("class", "node", "feature_id", "vrange", "value")
 _HIST_SCHEMA = "class int, node int, feature_id int, vrange int, value double, g double, h double, n long"
 
 
@@ -277,7 +288,7 @@ def node_histograms(
     stats: ValueStats,
     params: BoostParams,
 ) -> DataFrame:
-    """Partial sums ``(class, node, feature_id, vrange, value, g, h, n)`` of the non-zero cells of the open nodes.
+    """Sums per task ``(class, node, feature_id, vrange, value, g, h, n)`` of the non-zero cells of the open nodes.
 
     ``done`` are the trees since the ``logits`` column was written, ``growing`` those of this round.
     """
@@ -322,15 +333,18 @@ def node_histograms(
                 live = where[row] >= 0
                 mine = row[live]
                 key = where[mine] * n_cells + code[live]
-                hit, index = np.unique(key, return_inverse=True)
+                hit, index = _distinct(key, len(nodes) * n_cells)
                 gs, hs = (np.bincount(index, x[mine, k], len(hit)) for x in (g, h))
                 cell = hit % n_cells
                 out.append((np.full(len(hit), target), nodes[hit // n_cells], cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, np.bincount(index, minlength=len(hit))))
             kinds = (np.int32, np.int32, np.int32, np.int32, np.float64, np.float64, np.float64, np.int64)
             columns = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "node", "feature_id", "vrange", "value", *SUMS])
+            yield pa.RecordBatch.from_arrays(columns, names=[*_HIST_KEYS, *SUMS])
+
+    def combined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from combine_sums(partial(batches), _HIST_KEYS, SUMS)
 
-    return rows.select("y", "ids", "vals", "logits").mapInArrow(partial, _HIST_SCHEMA)
+    return rows.select("y", "ids", "vals", "logits").mapInArrow(combined, _HIST_SCHEMA)
 
 
 def split_candidates(hist: DataFrame, totals: dict[tuple[int, int], Totals], stats: ValueStats, params: BoostParams) -> DataFrame:

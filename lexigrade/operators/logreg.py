@@ -2,7 +2,7 @@
 
 Three ways to take the same gradient steps:
 
-* full batch: every iteration is one distributed gradient over all rows and classes;
+* all rows, or batches larger than a block: every batch is one distributed gradient over its rows and all classes;
 * mini-batches in row order: a chain of bounded blocks of rows, the weights handed from block to block;
 * single random rows: the drawn rows (``n_iter`` per class) are fetched by one join and replayed per class.
 """
@@ -153,23 +153,34 @@ def _start(classes: tuple[int, ...], n_features: int) -> _Progress:
 
 
 def lr_fit_batch(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """Mini-batches in row order from rows ``(pos, y, ids, vals)``; one batch when ``batch_size`` covers all rows."""
-    if params.batch_size is None or params.batch_size >= n_rows:
-        return _fit_full(rows, n_rows, n_features, classes, params)
-    return _fit_chained(rows, n_rows, n_features, classes, params)
-
-
-def _fit_full(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
+    """Mini-batches in row order from rows ``(pos, y, ids, vals)``; ``batch_size=None`` takes all rows at once."""
+    block = max(1, min(params.block_rows, CHAIN_CELLS // max(1, n_features)))
+    if params.batch_size is None or params.batch_size > block:
+        return _fit_distributed(rows, n_rows, n_features, classes, params)
+    if n_rows <= block:
+        return _fit_one_block(rows, n_rows, n_features, classes, params)
+    return _fit_chained(rows, n_rows, n_features, classes, params, block // params.batch_size * params.batch_size)
+
+
+def _fit_distributed(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
+    """Large batches: the gradient of each is one job over all its rows."""
+    size = params.batch_size or n_rows
     run = _start(classes, n_features)
-    rows = rows.select("y", "ids", "vals").persist()
+    rows = rows.select("pos", "y", "ids", "vals").persist()
     partitions = rows.rdd.getNumPartitions()
     for iteration in range(1, params.n_iter + 1):
         if not run.active.any():
             break
-        g = _gradient_matrix(rows, LinearModel(classes, run.w, run.b), partitions) / n_rows
-        dw, db = g[:, :-1] + params.alpha / n_rows * np.sign(run.w), g[:, -1]
-        run.step(dw, db, params.lr)
-        run.close_iteration(iteration, np.linalg.norm(dw, axis=1), np.abs(db), params.tolerance)
+        dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
+        for start in range(0, n_rows, size):
+            end = min(start + size, n_rows)
+            batch = rows if size >= n_rows else rows.where(F.col("pos").between(start, end - 1))
+            g = _gradient_matrix(batch, LinearModel(classes, run.w, run.b), partitions) / (end - start)
+            dw, db = g[:, :-1] + params.alpha / n_rows * np.sign(run.w), g[:, -1]
+            run.step(dw, db, params.lr)
+            dw_sum += np.linalg.norm(dw, axis=1)
+            db_sum += np.abs(db)
+        run.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
     rows.unpersist()
     return run.result()
 
@@ -188,37 +199,73 @@ def _pass_block(run: _Progress, dense: np.ndarray, y: np.ndarray, n_rows: int, p
     return dw_sum, db_sum
 
 
-_BLOCK_SCHEMA = "w array<double>, b double, dw_sum double, db_sum double, active boolean"
+def _block_matrix(table: pa.Table, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Dense rows of a block in row order, and their labels."""
+    table = table.combine_chunks().sort_by("pos")
+    dense = np.vstack([d for _, d in dense_blocks(table.to_batches(), n_features)])
+    return dense, table.column("y").to_numpy()
+
+
+_CLASS_SCHEMA = "class int, iteration int, last boolean, w array<double>, b double"
+
+
+def _points(target: list[int], iteration: list[int], last: list[bool], w: np.ndarray, b: list[float]) -> pa.Table:
+    """Weights along a training as rows of ``_CLASS_SCHEMA``."""
+    kinds = {"class": pa.array(target, pa.int32()), "iteration": pa.array(iteration, pa.int32()), "last": pa.array(last, pa.bool_())}
+    return pa.table({**kinds, "w": list_column(w), "b": pa.array(b, pa.float64())})
+
+
+def _trained(points: DataFrame, n_features: int, classes: tuple[int, ...]) -> LogRegFit:
+    """Collect the final weights, the curve points and the iteration counts: classes x features each."""
+    out = points.collect()
+    final = {r["class"]: r for r in out if r["last"]}
+    zero = np.zeros(n_features)
+    weights = np.vstack([np.array(final[c]["w"]) if c in final else zero for c in classes])
+    bias = np.array([final[c]["b"] if c in final else 0.0 for c in classes])
+    snapshots = [Snapshot(r["class"], r["iteration"], np.array(r["w"]), r["b"]) for r in out if not r["last"]]
+    return LogRegFit(LinearModel(tuple(classes), weights, bias), snapshots, {c: r["iteration"] for c, r in final.items()})
+
+
+def _fit_one_block(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
+    """No more rows than one block holds: the sequential batches of all iterations run in one task."""
+
+    def train(table: pa.Table) -> pa.Table:
+        dense, y = _block_matrix(table, n_features)
+        run = _start(classes, n_features)
+        for iteration in range(1, params.n_iter + 1):
+            if not run.active.any():
+                break
+            norms = _pass_block(run, dense, y, n_rows, params)
+            run.close_iteration(iteration, *norms, params.tolerance)
+        ends = [Snapshot(c, run.iterations.get(c, 0), run.w[i], float(run.b[i])) for i, c in enumerate(classes)]
+        every = [*run.snapshots, *ends]
+        last = [False] * len(run.snapshots) + [True] * len(ends)
+        return _points([s.target for s in every], [s.iteration for s in every], last, np.vstack([s.w for s in every]), [s.b for s in every])
+
+    block = rows.select("pos", "y", "ids", "vals").groupBy(F.lit(0).alias("block"))
+    return _trained(block.applyInArrow(train, _CLASS_SCHEMA), n_features, classes)
 
 
-def _fit_chained(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """Row order makes the batches sequential: one bounded block per job, all classes together in it."""
-    by_memory = CHAIN_CELLS // max(1, n_features)
-    span = max(1, min(params.block_rows, by_memory) // params.batch_size) * params.batch_size
+_BLOCK_SCHEMA = "w array<double>, b double, dw_sum double, db_sum double"
+
+
+def _fit_chained(
+    rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams, span: int
+) -> LogRegFit:
+    """Row order makes the batches sequential: one block of ``span`` rows per job, all classes together in it."""
     run = _start(classes, n_features)
     for iteration in range(1, params.n_iter + 1):
         if not run.active.any():
             break
         dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
         for start in range(0, n_rows, span):
-            block_run = run
+            before = (run.w, run.b, run.active)
 
             def replay(table: pa.Table) -> pa.Table:
-                table = table.combine_chunks().sort_by("pos")
-                state = _Progress(block_run.classes, block_run.w.copy(), block_run.b.copy(), block_run.active)
-                batches = table.to_batches()
-                parts = list(dense_blocks(batches, n_features))
-                dense = np.vstack([d for _, d in parts])
-                norms = _pass_block(state, dense, table.column("y").to_numpy(), n_rows, params)
-                return pa.table(
-                    {
-                        "w": list_column(state.w),
-                        "b": pa.array(state.b),
-                        "dw_sum": pa.array(norms[0]),
-                        "db_sum": pa.array(norms[1]),
-                        "active": pa.array(state.active),
-                    }
-                )
+                dense, y = _block_matrix(table, n_features)
+                state = _Progress(np.array(classes), before[0].copy(), before[1].copy(), before[2])
+                norms = _pass_block(state, dense, y, n_rows, params)
+                return pa.table({"w": list_column(state.w), "b": state.b, "dw_sum": norms[0], "db_sum": norms[1]})
 
             block = rows.where(F.col("pos").between(start, start + span - 1)).select("pos", "y", "ids", "vals")
             out = block.groupBy(F.lit(start).alias("block")).applyInArrow(replay, _BLOCK_SCHEMA).collect()
@@ -244,9 +291,6 @@ def draw_rows(rows: DataFrame, n_rows: int, classes: tuple[int, ...], params: Lo
     return steps.withColumn("pos", F.pmod(F.shiftrightunsigned(bits, 1), F.lit(n_rows).cast("long")))
 
 
-_CLASS_SCHEMA = "class int, iteration int, last boolean, w array<double>, b double"
-
-
 def lr_fit_stochastic(
     rows: DataFrame,
     n_rows: int,
@@ -282,23 +326,10 @@ def lr_fit_stochastic(
                 points.append((i + 1, False, w.copy(), b))
                 break
         points.append((len(norms), True, w, b))
-        return pa.table(
-            {
-                "class": pa.array([target] * len(points), pa.int32()),
-                "iteration": pa.array([p[0] for p in points], pa.int32()),
-                "last": pa.array([p[1] for p in points]),
-                "w": list_column(np.vstack([p[2] for p in points])),
-                "b": pa.array([float(p[3]) for p in points]),
-            }
-        )
-
-    out = drawn.groupBy("class").applyInArrow(replay, _CLASS_SCHEMA).collect()
-    final = {r["class"]: r for r in out if r["last"]}
-    zero = np.zeros(n_features)
-    weights = np.vstack([np.array(final[c]["w"]) if c in final else zero for c in classes])
-    bias = np.array([final[c]["b"] if c in final else 0.0 for c in classes])
-    snapshots = [Snapshot(r["class"], r["iteration"], np.array(r["w"]), r["b"]) for r in out if not r["last"]]
-    return LogRegFit(LinearModel(classes, weights, bias), snapshots, {c: r["iteration"] for c, r in final.items()})
+        steps, last, weights, biases = zip(*points)
+        return _points([target] * len(points), list(steps), list(last), np.vstack(weights), list(biases))
+
+    return _trained(drawn.groupBy("class").applyInArrow(replay, _CLASS_SCHEMA), n_features, classes)
 
 
 def lr_ovr_fit(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams = LogRegParams()) -> LogRegFit:

@@ -1,5 +1,6 @@
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def test_first_gradient_golden(spark):
     assert np.allclose([got[0], got[1], got[-1]], [-1 / 3, 0, 0])
 
 
-@pytest.mark.parametrize("size,block_rows", [(None, 50), (16, 50_000), (8, 20)])
+@pytest.mark.parametrize("size,block_rows", [(None, 50), (16, 50_000), (8, 20), (30, 20)])
 def test_batches_in_row_order(spark, monkeypatch, size, block_rows):
     n, width = 50, 5
     x, y = matrix(5, n, width), np.random.default_rng(6).integers(0, 2, n)
@@ -97,12 +98,12 @@ def test_batches_in_row_order(spark, monkeypatch, size, block_rows):
         assert np.allclose(fit.model.weights[i], w, atol=1e-9) and np.isclose(fit.model.bias[i], b, atol=1e-9)
 
 
-@pytest.mark.parametrize("size", [None, 10])
-def test_a_stopped_class_keeps_its_weights(spark, size):
+@pytest.mark.parametrize("size,block_rows", [(None, 50), (10, 50), (10, 20)])
+def test_a_stopped_class_keeps_its_weights(spark, size, block_rows):
     n, width = 40, 4
     x, y = matrix(7, n, width), np.random.default_rng(8).choice(3, n, p=[0.8, 0.1, 0.1])
     tolerance = 0.9 if size else 0.25
-    params = logreg.LogRegParams(lr=0.2, n_iter=30, tolerance=tolerance, batch_size=size, mode="batch")
+    params = logreg.LogRegParams(lr=0.2, n_iter=30, tolerance=tolerance, batch_size=size, mode="batch", block_rows=block_rows)
     fit = logreg.lr_ovr_fit(frame(spark, x, y), n, width, (0, 1, 2), params)
     stops = []
     for c in range(3):
@@ -216,6 +217,21 @@ def test_trees_match_exhaustive_search(spark, monkeypatch, kind, spread):
     assert np.allclose([scored[i] for i in range(n)], np.array(logits).T, atol=1e-8)
 
 
+def test_partial_sums_combine_within_a_task(monkeypatch):
+    from lexigrade.functions import packed
+
+    rng = np.random.default_rng(21)
+    keys, g = rng.integers(0, 40, 900), rng.integers(0, 9, 900).astype(float)
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50]), pa.array(g[i : i + 50])], names=["k", "g"]) for i in range(0, 900, 50)]
+    for held, rows in ((10_000, 40), (100, 40), (60, None)):
+        monkeypatch.setattr(packed, "HELD_ROWS", held)
+        out = pa.Table.from_batches(packed.combine_sums(batches, ["k"], ["g"])).to_pandas()
+        assert rows is None or len(out) == rows
+        assert out.groupby("k")["g"].sum().to_dict() == {k: g[keys == k].sum() for k in range(40)}
+    empty = list(packed.combine_sums([], ["k"], ["g"]))
+    assert empty == []
+
+
 def test_no_trees_give_the_base_score(spark):
     x, y = golden(spark)
     model = boost.boost_ovr_fit(frame(spark, x, y), (0, 1), boost.BoostParams(n_estimators=0, base_score=0.3))
