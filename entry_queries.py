@@ -123,7 +123,7 @@ def _sequences(spark, sf):
     fitted = space(spark, sf, "bow")
     seqs = sequences.encode_sequences(documents(spark, sf), fitted.terms, fitted.n_terms, ("split", "lang"))
     index = level_data(spark, sf).index
-    return _once(spark, ("seq", sf), lambda: write_stage(seqs.join(F.broadcast(index), seqs.lang == index.label).drop("label"), "sequences"))
+    return _once(spark, ("seq", sf), lambda: write_stage(seqs.join(F.broadcast(index), seqs.lang == index.label).drop("label", "n_class"), "sequences"))
 
 
 def q_pad_length(spark, sf):

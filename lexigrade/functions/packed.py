@@ -9,6 +9,8 @@ import pyarrow as pa
 
 # Cells of one dense block: bounds the memory of a task whatever the batch size and width are.
 BLOCK_CELLS = 4_000_000
+# Up to this width products run on dense blocks, beyond it on the stored cells.
+DENSE_WIDTH = 20_000
 # Partial sums that a task holds before it combines them.
 HELD_ROWS = 2_000_000
 
@@ -19,17 +21,42 @@ def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lengths, column.flatten().to_numpy(zero_copy_only=False)
 
 
-def dense_blocks(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Slices of the batches with their rows as a dense matrix of ``width`` columns."""
-    step = max(1, BLOCK_CELLS // max(1, width))
+class PackedRows:
+    """Packed rows of a record batch as a matrix of ``width`` columns."""
+
+    def __init__(self, part: pa.RecordBatch, width: int) -> None:
+        self.part, self.width, self.n = part, width, part.num_rows
+        lengths, self.ids = list_parts(part.column("ids"))
+        _, self.vals = list_parts(part.column("vals"))
+        self.row = np.repeat(np.arange(self.n), lengths)
+        self._dense: np.ndarray | None = None
+
+    def dense(self) -> np.ndarray:
+        if self._dense is None:
+            self._dense = np.zeros((self.n, self.width))
+            self._dense[self.row, self.ids] = self.vals
+        return self._dense
+
+    def dot(self, weights: np.ndarray) -> np.ndarray:
+        """Rows times a ``width x k`` matrix."""
+        if self.width <= DENSE_WIDTH:
+            return self.dense() @ weights
+        columns = [np.bincount(self.row, self.vals * weights[self.ids, k], self.n) for k in range(weights.shape[1])]
+        return np.stack(columns, axis=1)
+
+    def weighted_sums(self, factors: np.ndarray) -> np.ndarray:
+        """Transposed ``rows x k`` factors times the rows: ``k x width``."""
+        if self.width <= DENSE_WIDTH:
+            return factors.T @ self.dense()
+        return np.stack([np.bincount(self.ids, self.vals * factors[self.row, k], self.width) for k in range(factors.shape[1])])
+
+
+def row_blocks(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[PackedRows]:
+    """The batches as blocks of rows of bounded size."""
+    step = max(1, BLOCK_CELLS // max(1, min(width, DENSE_WIDTH)))
     for batch in batches:
         for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
-            lengths, ids = list_parts(part.column("ids"))
-            _, vals = list_parts(part.column("vals"))
-            dense = np.zeros((part.num_rows, width))
-            dense[np.repeat(np.arange(part.num_rows), lengths), ids] = vals
-            yield part, dense
+            yield PackedRows(batch.slice(start, step), width)
 
 
 def list_column(rows: np.ndarray) -> pa.Array:

@@ -11,18 +11,18 @@ UNSEEN = -1
 
 
 def label_index(train: DataFrame) -> DataFrame:
-    """``(label, y)``: codes in order of first appearance. One row per class before the window."""
-    firsts = train.groupBy("label").agg(F.min("doc_id").alias("first_doc"))
-    return firsts.select("label", (F.row_number().over(Window.orderBy("first_doc")) - 1).cast("int").alias("y"))
+    """``(label, y, n_class)``: codes in order of first appearance, and the rows of each. One row per class before the window."""
+    firsts = train.groupBy("label").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n_class"))
+    return firsts.select("label", (F.row_number().over(Window.orderBy("first_doc")) - 1).cast("int").alias("y"), "n_class")
 
 
 def encode_train(train: DataFrame, index: DataFrame, index_rows: int) -> DataFrame:
-    return train.join(lookup_side(index, index_rows), "label")
+    return train.join(lookup_side(index.select("label", "y"), index_rows), "label")
 
 
 def encode_heldout(docs: DataFrame, index: DataFrame, index_rows: int) -> DataFrame:
     """Codes for any split; a label that train does not have becomes -1."""
-    coded = docs.join(lookup_side(index, index_rows), "label", "left")
+    coded = docs.join(lookup_side(index.select("label", "y"), index_rows), "label", "left")
     return coded.withColumn("y", F.coalesce("y", F.lit(UNSEEN)))
 
 

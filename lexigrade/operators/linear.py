@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrade.functions.numeric import sigmoid_clipped
-from lexigrade.functions.packed import dense_blocks, list_column
+from lexigrade.functions.packed import list_column, row_blocks
 from lexigrade.operators.vectorize import unpack
 from lexigrade.session import lookup_side
 
@@ -58,8 +58,8 @@ def linear_scores(vectors: DataFrame, model: LinearModel, bias_sign: int, keep:
     width = model.n_features
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, dense in dense_blocks(batches, width):
-            columns = [part.column(name) for name in keep] + [list_column(dense @ weights + shift)]
+        for rows in row_blocks(batches, width):
+            columns = [rows.part.column(name) for name in keep] + [list_column(rows.dot(weights) + shift)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "scores"])
 
     fields = [vectors.schema[name] for name in keep] + [T.StructField("scores", T.ArrayType(T.DoubleType()))]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrade.functions.numeric import LOGIT_CLIP
-from lexigrade.functions.packed import dense_blocks, list_column, list_parts
+from lexigrade.functions.packed import list_column, list_parts, row_blocks
 from lexigrade.operators.evaluate import binary_scores
 from lexigrade.operators.linear import LinearModel, argmax_class, linear_scores, probabilities, row_normalised
 from lexigrade.session import lookup_side
@@ -86,9 +86,9 @@ def gradient_parts(rows: DataFrame, model: LinearModel) -> DataFrame:
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(classes), width + 1))
-        for part, dense in dense_blocks(batches, width):
-            error = _logistic(dense @ weights + bias) - _targets(part.column("y").to_numpy(), classes)
-            total[:, :width] += error.T @ dense
+        for block in row_blocks(batches, width):
+            error = _logistic(block.dot(weights) + bias) - _targets(block.part.column("y").to_numpy(), classes)
+            total[:, :width] += block.weighted_sums(error)
             total[:, width] += error.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int32()), list_column(total)], names=["class", "g"])
 
@@ -202,7 +202,7 @@ def _pass_block(run: _Progress, dense: np.ndarray, y: np.ndarray, n_rows: int, p
 def _block_matrix(table: pa.Table, n_features: int) -> tuple[np.ndarray, np.ndarray]:
     """Dense rows of a block in row order, and their labels."""
     table = table.combine_chunks().sort_by("pos")
-    dense = np.vstack([d for _, d in dense_blocks(table.to_batches(), n_features)])
+    dense = np.vstack([block.dense() for block in row_blocks(table.to_batches(), n_features)])
     return dense, table.column("y").to_numpy()
 
 
@@ -359,10 +359,10 @@ def lr_curve(vectors: DataFrame, snapshots: list[Snapshot], n_features: int) ->
 
         def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals: dict[str, np.ndarray] = {}
-            for part, dense in dense_blocks(batches, n_features):
-                predicted = _logistic(dense @ weights + bias) > 0.5
-                true = _targets(part.column("y").to_numpy(), targets).astype(bool)
-                splits = np.array(part.column("split").to_pylist(), dtype=object)
+            for block in row_blocks(batches, n_features):
+                predicted = _logistic(block.dot(weights) + bias) > 0.5
+                true = _targets(block.part.column("y").to_numpy(), targets).astype(bool)
+                splits = np.array(block.part.column("split").to_pylist(), dtype=object)
                 for split in set(splits):
                     p, t = predicted[splits == split], true[splits == split]
                     cells = np.stack([(p & t).sum(0), (p & ~t).sum(0), (~p & t).sum(0), (~p & ~t).sum(0)])

@@ -138,16 +138,12 @@ def preprocess(space: FeatureSpace, vectors: DataFrame, level: str, k: int | Non
     """
     coded, index, n_classes = encode_level(vectors, level)
     train = coded.where(F.col("split") == "train")
-    totals = S.class_totals(train).collect()
-    n_train = sum(r["n_class"] for r in totals)
-    spark = vectors.sparkSession
-    total_table = spark.createDataFrame([tuple(r) for r in totals], "y int, n_class long")
-    cells = S.contingency(train)
-    scores = S.mutual_information(cells, total_table, n_classes, n_train)
+    sizes = {r["y"]: r["n_class"] for r in index.select("y", "n_class").collect()}
+    n_train = sum(sizes.values())
+    scores = S.mutual_information(S.contingency(train), index.select("y", "n_class"), n_classes, n_train)
     n_features = k or space.params.n_features
     features = write_stage(S.top_k_features(scores, n_features), "features")
     rows = S.project(coded, features, space.n_terms, n_features, ("doc_id", "split", "y"))
     rows = write_stage(rows, "rows")
-    positioned, n_rows = with_positions(rows.where(F.col("split") == "train").drop("split"))
-    classes = tuple(sorted(r["y"] for r in totals))
-    return LevelData(index, features, rows, write_stage(positioned, "train"), n_rows, classes, n_features)
+    positioned = with_positions(rows.where(F.col("split") == "train").drop("split"), n_train)
+    return LevelData(index, features, rows, write_stage(positioned, "train"), n_train, tuple(sorted(sizes)), n_features)

@@ -63,14 +63,13 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     report.write.mode(mode).parquet(path)
 
 
-def with_positions(rows: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int]:
-    """Add the dense 0-based position ``pos`` of every row in ``key`` order; also return the row count.
+def with_positions(rows: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """Add the dense 0-based position ``pos`` of each of the ``n`` rows in ``key`` order.
 
     Rows are ranked inside range buckets and shifted by the sizes of the buckets before, so no task sees all
     rows. The keys are unique and the bucket bounds are their quantiles, so the buckets are even. The result is
     partitioned by bucket: stored, its files hold runs of positions.
     """
-    n = rows.count()
     cores = rows.sparkSession.sparkContext.defaultParallelism
     buckets = max(2, -(-n // POSITION_BUCKET_ROWS), min(4 * cores, -(-n // POSITION_BUCKET_MIN)))
     probabilities = [i / buckets for i in range(1, buckets)]
@@ -86,4 +85,4 @@ def with_positions(rows: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int
     bucketed = bucketed.repartition(buckets, "_bucket")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
     pos = F.get(constant_array(offsets, "bigint"), F.col("_bucket")) + rank
-    return bucketed.withColumn("pos", pos.cast("long")).drop("_bucket"), n
+    return bucketed.withColumn("pos", pos.cast("long")).drop("_bucket")

@@ -112,7 +112,7 @@ def test_unseen_labels(spark):
     rows = [(0, "train", "b"), (1, "train", "a"), (2, "train", "b"), (3, "train", "c"), (4, "test", "a"), (5, "test", "z"), (6, "validation", "c"), (7, "test", None)]
     docs = spark.createDataFrame(rows, "doc_id long, split string, mark string")
     coded, index, n = encode_level(docs, "mark")
-    assert {r["label"]: r["y"] for r in index.collect()} == {"b": 0, "a": 1, "c": 2} and n == 3
+    assert {r["label"]: (r["y"], r["n_class"]) for r in index.collect()} == {"b": (0, 2), "a": (1, 1), "c": (2, 1)} and n == 3
     assert {r["doc_id"]: r["y"] for r in coded.collect()} == {0: 0, 1: 1, 2: 0, 3: 2, 4: 1, 6: 2}
     held = labels.encode_heldout(docs.where("split <> 'train'").withColumnRenamed("mark", "label"), index, n)
     assert sorted(r["y"] for r in held.collect()) == [-1, -1, 1, 2]
@@ -227,12 +227,10 @@ def test_positions_are_dense_in_key_order(spark, monkeypatch):
     monkeypatch.setattr(corpus, "POSITION_BUCKET_ROWS", 13)
     keys = np.random.default_rng(3).permutation(10_000)[:500]
     rows = spark.createDataFrame([(int(k),) for k in keys], "doc_id long").repartition(5)
-    placed, n = corpus.with_positions(rows)
-    assert n == 500
+    placed = corpus.with_positions(rows, 500)
     assert [r["doc_id"] for r in placed.orderBy("pos").collect()] == sorted(int(k) for k in keys)
     assert sorted(r["pos"] for r in placed.collect()) == list(range(500))
-    one, n = corpus.with_positions(rows.limit(1))
-    assert n == 1 and one.first()["pos"] == 0
+    assert corpus.with_positions(rows.limit(1), 1).first()["pos"] == 0
 
 
 def test_levels_round_trip_and_prune(spark, tmp_path):

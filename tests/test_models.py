@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lexigrade.functions import packed
 from lexigrade.operators import boost, linear, logreg, svm
 
 
@@ -78,7 +79,9 @@ def test_sign_ties_take_the_lowest_class(spark):
 # -- logistic regression ----------------------------------------------------------------------------
 
 
-def test_first_gradient_golden(spark):
+@pytest.mark.parametrize("dense_width", [20_000, 0])
+def test_first_gradient_golden(spark, monkeypatch, dense_width):
+    monkeypatch.setattr(packed, "DENSE_WIDTH", dense_width)
     x, y = golden(spark)
     zero = linear.LinearModel((1,), np.zeros((1, 2)), np.zeros(1))
     got = {r["feature_id"]: r["g"] / 6 for r in logreg.gradient(frame(spark, x, y), zero).collect()}
@@ -140,7 +143,9 @@ def test_one_half_is_class_zero(spark):
     assert [r[0] for r in p.select(boost.boost_predict(F.col("p"))).collect()] == [1, 1]
 
 
-def test_scores_by_matrix_and_by_join_agree(spark):
+@pytest.mark.parametrize("dense_width", [20_000, 0])
+def test_scores_by_matrix_and_by_join_agree(spark, monkeypatch, dense_width):
+    monkeypatch.setattr(packed, "DENSE_WIDTH", dense_width)
     n, width, k = 30, 6, 4
     x = matrix(12, n, width)
     rng = np.random.default_rng(13)
@@ -217,9 +222,24 @@ def test_trees_match_exhaustive_search(spark, monkeypatch, kind, spread):
     assert np.allclose([scored[i] for i in range(n)], np.array(logits).T, atol=1e-8)
 
 
-def test_partial_sums_combine_within_a_task(monkeypatch):
-    from lexigrade.functions import packed
+def test_products_on_cells_equal_dense_products(monkeypatch):
+    rng = np.random.default_rng(22)
+    x = matrix(23, 12, 7)
+    ids, vals = [np.flatnonzero(r) for r in x], [r[r != 0] for r in x]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.list_(pa.int32())), pa.array(vals, pa.list_(pa.float64()))], names=["ids", "vals"])
+    weights, factors = rng.normal(size=(7, 3)), rng.normal(size=(12, 3))
+    for width in (20_000, 0):
+        monkeypatch.setattr(packed, "DENSE_WIDTH", width)
+        monkeypatch.setattr(packed, "BLOCK_CELLS", 35)
+        blocks = list(packed.row_blocks([batch], 7))
+        assert len(blocks) == (3 if width else 1)
+        assert np.allclose(np.vstack([b.dot(weights) for b in blocks]), x @ weights)
+        starts = np.cumsum([0] + [b.n for b in blocks])
+        parts = [b.weighted_sums(factors[i : i + b.n]) for i, b in zip(starts, blocks)]
+        assert np.allclose(sum(parts), factors.T @ x)
+
 
+def test_partial_sums_combine_within_a_task(monkeypatch):
     rng = np.random.default_rng(21)
     keys, g = rng.integers(0, 40, 900), rng.integers(0, 9, 900).astype(float)
     batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50]), pa.array(g[i : i + 50])], names=["k", "g"]) for i in range(0, 900, 50)]
