@@ -484,7 +484,7 @@ def q_build_tree(spark, sf):
 
 def q_apply_tree(spark, sf):
     model = _tree_model(spark, sf)
-    applied = boost.apply_trees(level_data(spark, sf).rows, model.tree_table(spark), model.classes)
+    applied = boost.apply_trees(level_data(spark, sf).rows, model.tree_table(spark))
     return applied.select("doc_id", "class", r6("value"))
 
 

@@ -453,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "macro_avg": statement("SELECT * FROM prf_macro", "prf_macro"),
         "metrics_matrix": statement(MATRIX, "prf_class", "prf_micro", "prf_macro"),
         "summary": summary("", "guess"),
-        "lr_run": summary("_step", "Multi-Class Logistic Regression"),
+        "lr_run": summary("_step", "logistic regression"),
         "lr_stop_batch": statement(
             """SELECT class, CASE WHEN sqrt(sum(w * w)) / 0.01 < 2.4 AND abs(any_value(b)) / 0.01 < 2.4 THEN 1 ELSE 2 END AS iterations
             FROM w1 JOIN b1 USING (class) GROUP BY class""",

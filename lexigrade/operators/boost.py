@@ -26,7 +26,7 @@ from lexigrade.session import write_stage
 # Gains are compared with nine digits, so that equal splits tie and the order decides.
 GAIN_SCALE = 1e9
 # Distinct values of one feature that a single window partition may order.
-WINDOW_VALUES = 100_000
+WINDOW_VALUES = 2_000
 # Ranges into which the values of a feature with more of them are cut.
 VALUE_RANGES = 64
 
@@ -152,18 +152,21 @@ def _used_features(nodes: Iterable[Node]) -> np.ndarray:
     return np.array(sorted({n.feature_id for n in nodes if n.feature_id is not None}), dtype=np.int64)
 
 
+def _leaf_values(dense: np.ndarray, features: np.ndarray, tree: dict[int, Node]) -> np.ndarray:
+    """Leaf value of every row in one tree."""
+    value = np.zeros(max(tree) + 1)
+    for node_id, node in tree.items():
+        value[node_id] = node.value if node.value is not None else 0.0
+    return value[_route(dense, features, tree, max(tree).bit_length())]
+
+
 def _add_trees(logits: np.ndarray, part: pa.RecordBatch, classes: Sequence[int], nodes: Sequence[Node], rate: float) -> np.ndarray:
     """Logits plus the damped outputs of whole trees, in round order."""
     features = _used_features(nodes)
     dense = _columns_of(part, features)
     column = {c: i for i, c in enumerate(classes)}
     for (_, target), tree in sorted(_by_tree(nodes).items()):
-        depth = max(n.node_id for n in tree.values()).bit_length()
-        at = _route(dense, features, tree, depth)
-        value = np.zeros(max(tree) + 1)
-        for node_id, node in tree.items():
-            value[node_id] = node.value if node.value is not None else 0.0
-        logits[:, column[target]] += rate * value[at]
+        logits[:, column[target]] += rate * _leaf_values(dense, features, tree)
     return logits
 
 
@@ -197,22 +200,23 @@ def boost_logits(vectors: DataFrame, model: BoostModel, keep: tuple[str, ...], b
     return vectors.select(*wanted).mapInArrow(score, T.StructType(fields))
 
 
-def apply_trees(vectors: DataFrame, trees: DataFrame, classes: tuple[int, ...]) -> DataFrame:
-    """``(doc_id, class, round, value)``: the leaf value of every row in every tree of the table."""
-    model = BoostModel.from_table(trees, classes, BoostParams())
-    parts = []
-    for (round_id, target), tree in sorted(_by_tree(model.nodes).items()):
-        one = BoostModel((target,), replace(model.params, learning_rate=1.0), tuple(tree.values()))
-        scored = boost_logits(vectors, one, ("doc_id",))
-        parts.append(
-            scored.select(
-                "doc_id", F.lit(target).alias("class"), F.lit(round_id).alias("round"), F.get("scores", F.lit(0)).alias("value")
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def apply_trees(vectors: DataFrame, trees: DataFrame) -> DataFrame:
+    """``(doc_id, class, round, value)``: the leaf value of every row in every tree of the table, in one pass."""
+    nodes = [Node(*r) for r in trees.select(*TREE_COLUMNS).collect()]
+    by_tree = sorted(_by_tree(nodes).items())
+    features = _used_features(nodes)
+
+    def values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches, len(features) + len(by_tree)):
+            dense = _columns_of(part, features)
+            out = np.stack([_leaf_values(dense, features, tree) for _, tree in by_tree], axis=1)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), list_column(out)], names=["doc_id", "values"])
+
+    fields = [vectors.schema["doc_id"], T.StructField("values", T.ArrayType(T.DoubleType()))]
+    applied = vectors.select("doc_id", "ids", "vals").mapInArrow(values, T.StructType(fields))
+    names = F.array(*[F.struct(F.lit(target).alias("class"), F.lit(round_id).alias("round")) for (round_id, target), _ in by_tree])
+    cells = applied.select("doc_id", F.posexplode("values").alias("tree", "value")).withColumn("of", F.get(names, F.col("tree")))
+    return cells.select("doc_id", "of.class", "of.round", "value")
 
 
 # -- growing ----------------------------------------------------------------------------------------

@@ -19,7 +19,7 @@ REPRESENTATIONS = ("bow", "tfidf")
 def check_representation(representation: str) -> str:
     name = representation.lower()
     if name not in REPRESENTATIONS:
-        raise ValueError("Representation must be 'bow' or 'tfidf'")
+        raise ValueError(f"unknown representation {representation!r}: choose one of {REPRESENTATIONS}")
     return name
 
 

@@ -15,6 +15,8 @@ from lexigrade.sources.corpus import with_positions
 
 # Fixed value: one selected feature per this many vocabulary terms.
 TERMS_PER_FEATURE = 10
+# A model holds classes x features; more classes than this are taken for a wrong label column.
+MAX_CLASSES = 100_000
 
 
 @dataclass(frozen=True)
@@ -126,7 +128,9 @@ def encode_level(docs: DataFrame, level: str) -> tuple[DataFrame, DataFrame, int
     """
     labelled = docs.where(F.col(level).isNotNull()).withColumn("label", F.col(level))
     index = write_stage(L.label_index(labelled.where(F.col("split") == "train")), "labels")
-    n_classes = count_up_to(index, 10_000_000)
+    n_classes = count_up_to(index, MAX_CLASSES)
+    if n_classes > MAX_CLASSES:
+        raise ValueError(f"{level} has more than {MAX_CLASSES} labels")
     coded = L.drop_unseen(L.encode_heldout(labelled, index, n_classes))
     return coded, index, n_classes
 

@@ -68,7 +68,7 @@ def lr_run(data: LevelData, params: logreg.LogRegParams = LOGREG_RUN) -> LogRegR
     )
     seen = data.rows.where(F.col("split").isin("train", "validation"))
     curve = logreg.lr_curve(seen, fit.snapshots, data.n_features)
-    return LogRegRun(fit, predictions, report(predictions, "Multi-Class Logistic Regression"), curve)
+    return LogRegRun(fit, predictions, report(predictions, "logistic regression"), curve)
 
 
 def _levels(docs: DataFrame, levels: Sequence[str], params: FeatureParams, run: Callable[[LevelData], DataFrame]) -> DataFrame:
@@ -92,7 +92,7 @@ def svm_levels(
 
     def run(data: LevelData) -> DataFrame:
         _, predictions = fit_predict_splits(data, lambda d: fit_svm(d, params), svm.svm_ovr_predict)
-        return report(predictions, "Linear SVM")
+        return report(predictions, "linear SVM")
 
     parts = []
     for representation in representations:
@@ -123,6 +123,6 @@ def boost_levels(
 
     def run(data: LevelData) -> DataFrame:
         _, predictions = fit_predict_splits(data, lambda d: fit_boost(d, params), boost.boost_ovr_predict)
-        return report(predictions, "Boosted Trees")
+        return report(predictions, "boosted trees")
 
     return _levels(docs, levels, features, run)

@@ -267,7 +267,7 @@ def test_tree_table_round_trip_and_leaf_values(spark):
     back = boost.BoostModel.from_table(table, (1,), params)
     assert set(back.nodes) == set(model.nodes)
     rows = frame(spark, x, y).withColumnRenamed("pos", "doc_id")
-    got = {(r["doc_id"], r["round"]): r["value"] for r in boost.apply_trees(rows, table, (1,)).collect()}
+    got = {(r["doc_id"], r["round"]): r["value"] for r in boost.apply_trees(rows, table).collect()}
     for round_id in (0, 1):
         nodes = as_dict(model, 1, round_id)
         for i in range(n):
