@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lexigrade.llm.words import SPACE, Hasher, Rows, shingles
 from lexigrade.session import write_stage
 
-BLOCK_TEXTS = 64
+BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 1 << 21
 COLUMNS = 4096
 
