@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +38,7 @@ class SearchParams(NamedTuple):
     overlap: float = 0.5
     words: int = 5
     step: int = 32
-    block: int = 8
+    block: int = 2
     shard_postings: int = 1_000_000
 
 
@@ -107,8 +108,11 @@ class Shard:
 
     def __init__(self, table: pa.Table, params: SearchParams):
         self.ids = table["item_id"].to_pylist()
-        part = lambda name: [np.array(x, np.int64).view(np.uint64) for x in table[name].to_pylist()]
-        self.question, self.answer = part("question"), part("answer")
+        self.parts = []  # shingle size and shingles of question and answer
+        for halves in zip(table["question"].to_pylist(), table["answer"].to_pylist()):
+            hashes = [np.array(x, np.int64).view(np.uint64) for x in halves]
+            sizes = [max(1, min(params.words, len(x))) for x in hashes]
+            self.parts.append([(n, frozenset(grams(x, n).tolist())) for n, x in zip(sizes, hashes)])
         self.n_words = table["n_words"].to_pylist()
         self.block = params.block
         self.blocks = -(-len(self.ids) // params.block)
@@ -127,6 +131,7 @@ class Shard:
         self.block_top = np.maximum.reduceat(self.impacts, first) if len(first) else np.empty(0)
         self.block_of = cells % max(1, self.blocks)
         self.block_starts = np.searchsorted(cells, np.arange(len(self.terms) + 1) * self.blocks)
+        self.read: dict[int, tuple] = {}  # posting lists as Python lists, once used
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Term numbers of word hashes, -1 for words that no item has."""
@@ -153,48 +158,51 @@ class Shard:
     def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Items whose summed impacts over ``terms`` reach the threshold: block-max WAND."""
         end = len(self.ids)
-        lists = []
+        lists = []  # current item, place in the list, items, impacts, list maximum, block maxima
         for t in terms:
-            a, b = self.starts[t], self.ends[t]
-            c, d = self.block_starts[t], self.block_starts[t + 1]
-            tops = dict(zip(self.block_of[c:d].tolist(), self.block_top[c:d].tolist()))
-            lists.append([0, self.items[a:b].tolist() + [end], self.impacts[a:b].tolist(), float(self.top[t]), tops])
+            if t not in self.read:
+                a, b = self.starts[t], self.ends[t]
+                c, d = self.block_starts[t], self.block_starts[t + 1]
+                tops = dict(zip(self.block_of[c:d].tolist(), self.block_top[c:d].tolist()))
+                self.read[t] = (self.items[a:b].tolist() + [end], self.impacts[a:b].tolist(), float(self.top[t]), tops)
+            lists.append([self.read[t][0][0], 0, *self.read[t]])
         found = []
 
-        def advance(one: list, to: int) -> None:
-            one[0] = bisect_left(one[1], to, one[0])
+        def advance(ones: list[list], to: int) -> None:
+            for one in ones:
+                if one[0] < to:
+                    one[1] = bisect_left(one[2], to, one[1])
+                    one[0] = one[2][one[1]]
 
+        current = itemgetter(0)
         while True:
-            lists.sort(key=lambda x: x[1][x[0]])
+            lists.sort(key=current)
             total, pivot = 0.0, -1
             for i, one in enumerate(lists):
-                total += one[3]
+                total += one[4]
                 if total >= threshold:
                     pivot = i
                     break
-            if pivot < 0:
+            if pivot < 0 or lists[pivot][0] == end:
                 return found
-            item = lists[pivot][1][lists[pivot][0]]
-            if item == end:
-                return found
-            while pivot + 1 < len(lists) and lists[pivot + 1][1][lists[pivot + 1][0]] == item:
+            item = lists[pivot][0]
+            while pivot + 1 < len(lists) and lists[pivot + 1][0] == item:
                 pivot += 1
-            block = item // self.block
-            if sum(one[4].get(block, 0.0) for one in lists[: pivot + 1]) < threshold:
+            block, bound = item // self.block, 0.0
+            for one in lists[: pivot + 1]:
+                bound += one[5].get(block, 0.0)
+            if bound < threshold:
                 after = min(end, (block + 1) * self.block)
                 if pivot + 1 < len(lists):
-                    after = min(after, lists[pivot + 1][1][lists[pivot + 1][0]])
-                for one in lists[: pivot + 1]:
-                    advance(one, after)
-            elif lists[0][1][lists[0][0]] == item:
-                score = sum(one[2][one[0]] for one in lists[: pivot + 1])
+                    after = min(after, lists[pivot + 1][0])
+                advance(lists[: pivot + 1], after)
+            elif lists[0][0] == item:
+                score = sum(one[3][one[1]] for one in lists[: pivot + 1])
                 if score >= threshold:
                     found.append((item, score))
-                for one in lists[: pivot + 1]:
-                    advance(one, item + 1)
+                advance(lists[: pivot + 1], item + 1)
             else:
-                for one in lists[:pivot]:
-                    advance(one, item)
+                advance(lists[:pivot], item)
 
 
 def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[int, dict[int, tuple]]:
@@ -210,10 +218,12 @@ def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[i
     left = first[row] + half
     window = np.concatenate([left, left[half > 0] - 1])
     pairs = np.unique(window * len(shard.terms) + np.concatenate([term, term[half > 0]]))
-    window, term = np.divmod(pairs, max(1, len(shard.terms)))
-    ids, at, window = np.unique(window, return_index=True, return_inverse=True)
-    if not len(ids):
+    if not len(pairs):
         return {}
+    ids, term = np.divmod(pairs, len(shard.terms))
+    new = np.concatenate([[True], ids[1:] != ids[:-1]])
+    at, window = np.flatnonzero(new), np.cumsum(new) - 1
+    ids = ids[at]
     bound = np.add.reduceat(shard.top[term], at)
     kept = bound >= params.score
     new = np.cumsum(kept) - 1
@@ -221,6 +231,7 @@ def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[i
     ids, window, term = ids[kept], new[window[some]], term[some]
     good = shard.block_bounds(window, term, len(ids)) >= params.score
     out: dict[int, dict[int, tuple]] = {}
+    grams_of: dict[tuple[int, int], np.ndarray] = {}
     for w in np.flatnonzero(good).tolist():
         a, b = np.searchsorted(window, [w, w + 1])
         hits = shard.wand(term[a:b].tolist(), params.score)
@@ -230,12 +241,13 @@ def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[i
         own = words.hashes[words.bounds[r] : words.bounds[r + 1]]
         begin = int(ids[w] - first[r]) * step
         for item, score in hits:
-            reach = shard.n_words[item]
-            around = own[max(0, begin - reach) : begin + 2 * step + reach]
+            low, high = max(0, begin - shard.n_words[item]), begin + 2 * step + shard.n_words[item]
             shares = []
-            for part in (shard.question[item], shard.answer[item]):
-                size = min(params.words, len(part))
-                shares.append(float(np.isin(grams(part, size), grams(around, size)).mean()) if size else 1.0)
+            for size, part in shard.parts[item]:
+                if (r, size) not in grams_of:
+                    grams_of[r, size] = grams(own, size)
+                around = grams_of[r, size][low : max(low, high - size + 1)]
+                shares.append(len(part.intersection(around.tolist())) / len(part) if part else 1.0)
             was = out.setdefault(r, {}).get(item)
             if min(shares) >= params.overlap and (was is None or (min(shares), score) > (min(was[1:3]), was[0])):
                 out[r][item] = (score, *shares, begin)
