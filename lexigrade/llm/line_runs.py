@@ -122,7 +122,7 @@ def line_filter(min_chars: int):
             lines = (text or "").split("\n")
             gone = set(keys or ())
             kept = [x for x in lines if len(x) < min_chars or line_key(x, min_chars) not in gone] if gone else lines
-            out.append((len(lines), len(lines) - len(kept), text if len(kept) == len(lines) else "\n".join(kept)))
+            out.append((len(lines), len(lines) - len(kept), (text or "") if len(kept) == len(lines) else "\n".join(kept)))
         fields = zip(*out) if out else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(f, t) for f, t in zip(fields, (pa.int64(), pa.int64(), pa.string()))], ["lines", "dropped", "text"])
 
@@ -134,7 +134,7 @@ def drop_common_lines(docs: DataFrame, params: LineParams = LineParams()) -> Dat
 
     A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` with A-Z lower-cased. Keys of at least ``min_chars`` code
     points in at least ``min_docs`` documents stay only in the document of largest id, in all its rows. A null or
-    empty text is one empty line and stays as it is. Repeated rows of an id are one document; an empty table stays
+    empty text is one empty line (the new text is empty). A column of that name is replaced. Repeated rows of an id are one document; an empty table stays
     empty; other columns pass through.
     """
     lost = dropped_keys(docs, params).select(F.col("doc_id").alias("__lines_id"), F.col("keys").alias("__lines_lost"))
