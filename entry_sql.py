@@ -133,56 +133,62 @@ def features(level: str, rep: str) -> None:
 
 
 features("lang", "bow")
+features("toxic", "bow")
 features("source", "tfidf")
 
 # Rows, classes and cells of the level that the models use.
-cte("rows0", "SELECT doc_id, split, y FROM lab_lang WHERE y <> -1", "lab_lang")
-cte("classes", "SELECT DISTINCT y AS class FROM rows0 WHERE split = 'train'", "rows0")
-cte("x", "SELECT * FROM x_lang_bow", "x_lang_bow")
-cte("dc", "SELECT doc_id, split, y, class, CAST(y = class AS INTEGER) AS target FROM rows0, classes", "rows0", "classes")
+def level_rows(level: str, t: str = "") -> None:
+    cte(f"rows0{t}", f"SELECT doc_id, split, y FROM lab_{level} WHERE y <> -1", f"lab_{level}")
+    cte(f"classes{t}", f"SELECT DISTINCT y AS class FROM rows0{t} WHERE split = 'train'", f"rows0{t}")
+    cte(f"x{t}", f"SELECT * FROM x_{level}_bow", f"x_{level}_bow")
+    cte(f"dc{t}", f"SELECT doc_id, split, y, class, CAST(y = class AS INTEGER) AS target FROM rows0{t}, classes{t}", f"rows0{t}", f"classes{t}")
+    cte(f"ntrain_rows{t}", f"SELECT count(*) AS n FROM rows0{t} WHERE split = 'train'", f"rows0{t}")
 
 
-def step(i: int) -> None:
+def step(i: int, t: str = "") -> None:
     """One full-batch step of the L1 logistic regression: probabilities, then weights."""
     lr, alpha = 0.01, 0.01
     if i == 1:
-        cte("p0", "SELECT doc_id, class, target, 0.5 AS p FROM dc WHERE split = 'train'", "dc")
-        before_w, before_b, needs = "0.0", "0.0", ("p0",)
+        cte(f"p0{t}", f"SELECT doc_id, class, target, 0.5 AS p FROM dc{t} WHERE split = 'train'", f"dc{t}")
+        before_w, before_b, needs = "0.0", "0.0", (f"p0{t}",)
     else:
-        before_w, before_b, needs = "coalesce(o.w, 0.0)", "o.b", (f"p{i - 1}", f"w{i - 1}", f"b{i - 1}")
-    old_w = "" if i == 1 else f"LEFT JOIN w{i - 1} o USING (class, feature_id)"
-    old_b = "" if i == 1 else f"JOIN b{i - 1} o USING (class)"
+        before_w, before_b, needs = "coalesce(o.w, 0.0)", "o.b", (f"p{i - 1}{t}", f"w{i - 1}{t}", f"b{i - 1}{t}")
+    old_w = "" if i == 1 else f"LEFT JOIN w{i - 1}{t} o USING (class, feature_id)"
+    old_b = "" if i == 1 else f"JOIN b{i - 1}{t} o USING (class)"
     cte(
-        f"w{i}",
+        f"w{i}{t}",
         f"""SELECT class, feature_id, {before_w} - {lr} * (g / n + {alpha} / n * sign({before_w})) AS w
-        FROM (SELECT class, feature_id, sum(value * (p - target)) AS g FROM p{i - 1} JOIN x USING (doc_id) GROUP BY class, feature_id)
-        CROSS JOIN ntrain_rows {old_w}""",
+        FROM (SELECT class, feature_id, sum(value * (p - target)) AS g FROM p{i - 1}{t} JOIN x{t} USING (doc_id) GROUP BY class, feature_id)
+        CROSS JOIN ntrain_rows{t} {old_w}""",
         *needs,
-        "x",
-        "ntrain_rows",
+        f"x{t}",
+        f"ntrain_rows{t}",
     )
     cte(
-        f"b{i}",
-        f"SELECT class, {before_b} - {lr} * g AS b FROM (SELECT class, avg(p - target) AS g FROM p{i - 1} GROUP BY class) {old_b}",
+        f"b{i}{t}",
+        f"SELECT class, {before_b} - {lr} * g AS b FROM (SELECT class, avg(p - target) AS g FROM p{i - 1}{t} GROUP BY class) {old_b}",
         *needs,
     )
     cte(
-        f"z{i}",
-        f"""SELECT doc_id, split, y, dc.class, target, coalesce(s.s, 0.0) + b.b AS z, coalesce(s.s, 0.0) - b.b AS margin
-        FROM dc JOIN b{i} b USING (class)
-        LEFT JOIN (SELECT doc_id, class, sum(value * w) AS s FROM x JOIN w{i} USING (feature_id) GROUP BY 1, 2) s USING (doc_id, class)""",
-        "dc",
-        "x",
-        f"w{i}",
-        f"b{i}",
+        f"z{i}{t}",
+        f"""SELECT doc_id, split, y, dc{t}.class, target, coalesce(s.s, 0.0) + b.b AS z, coalesce(s.s, 0.0) - b.b AS margin
+        FROM dc{t} JOIN b{i}{t} b USING (class)
+        LEFT JOIN (SELECT doc_id, class, sum(value * w) AS s FROM x{t} JOIN w{i}{t} USING (feature_id) GROUP BY 1, 2) s USING (doc_id, class)""",
+        f"dc{t}",
+        f"x{t}",
+        f"w{i}{t}",
+        f"b{i}{t}",
     )
-    cte(f"pp{i}", f"SELECT doc_id, split, y, class, target, 1.0 / (1.0 + exp(-greatest(least(z, 700.0), -700.0))) AS p FROM z{i}", f"z{i}")
-    cte(f"p{i}", f"SELECT doc_id, class, target, p FROM pp{i} WHERE split = 'train'", f"pp{i}")
+    cte(f"pp{i}{t}", f"SELECT doc_id, split, y, class, target, 1.0 / (1.0 + exp(-greatest(least(z, 700.0), -700.0))) AS p FROM z{i}{t}", f"z{i}{t}")
+    cte(f"p{i}{t}", f"SELECT doc_id, class, target, p FROM pp{i}{t} WHERE split = 'train'", f"pp{i}{t}")
 
 
-cte("ntrain_rows", "SELECT count(*) AS n FROM rows0 WHERE split = 'train'", "rows0")
+level_rows("lang")
+level_rows("toxic", "_toxic")
 step(1)
 step(2)
+for _i in (1, 2, 3):
+    step(_i, "_toxic")
 
 # First trees: p = 1/2, so a cell needs only its rows and its rows of the class.
 LAMBDA, GAMMA, MIN_ROWS, MIN_GAIN, RATE = 1.0, 0.1, 5, 0.01, 0.1
@@ -372,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "tfidf_l2": statement("SELECT doc_id, term, round(value, 6) AS value FROM weighted WHERE split = 'train'", "weighted"),
         "transform_heldout": statement("SELECT doc_id, split, term, round(value, 6) AS value FROM weighted WHERE split <> 'train'", "weighted"),
         "term_weight_rank": statement(both("SELECT '{rep}' AS representation, term, round(weight, 6) AS weight, rank FROM rank_{rep}"), "rank_bow", "rank_tfidf"),
-        "skip_top_words": statement(both(f"SELECT '{{rep}}' AS representation, term, {KEPT} AS kept FROM rank_{{rep}} WHERE rank <= {SKIP_TOP}"), "rank_bow", "rank_tfidf"),
+        "skip_top_words": statement(both(f"SELECT '{{rep}}' AS representation, term, rank, {KEPT} AS kept FROM rank_{{rep}}"), "rank_bow", "rank_tfidf"),
         "keep_columns": statement("SELECT doc_id, split, term, value FROM mat_bow", "mat_bow"),
         "vocabulary": statement("SELECT term, term_id FROM voc", "voc"),
         "label_index": statement(
@@ -397,6 +403,9 @@ def oracle_sql() -> dict[str, str]:
         "lr_fit_batch": statement(
             "SELECT class, feature_id, round(w, 8) AS w FROM w2 WHERE w <> 0 UNION ALL SELECT class, -1, round(b, 8) FROM b2", "w2", "b2"
         ),
+        "lr_ovr_fit": statement(
+            "SELECT class, feature_id, round(w, 8) AS w FROM w3_toxic WHERE w <> 0 UNION ALL SELECT class, -1, round(b, 8) FROM b3_toxic", "w3_toxic", "b3_toxic"
+        ),
         "lr_curve": statement(
             binary(
                 " UNION ALL ".join(

@@ -28,10 +28,8 @@ STOP_WINDOW = 100
 CURVE_EVERY = 100
 
 CELLS = ("tp", "fp", "fn", "tn")
-# Cells of the dense block of one chained mini-batch job.
-CHAIN_CELLS = 32_000_000
-# Cells of all partial gradients that the driver may add up itself.
-DRIVER_CELLS = 2_000_000
+# Arrays per class that Spark leaves of the tasks' partial gradients.
+GRADIENT_PARTS = 32
 
 
 @dataclass(frozen=True)
@@ -40,14 +38,12 @@ class LogRegParams:
     n_iter: int = 1000
     tolerance: float = 1e-6
     alpha: float = 0.01
-    # Rows of a mini-batch in row order; None takes all rows at once.
-    batch_size: int | None = 256
+    # Rows of a mini-batch in row order, one distributed job each; None takes all rows at once.
+    batch_size: int | None = None
     # 'auto': single random rows for more than two classes, mini-batches otherwise.
     mode: str = "auto"
     # Seed of the random draws.
     seed: int = 0
-    # Rows that one task may hold when mini-batches are chained.
-    block_rows: int = 50_000
 
 
 @dataclass(frozen=True)
@@ -102,19 +98,30 @@ def gradient(rows: DataFrame, model: LinearModel) -> DataFrame:
     return summed.withColumn("feature_id", F.when(F.col("feature_id") == model.n_features, -1).otherwise(F.col("feature_id")))
 
 
-def _gradient_matrix(rows: DataFrame, model: LinearModel, partitions: int) -> np.ndarray:
-    """The summed gradient, model sized, on the driver; the last column is the bias.
+def _added(parts: DataFrame) -> DataFrame:
+    """``parts`` with the arrays of each class added up to ``GRADIENT_PARTS`` arrays."""
 
-    A few small parts are added here; many are added by Spark first.
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for g in batch.column("g"):
+                values = g.values.to_numpy()
+                total = values.copy() if total is None else total + values
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), list_column(total[None, :])], names=["class", "g"])
+
+    dealt = parts.withColumn("part", F.spark_partition_id() % GRADIENT_PARTS)
+    return dealt.groupBy("class", "part").applyInArrow(add, "class int, g array<double>")
+
+
+def _gradient_matrix(rows: DataFrame, model: LinearModel) -> np.ndarray:
+    """The summed gradient, model sized; the last column is the bias.
+
+    Spark adds the arrays of the tasks; at most ``GRADIENT_PARTS`` per class reach the driver.
     """
     out = np.zeros((len(model.classes), model.n_features + 1))
     at = {c: i for i, c in enumerate(model.classes)}
-    if partitions * out.size <= DRIVER_CELLS:
-        for r in gradient_parts(rows, model).collect():
-            out[at[r["class"]]] += r["g"]
-    else:
-        for r in gradient(rows, model).collect():
-            out[at[r["class"]], r["feature_id"]] = r["g"]
+    for r in _added(gradient_parts(rows, model)).collect():
+        out[at[r["class"]]] += r["g"]
     return out
 
 
@@ -153,59 +160,29 @@ def _start(classes: tuple[int, ...], n_features: int) -> _Progress:
 
 
 def lr_fit_batch(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """Mini-batches in row order from rows ``(pos, y, ids, vals)``; ``batch_size=None`` takes all rows at once."""
-    block = max(1, min(params.block_rows, CHAIN_CELLS // max(1, n_features)))
-    if params.batch_size is None or params.batch_size > block:
-        return _fit_distributed(rows, n_rows, n_features, classes, params)
-    if n_rows <= block:
-        return _fit_one_block(rows, n_rows, n_features, classes, params)
-    return _fit_chained(rows, n_rows, n_features, classes, params, block // params.batch_size * params.batch_size)
-
-
-def _fit_distributed(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """Large batches: the gradient of each is one job over all its rows."""
+    """Mini-batches in row order from rows ``(pos, y, ids, vals)``: the gradient of each is one job over all its rows."""
     size = params.batch_size or n_rows
     run = _start(classes, n_features)
     rows = rows.select("pos", "y", "ids", "vals").persist()
-    partitions = rows.rdd.getNumPartitions()
-    for iteration in range(1, params.n_iter + 1):
-        if not run.active.any():
-            break
-        dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
-        for start in range(0, n_rows, size):
-            end = min(start + size, n_rows)
-            batch = rows if size >= n_rows else rows.where(F.col("pos").between(start, end - 1))
-            g = _gradient_matrix(batch, LinearModel(classes, run.w, run.b), partitions) / (end - start)
-            dw, db = g[:, :-1] + params.alpha / n_rows * np.sign(run.w), g[:, -1]
-            run.step(dw, db, params.lr)
-            dw_sum += np.linalg.norm(dw, axis=1)
-            db_sum += np.abs(db)
-        run.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
-    rows.unpersist()
+    try:
+        for iteration in range(1, params.n_iter + 1):
+            if not run.active.any():
+                break
+            dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
+            for start in range(0, n_rows, size):
+                end = min(start + size, n_rows)
+                batch = rows if size >= n_rows else rows.where(F.col("pos").between(start, end - 1))
+                g = _gradient_matrix(batch, LinearModel(classes, run.w, run.b)) / (end - start)
+                dw, db = g[:, :-1] + params.alpha / n_rows * np.sign(run.w), g[:, -1]
+                run.step(dw, db, params.lr)
+                dw_sum += np.linalg.norm(dw, axis=1)
+                db_sum += np.abs(db)
+            run.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
+    finally:
+        rows.unpersist()
     return run.result()
 
 
-def _pass_block(run: _Progress, dense: np.ndarray, y: np.ndarray, n_rows: int, params: LogRegParams) -> tuple[np.ndarray, np.ndarray]:
-    """The mini-batches of one block in order; returns the summed norms of their gradients."""
-    dw_sum, db_sum = np.zeros(len(run.classes)), np.zeros(len(run.classes))
-    for start in range(0, len(y), params.batch_size):
-        x = dense[start : start + params.batch_size]
-        error = _logistic(x @ run.w.T + run.b) - _targets(y[start : start + params.batch_size], run.classes)
-        dw = error.T @ x / len(x) + params.alpha / n_rows * np.sign(run.w)
-        db = error.mean(axis=0)
-        run.step(dw, db, params.lr)
-        dw_sum += np.linalg.norm(dw, axis=1)
-        db_sum += np.abs(db)
-    return dw_sum, db_sum
-
-
-def _block_matrix(table: pa.Table, n_features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dense rows of a block in row order, and their labels."""
-    table = table.combine_chunks().sort_by("pos")
-    dense = np.vstack([block.dense() for block in row_blocks(table.to_batches(), n_features)])
-    return dense, table.column("y").to_numpy()
-
-
 _CLASS_SCHEMA = "class int, iteration int, last boolean, w array<double>, b double"
 
 
@@ -226,57 +203,6 @@ def _trained(points: DataFrame, n_features: int, classes: tuple[int, ...]) -> Lo
     return LogRegFit(LinearModel(tuple(classes), weights, bias), snapshots, {c: r["iteration"] for c, r in final.items()})
 
 
-def _fit_one_block(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """No more rows than one block holds: the sequential batches of all iterations run in one task."""
-
-    def train(table: pa.Table) -> pa.Table:
-        dense, y = _block_matrix(table, n_features)
-        run = _start(classes, n_features)
-        for iteration in range(1, params.n_iter + 1):
-            if not run.active.any():
-                break
-            norms = _pass_block(run, dense, y, n_rows, params)
-            run.close_iteration(iteration, *norms, params.tolerance)
-        ends = [Snapshot(c, run.iterations.get(c, 0), run.w[i], float(run.b[i])) for i, c in enumerate(classes)]
-        every = [*run.snapshots, *ends]
-        last = [False] * len(run.snapshots) + [True] * len(ends)
-        return _points([s.target for s in every], [s.iteration for s in every], last, np.vstack([s.w for s in every]), [s.b for s in every])
-
-    block = rows.select("pos", "y", "ids", "vals").groupBy(F.lit(0).alias("block"))
-    return _trained(block.applyInArrow(train, _CLASS_SCHEMA), n_features, classes)
-
-
-_BLOCK_SCHEMA = "w array<double>, b double, dw_sum double, db_sum double"
-
-
-def _fit_chained(
-    rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams, span: int
-) -> LogRegFit:
-    """Row order makes the batches sequential: one block of ``span`` rows per job, all classes together in it."""
-    run = _start(classes, n_features)
-    for iteration in range(1, params.n_iter + 1):
-        if not run.active.any():
-            break
-        dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
-        for start in range(0, n_rows, span):
-            before = (run.w, run.b, run.active)
-
-            def replay(table: pa.Table) -> pa.Table:
-                dense, y = _block_matrix(table, n_features)
-                state = _Progress(np.array(classes), before[0].copy(), before[1].copy(), before[2])
-                norms = _pass_block(state, dense, y, n_rows, params)
-                return pa.table({"w": list_column(state.w), "b": state.b, "dw_sum": norms[0], "db_sum": norms[1]})
-
-            block = rows.where(F.col("pos").between(start, start + span - 1)).select("pos", "y", "ids", "vals")
-            out = block.groupBy(F.lit(start).alias("block")).applyInArrow(replay, _BLOCK_SCHEMA).collect()
-            run.w = np.array([r["w"] for r in out]).reshape(len(classes), n_features)
-            run.b = np.array([r["b"] for r in out])
-            dw_sum += [r["dw_sum"] for r in out]
-            db_sum += [r["db_sum"] for r in out]
-        run.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
-    return run.result()
-
-
 def draw_rows(rows: DataFrame, n_rows: int, classes: tuple[int, ...], params: LogRegParams) -> DataFrame:
     """``(class, step, pos)``: one uniformly drawn row position per class and step, reproducible from the seed."""
     spark = rows.sparkSession

@@ -45,7 +45,7 @@ def test_every_document_gets_one_prediction(spark):
 
 def test_runs_over_levels(spark):
     docs = entry_queries.levelled(spark, SF_SMALL)
-    summary, fits = runs.lr_levels(docs, ("lang", "toxic"), FEATURES, logreg.LogRegParams(n_iter=100, batch_size=20))
+    summary, fits = runs.lr_levels(docs, ("lang", "toxic"), FEATURES, logreg.LogRegParams(n_iter=100))
     assert set(fits) == {"lang", "toxic"}
     assert {(r["level"], r["split"]) for r in summary.collect()} == {(v, s) for v in ("lang", "toxic") for s in ("train", "validation", "test")}
     both = runs.svm_levels(docs, ("lang",), features=FEATURES, params=svm.SvmParams(n_iters=3)).collect()
