@@ -165,7 +165,7 @@ def q_fit_vocab(spark, sf):
 
 
 def q_doc_freq(spark, sf):
-    return vectorize.doc_freq(vectorize.term_counts(_train(spark, sf)))
+    return vectorize.corpus_terms(_train(spark, sf)).select("term", "df")
 
 
 def q_corpus_vocabulary(spark, sf):
@@ -302,9 +302,9 @@ def _step_model(spark, sf, steps: int = 1) -> linear.LinearModel:
 
 
 def _long_scores(spark, sf, bias_sign: int) -> DataFrame:
-    data, model = level_data(spark, sf), _step_model(spark, sf)
-    tables = model.weight_table(spark), model.bias_table(spark)
-    return linear.linear_scores_long(data.rows, *tables, model.weights.size, len(model.classes), bias_sign)
+    """``(doc_id, class, score)``, scored in one map."""
+    model = _step_model(spark, sf)
+    return linear.per_class(linear.linear_scores(level_data(spark, sf).rows, model, bias_sign, ("doc_id",)), ("doc_id",), model.classes)
 
 
 def _margins(spark, sf):
@@ -386,18 +386,18 @@ def q_lr_curve(spark, sf):
     return curve.withColumn("accuracy", F.round("accuracy", 6))
 
 
-def _class_scores(scored: DataFrame, name: str) -> DataFrame:
-    return linear.per_class(scored, ("doc_id",), name)
+def _class_scores(scored: DataFrame, name: str, classes: tuple[int, ...]) -> DataFrame:
+    return linear.per_class(scored, ("doc_id",), classes, name)
 
 
 def q_lr_proba(spark, sf):
     scored = logreg.lr_ovr_scores(level_data(spark, sf).rows, _step_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").withColumn("p", F.round("p", 6))
+    return _class_scores(scored, "p", _step_model(spark, sf).classes).withColumn("p", F.round("p", 6))
 
 
 def q_lr_predict(spark, sf):
     scored = logreg.lr_ovr_scores(level_data(spark, sf).rows, _step_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").select("doc_id", "class", logreg.lr_predict(F.col("p")).alias("prediction"))
+    return _class_scores(scored, "p", _step_model(spark, sf).classes).select("doc_id", "class", logreg.lr_predict(F.col("p")).alias("prediction"))
 
 
 def q_lr_ovr_fit(spark, sf):
@@ -413,7 +413,7 @@ def q_lr_ovr_predict(spark, sf):
 
 def q_lr_ovr_proba(spark, sf):
     scored = logreg.lr_ovr_proba(level_data(spark, sf).rows, _step_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").withColumn("p", F.round("p", 6))
+    return _class_scores(scored, "p", _step_model(spark, sf).classes).withColumn("p", F.round("p", 6))
 
 
 def q_lr_run(spark, sf):
@@ -439,7 +439,7 @@ def q_init_logit(spark, sf):
 
 def q_grad_hess(spark, sf):
     data = level_data(spark, sf)
-    scored = linear.per_class(logreg.lr_ovr_scores(data.rows, _step_model(spark, sf), ("doc_id", "y")), ("doc_id", "y"), "p")
+    scored = linear.per_class(logreg.lr_ovr_scores(data.rows, _step_model(spark, sf), ("doc_id", "y")), ("doc_id", "y"), _step_model(spark, sf).classes, "p")
     g, h = boost.grad_hess(F.col("p"), (F.col("y") == F.col("class")).cast("double"))
     return scored.select("doc_id", "class", r6("g", g), r6("h", h))
 
@@ -517,17 +517,17 @@ def q_boost_ovr_fit(spark, sf):
 
 def q_boost_proba(spark, sf):
     scored = boost.boost_proba(level_data(spark, sf).rows, _tree_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").withColumn("p", F.round("p", 6))
+    return _class_scores(scored, "p", _tree_model(spark, sf).classes).withColumn("p", F.round("p", 6))
 
 
 def q_boost_predict(spark, sf):
     scored = boost.boost_proba(level_data(spark, sf).rows, _tree_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").select("doc_id", "class", boost.boost_predict(F.col("p")).alias("prediction"))
+    return _class_scores(scored, "p", _tree_model(spark, sf).classes).select("doc_id", "class", boost.boost_predict(F.col("p")).alias("prediction"))
 
 
 def q_boost_ovr_proba(spark, sf):
     scored = boost.boost_ovr_proba(level_data(spark, sf).rows, _tree_model(spark, sf), ("doc_id",))
-    return _class_scores(scored, "p").withColumn("p", F.round("p", 6))
+    return _class_scores(scored, "p", _tree_model(spark, sf).classes).withColumn("p", F.round("p", 6))
 
 
 def q_boost_ovr_predict(spark, sf):

@@ -85,10 +85,10 @@ def linear_scores_long(vectors: DataFrame, weights: DataFrame, bias: DataFrame,
     return spine.join(sums, ["doc_id", "class"], "left").select("doc_id", "class", score.alias("score"))
 
 
-def per_class(scored: DataFrame, keep: tuple[str, ...], name: str = "score", classes: tuple[int, ...] | None = None) -> DataFrame:
+def per_class(scored: DataFrame, keep: tuple[str, ...], classes: tuple[int, ...], name: str = "score") -> DataFrame:
     """``(keep..., class, name)``: one row per document and class from the ``scores`` array."""
     rows = scored.select(*keep, F.posexplode("scores").alias("class", name))
-    if classes is None or tuple(classes) == tuple(range(len(classes))):
+    if tuple(classes) == tuple(range(len(classes))):
         return rows
     listed = F.array(*[F.lit(c) for c in classes])
     return rows.withColumn("class", F.get(listed, F.col("class")))

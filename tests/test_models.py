@@ -149,7 +149,7 @@ def test_scores_by_matrix_and_by_join_agree(spark, monkeypatch, dense_width):
     rng = np.random.default_rng(13)
     model = linear.LinearModel(tuple(range(k)), rng.normal(size=(k, width)), rng.normal(size=k))
     rows = frame(spark, x, np.zeros(n)).withColumnRenamed("pos", "doc_id")
-    by_matrix = {(r["doc_id"], r["class"]): r["score"] for r in linear.per_class(linear.linear_scores(rows, model, -1, ("doc_id",)), ("doc_id",)).collect()}
+    by_matrix = {(r["doc_id"], r["class"]): r["score"] for r in linear.per_class(linear.linear_scores(rows, model, -1, ("doc_id",)), ("doc_id",), model.classes).collect()}
     joined = linear.linear_scores_long(rows, model.weight_table(spark), model.bias_table(spark), k * width, k, -1).collect()
     assert len(joined) == n * k == len(by_matrix)
     for r in joined:
