@@ -14,17 +14,17 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexigrade.llm.shared import share
 from lexigrade.llm.words import NOT_ALNUM, Hasher, Rows, shingles
 from lexigrade.session import write_stage
 
@@ -257,13 +257,13 @@ def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[i
 HITS = "array<struct<item_id:bigint,score:double,question:double,answer:double,word:bigint>>"
 
 
-def _find_in(held: Broadcast, params: SearchParams, step: int):
+def _find_in(held: Callable[[], Shard], params: SearchParams, step: int):
     names = ("item_id", "score", "question", "answer", "word")
     types = (pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
 
     @F.arrow_udf(HITS)
     def find(texts: pa.Array) -> pa.Array:
-        shard, out = held.value, []
+        shard, out = held(), []
         for low, high, words in Hasher(NOT_ALNUM).chunks(lower(texts)):
             hits = search(shard, words, params, step)
             for r in range(high - low):
@@ -284,7 +284,7 @@ def finder(docs: DataFrame, items: DataFrame, params: SearchParams):
     for number in shards:
         # At most about `shard_postings` postings.
         shard = Shard(index.filter(F.col("shard") == number).orderBy("item").toArrow(), params)
-        functions.append(_find_in(spark.sparkContext.broadcast(shard), params, step))
+        functions.append(_find_in(share(spark, shard), params, step))
     if not functions:
         return lambda text: F.array().cast(HITS)
     return lambda text: F.concat(*[f(text) for f in functions])

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexigrade.llm.shared import share
 from lexigrade.llm.words import mix
 from lexigrade.session import write_stage
 
@@ -137,21 +138,29 @@ class WordModel(NamedTuple):
         return np.bincount(found.word, found.weight * self.weights[found.feature], len(words)) + self.bias
 
 
-def fit_words(positive: list[str], negative: list[str], params: ToxicParams) -> WordModel:
+def spread(side: list[str], n: int) -> list[str]:
+    """``n`` of the ranked words: the first half of them from the top, the others evenly from the rest."""
+    top, rest = side[: n // 2], side[n // 2 :]
+    more = min(len(rest), n - len(top))
+    return top + [rest[i] for i in np.unique(np.linspace(0, len(rest) - 1, more).astype(int))] if more else top
+
+
+def fit_words(positive: list[str], negative: list[str], params: ToxicParams, evidence: list[float] | None = None) -> WordModel:
     words = positive + negative
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     if not positive or not negative:
         return WordModel(np.zeros(1 << BITS, np.float32), -1.0)
-    # Half of the landmarks from each side, evenly over the ranks.
-    half = params.landmarks // 2
-    pick = lambda side: [side[i] for i in np.unique(np.linspace(0, len(side) - 1, min(half, len(side))).astype(int))]
-    marks = pick(positive) + pick(negative)
+    # Half of the landmarks from each side.
+    marks = spread(positive, params.landmarks // 2) + spread(negative, params.landmarks // 2)
     landmarks = subsequences(marks, params)
     inner = kernel(landmarks, len(marks), landmarks, len(marks))
     values, vectors = np.linalg.eigh(inner)
     root = vectors @ np.diag(np.where(values > 1e-6, values, np.inf) ** -0.5) @ vectors.T
     z = kernel(subsequences(words, params), len(words), landmarks, len(marks)) @ root
     balance = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
+    if evidence:
+        # Words of strong evidence may cost more; the mean stays one.
+        balance[: len(positive)] *= np.array(evidence) / np.mean(evidence)
     w, bias = svm(z, y, balance, params)
     weights = np.zeros(1 << BITS)
     np.add.at(weights, landmarks.feature, landmarks.weight * (root @ w)[landmarks.word])
@@ -263,18 +272,19 @@ def learn_words(seen: DataFrame, parts: list[int], base: float, params: ToxicPar
     clean = counted.filter((k <= base * n) & (n > 0))
     known = clean.orderBy(F.desc("c"), "word").limit(params.negatives // 3)
     other = clean.orderBy(F.xxhash64("word"), "word").limit(params.negatives - params.negatives // 3)
-    positive = [r.word for r in toxic.select("word").collect()]
+    ranked = toxic.select("word", "evidence").collect()
+    positive = [r.word for r in ranked]
     negative = list(dict.fromkeys(r.word for part in (known, other) for r in part.select("word").collect()))
-    return fit_words(positive, negative, params)
+    return fit_words(positive, negative, params, [r.evidence for r in ranked])
 
 
 def describe(sample: DataFrame, words: WordModel, params: ToxicParams) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the sample's documents: at most ``params.sample`` short rows."""
-    held = sample.sparkSession.sparkContext.broadcast(words)
+    held = share(sample.sparkSession, words)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = document_features(batch.column(0).to_pylist(), held.value, params)
+            found = document_features(batch.column(0).to_pylist(), held(), params)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
     table = sample.select("text", "label").mapInArrow(read, "x array<double>, label int").toArrow()
@@ -283,14 +293,14 @@ def describe(sample: DataFrame, words: WordModel, params: ToxicParams) -> tuple[
 
 def scorer(docs: DataFrame, model: Model, params: ToxicParams = ToxicParams()):
     """Column function: text -> score from 0 to 1. Null and empty texts are scored as texts without words."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size: one number per hashed subsequence
+    held = share(docs.sparkSession, model)  # a fixed size: one number per hashed subsequence
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         part, out = np.cumsum(lengths) // PART_BYTES, []
         for low, high in pairwise(np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()):
-            out.append(held.value.scores(texts.slice(low, high - low).to_pylist(), params))
+            out.append(held().scores(texts.slice(low, high - low).to_pylist(), params))
         return pa.array(np.concatenate(out) if out else [], pa.float64())
 
     return score
