@@ -6,9 +6,12 @@ of its span, so letters may be dropped between or inserted into an insult. Landm
 subsequences), so the machine folds into one weight per subsequence, and scoring a word costs its own subsequences, not
 the number of landmarks.
 
-Only documents carry labels. Words that labelled toxic documents have and clean ones lack are the positive examples
-(multiple-instance learning), words of clean documents the negative ones. A document's score is a logistic function of
-its largest word margins and of how many words lie above zero. Labels, language, source and id are never inputs.
+Only documents carry labels, so the words that make one toxic are found first (multiple-instance learning): of the
+words that toxic documents have and clean ones lack, a greedy cover takes those that explain most documents not yet
+explained. They are the positive examples; a word that merely shares its documents with an insult, as in copies of one
+text, explains nothing more and is neither positive nor negative. Words of clean documents are the negative examples, with
+those that a first machine takes for insults added for a second. A document's score is a logistic function of its
+largest word margins and of how many words lie above zero. Labels, language, source and id are never inputs.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexigrade.llm.shared import share
-from lexigrade.llm.words import mix
+from lexigrade.llm.words import SPACE, Hasher, mix, shingles
 from lexigrade.session import write_stage
 
 #: Characters that stand for letters.
@@ -41,13 +44,19 @@ PART_BYTES = 1 << 22
 class ToxicParams(NamedTuple):
     sample: int = 20_000
     """Labelled documents that are used for learning at most; those of smallest id hash."""
-    positives: int = 2_000
+    candidates: int = 2_000
+    """Words of strongest evidence among which the cover chooses."""
+    witnesses: int = 3
+    """Chosen words that explain a toxic document."""
+    support: int = 3
+    """Unexplained documents that a chosen word must explain at least."""
     negatives: int = 6_000
+    hard: int = 2_000
+    """Negative words of largest margin that are added for the second machine."""
     landmarks: int = 256
     span: int = 6
     decay: float = 0.6
-    c: float = 10.0
-    epochs: int = 12
+    c: float = 1.0
     evidence: float = 10.0
     share: float = 0.8
     folds: int = 3
@@ -111,19 +120,26 @@ def kernel(a: Subsequences, n: int, landmarks: Subsequences, m: int) -> np.ndarr
     return out
 
 
-def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, params: ToxicParams) -> tuple[np.ndarray, float]:
-    """Linear machine by dual coordinate descent (hinge loss, a constant feature for the bias)."""
+def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss by Newton steps with halving; the bias is all but free."""
     x = np.hstack([z, np.ones((len(z), 1))])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x**2).sum(1)
-    order = np.random.default_rng(1)
-    for _ in range(params.epochs):
-        for i in order.permutation(len(x)):
-            gradient = y[i] * (x[i] @ w) - 1
-            new = min(max(alpha[i] - gradient / diagonal[i], 0.0), params.c * weight[i])
-            if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
-                alpha[i] = new
+    w, ridge = np.zeros(x.shape[1]), np.ones(x.shape[1])
+    ridge[-1] = 1e-4
+
+    def loss(v: np.ndarray) -> float:
+        return (ridge * v * v).sum() / 2 + c * (weight * np.maximum(0, 1 - y * (x @ v)) ** 2).sum()
+
+    for _ in range(steps):
+        short = 1 - y * (x @ w)
+        at = short > 0
+        gradient = ridge * w - 2 * c * x[at].T @ (weight[at] * y[at] * short[at])
+        step = np.linalg.solve(np.diag(ridge) + 2 * c * (x[at] * weight[at][:, None]).T @ x[at], gradient)
+        now, size = loss(w), 1.0
+        while size > 1e-6 and loss(w - size * step) > now - 1e-4 * size * (gradient @ step):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-7:
+            break
     return w[:-1], float(w[-1])
 
 
@@ -145,7 +161,7 @@ def spread(side: list[str], n: int) -> list[str]:
     return top + [rest[i] for i in np.unique(np.linspace(0, len(rest) - 1, more).astype(int))] if more else top
 
 
-def fit_words(positive: list[str], negative: list[str], params: ToxicParams, evidence: list[float] | None = None) -> WordModel:
+def fit_words(positive: list[str], negative: list[str], params: ToxicParams) -> WordModel:
     words = positive + negative
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     if not positive or not negative:
@@ -158,10 +174,7 @@ def fit_words(positive: list[str], negative: list[str], params: ToxicParams, evi
     root = vectors @ np.diag(np.where(values > 1e-6, values, np.inf) ** -0.5) @ vectors.T
     z = kernel(subsequences(words, params), len(words), landmarks, len(marks)) @ root
     balance = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
-    if evidence:
-        # Words of strong evidence may cost more; the mean stays one.
-        balance[: len(positive)] *= np.array(evidence) / np.mean(evidence)
-    w, bias = svm(z, y, balance, params)
+    w, bias = svm(z, y, balance, params.c)
     weights = np.zeros(1 << BITS)
     np.add.at(weights, landmarks.feature, landmarks.weight * (root @ w)[landmarks.word])
     return WordModel(weights.astype(np.float32), bias)
@@ -233,8 +246,16 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicParams = ToxicParams())
     rows = labels.filter("doc_id is not null and label is not null").select("doc_id", F.col("label").cast("int").alias("label"))
     chosen = rows.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    part = F.pmod(F.xxhash64("text"), F.lit(params.folds)).cast("int")
-    sample = write_stage(texts.select("text", "label", part.alias("part")), "toxic-sample")
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("key", pa.array(smallest_shingles(batch.column(0)), pa.int64()))
+
+    # Near copies mostly share their smallest shingle: they teach once, and never sit on both sides of a fold.
+    keyed = texts.select("text", "label").mapInArrow(key, "text string, label int, key long")
+    part = F.pmod(F.xxhash64("key"), F.lit(params.folds)).cast("int")
+    once = keyed.groupBy("key", "label").agg(F.min("text").alias("text"))
+    sample = write_stage(once.select("text", "label", part.alias("part")), "toxic-sample")
     n_toxic, n_clean = sample.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     empty = np.zeros(FEATURES)
     if not n_toxic or not n_clean:
@@ -253,29 +274,82 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicParams = ToxicParams())
     # The weights of the document features come from documents that the word model has not seen.
     tables = []
     for left_out in range(params.folds):
-        words = learn_words(seen, [i for i in range(params.folds) if i != left_out], n_toxic / (n_toxic + n_clean), params)
+        words = learn_words(sample, seen, [i for i in range(params.folds) if i != left_out], n_toxic / (n_toxic + n_clean), params)
         tables.append(describe(sample.filter(F.col("part") == left_out), words, params))
     x, y = (np.concatenate(t) for t in zip(*tables))
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     coef, bias = logistic((x - mean) / scale, y)
-    return Model(learn_words(seen, list(range(params.folds)), n_toxic / (n_toxic + n_clean), params), mean, scale, coef, bias)
+    words = learn_words(sample, seen, list(range(params.folds)), n_toxic / (n_toxic + n_clean), params)
+    return Model(words, mean, scale, coef, bias)
+
+
+def smallest_shingles(texts: pa.Array) -> list[int]:
+    """Smallest hash of five words in a row, per text; 0 for texts without words."""
+    out = []
+    for low, high, words in Hasher(SPACE).chunks(texts):
+        hashes, bounds = shingles(words, 5)
+        for i in range(high - low):
+            own = hashes[bounds[i] : bounds[i + 1]]
+            out.append(int(own.min() >> np.uint64(1)) if len(own) else 0)
+    return out
+
 
+def cover(held: np.ndarray, params: ToxicParams) -> list[int]:
+    """Columns in the order of a greedy cover: each is the first of those that the most unexplained rows hold.
 
-def learn_words(seen: DataFrame, parts: list[int], base: float, params: ToxicParams) -> WordModel:
-    """Word model from the counts of some parts of the sample."""
+    A row is explained once it holds ``witnesses`` of them; the cover ends when no column has ``support`` unexplained rows."""
+    need = np.full(len(held), params.witnesses)
+    gain, out = held.sum(0), []
+    while len(gain) and gain.max() >= params.support:
+        best = int(gain.argmax())
+        out.append(best)
+        rows = held[:, best] & (need > 0)
+        need[rows] -= 1
+        gain -= held[rows & (need == 0)].sum(0)
+        gain[best] = -1
+    return out
+
+
+def learn_words(sample: DataFrame, seen: DataFrame, parts: list[int], base: float, params: ToxicParams) -> WordModel:
+    """Word model from some parts of the sample; ``seen`` holds the documents per word, label and part."""
     counted = seen.select("word", sum(F.col(f"toxic_{i}") for i in parts).alias("k"), sum(F.col(f"clean_{i}") for i in parts).alias("c"))
     n, k = F.col("k") + F.col("c"), F.col("k")
     # Log-likelihood ratio of the word's share of toxic documents against the overall share.
     term = lambda count, share: F.when(count > 0, count * F.log(count / (n * share))).otherwise(0.0)
     counted = counted.withColumn("evidence", 2 * (term(k, F.lit(base)) + term(n - k, F.lit(1 - base))))
-    toxic = counted.filter((F.col("evidence") >= params.evidence) & (k >= params.share * n)).orderBy(F.desc("evidence"), "word").limit(params.positives)
+    toxic = counted.filter((F.col("evidence") >= params.evidence) & (k >= params.share * n)).orderBy(F.desc("evidence"), "word").limit(params.candidates)
     clean = counted.filter((k <= base * n) & (n > 0))
     known = clean.orderBy(F.desc("c"), "word").limit(params.negatives // 3)
     other = clean.orderBy(F.xxhash64("word"), "word").limit(params.negatives - params.negatives // 3)
-    ranked = toxic.select("word", "evidence").collect()
-    positive = [r.word for r in ranked]
+    positive = explaining(sample.filter((F.col("label") == 1) & F.col("part").isin(parts)), [r.word for r in toxic.collect()], params)
     negative = list(dict.fromkeys(r.word for part in (known, other) for r in part.select("word").collect()))
-    return fit_words(positive, negative, params, [r.evidence for r in ranked])
+    model = fit_words(positive, negative, params)
+    if not positive or not negative:
+        return model
+    held = share(sample.sparkSession, model)
+
+    @F.arrow_udf("double")
+    def margin(words: pa.Array) -> pa.Array:
+        return pa.array(held().margins(words.to_pylist(), params), pa.float64())
+
+    hard = clean.select("word", margin("word").alias("margin")).orderBy(F.desc("margin"), "word").limit(params.hard).collect()
+    return fit_words(positive, list(dict.fromkeys(negative + [r.word for r in hard])), params)
+
+
+def explaining(toxic: DataFrame, words: list[str], params: ToxicParams) -> list[str]:
+    """Those of ``words`` that explain the toxic documents. The driver gets one bit per candidate and toxic row of the sample."""
+    known = share(toxic.sparkSession, {w: i for i, w in enumerate(words)})
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, len(words)), bool)
+            for row, text in enumerate(batch.column(0).to_pylist()):
+                bits[row, [known()[w] for w in set(units(text)) if w in known()]] = True
+            yield pa.RecordBatch.from_arrays([pa.array([b.tobytes() for b in np.packbits(bits, axis=1)], pa.binary())], ["bits"])
+
+    table = toxic.select("text").mapInArrow(read, "bits binary").toArrow()
+    raw = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(table.num_rows, -(-len(words) // 8))
+    return [words[i] for i in cover(np.unpackbits(raw, axis=1, count=len(words)).astype(bool), params)]
 
 
 def describe(sample: DataFrame, words: WordModel, params: ToxicParams) -> tuple[np.ndarray, np.ndarray]:

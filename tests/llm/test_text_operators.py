@@ -246,6 +246,35 @@ def test_toxicity_tolerates_gaps_and_insertions(spark, awkward, nothing):
     assert rows(toxicity.drop_toxic(nothing, empty)) == [] and toxicity.drop_toxic(awkward, empty).columns == awkward.columns
 
 
+def test_cover_leaves_out_words_that_explain_nothing():
+    params = toxicity.ToxicParams(witnesses=1, support=2)
+    held = np.array([[1, 0, 0, 0], [1, 0, 1, 0], [1, 0, 1, 0], [0, 1, 0, 0], [0, 1, 0, 0], [0, 0, 0, 1]], bool)
+    assert toxicity.cover(held, params) == [0, 1]
+    assert toxicity.cover(held, params._replace(witnesses=2)) == [0, 1, 2]
+    assert toxicity.cover(held[:0], params) == toxicity.cover(held[:, :0], params) == []
+
+
+def test_toxicity_ignores_the_other_words_of_copied_toxic_texts(spark):
+    docs, labels = [], []
+    for i in range(300):
+        words = prose(5000 + i, 60).split(" ")
+        if i % 6 == 0:
+            for k in range(3):
+                words.insert(10 * k + 5, ["gronkulous", "blithermuck"][(i // 6 + k) % 2])
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 6 == 0)))
+    # Forty near copies of one toxic text with words of its own; a clean text later uses those words.
+    own = [f"zap{chr(97 + j)}lenwort" for j in range(20)]
+    for i in range(300, 340):
+        docs.append((i, " ".join([*own, "gronkulous", "blithermuck", *prose(9, 40).split(" "), f"end{i}"])))
+        labels.append((i, 1))
+    docs.append((900, " ".join(own[:6]) + " " + prose(7000, 60)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    score = toxicity.scorer(table, toxicity.fit(table, spark.createDataFrame(labels, "doc_id long, label int")))
+    got = {r.doc_id: r.s for r in table.select("doc_id", score("text").alias("s")).collect()}
+    assert all((got[i] >= 0.5) == bool(y) for i, y in labels) and got[900] < 0.5
+
+
 def test_folded_machine_equals_the_landmark_machine():
     params = toxicity.ToxicParams(landmarks=8)
     words = ["idiot", "clown", "table", "window", "river", "stone", "garden", "moron"]
