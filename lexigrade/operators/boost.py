@@ -362,8 +362,8 @@ def split_candidates(hist: DataFrame, totals: dict[tuple[int, int], Totals], sta
     sums = [F.sum(c).alias(c) for c in SUMS]
     positive = F.col("value") > 0
     if stats.cuts is None:
-        # Few values per feature: one exchange on the feature serves the sums and the window.
-        cells = hist.repartition(*key).groupBy(*key, "value").agg(*sums)
+        # Few values per feature: summed before the exchange, so a frequent feature sends its values once per task.
+        cells = hist.groupBy(*key, "value").agg(*sums)
         outward = Window.partitionBy(*key, "positive").orderBy(F.desc(F.abs("value")))
         cells = cells.withColumn("positive", positive)
         running = cells.select("*", *[F.sum(c).over(outward.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_run") for c in SUMS])
