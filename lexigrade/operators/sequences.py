@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexigrade.functions.text import word_tokens
-from lexigrade.session import lookup_side
+from lexigrade import session
+from lexigrade.functions.tokens import find_terms, lists_of, token_blocks
+from lexigrade.operators.vectorize import tokenised, with_lists
 
 
 def encode_sequences(docs: DataFrame, vocab: DataFrame, vocab_rows: int, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -14,8 +19,19 @@ def encode_sequences(docs: DataFrame, vocab: DataFrame, vocab_rows: int, keep: t
 
     Words outside the vocabulary are dropped; a document without known words keeps an empty sequence.
     """
-    words = docs.repartition("doc_id").select("doc_id", *keep, F.posexplode_outer(word_tokens(F.col("text"))).alias("at", "term"))
-    known = words.join(lookup_side(vocab.select("term", "term_id"), vocab_rows), "term", "left")
+    if vocab_rows <= session.BROADCAST_ROWS:
+        table = vocab.select("term", "term_id").toArrow()
+        terms, ids = table["term"].combine_chunks(), table["term_id"].to_numpy().astype(int) + 1
+
+        def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for others, rows, tokens in token_blocks(batches):
+                at = find_terms(tokens, terms)
+                seq = lists_of(rows[at >= 0], len(others[0]), pa.array(ids[at[at >= 0]], pa.int64()))
+                yield pa.RecordBatch.from_arrays([*others, seq], ["doc_id", *keep, "seq"])
+
+        return tokenised(docs, keep).mapInArrow(encode, with_lists(docs, keep, seq=T.LongType()))
+    words = tokenised(docs, keep).select("doc_id", *keep, F.posexplode_outer("tokens").alias("at", "term"))
+    known = words.join(vocab.select("term", "term_id"), "term", "left")
     item = F.when(F.col("term_id").isNotNull(), F.struct("at", (F.col("term_id") + 1).alias("id")))
     seq = F.transform(F.sort_array(F.collect_list(item)), lambda e: e["id"].cast("long"))
     return known.groupBy("doc_id", *keep).agg(seq.alias("seq"))

@@ -1,17 +1,22 @@
 """Term counts, vocabulary, TF-IDF weights and packed document vectors.
 
-The vocabulary is counted straight from the texts: only partial term totals are shuffled. For the vectors a
-document is partitioned by its id once (``repartition``); counting, weighting and packing then all group by
-that id and need no further shuffle. A corpus bucketed by ``doc_id`` saves even that one.
+The vocabulary is counted straight from the texts: only partial term totals are shuffled. A document is one row,
+so its tokens are counted, weighted and packed inside that row, in Arrow batches, without an exchange.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lexigrade import session
 from lexigrade.functions.text import word_tokens
-from lexigrade.session import lookup_side
+from lexigrade.functions.tokens import count_pairs, count_terms, find_terms, lists_of, token_blocks
 
 REPRESENTATIONS = ("bow", "tfidf")
 
@@ -23,11 +28,21 @@ def check_representation(representation: str) -> str:
     return name
 
 
+def tokenised(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``(doc_id, keep..., tokens)``"""
+    return docs.select("doc_id", *keep, word_tokens(F.col("text")).alias("tokens"))
+
+
+def with_lists(docs: DataFrame, keep: tuple[str, ...], **lists: T.DataType) -> T.StructType:
+    """Schema of ``(doc_id, keep...)`` and list columns."""
+    return T.StructType([*docs.select("doc_id", *keep).schema.fields, *[T.StructField(n, T.ArrayType(t)) for n, t in lists.items()]])
+
+
 def term_counts(docs: DataFrame, keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
     """``(doc_id, keep..., term, tf)``. With ``outer`` a token-free document keeps one row with a null term."""
-    explode = F.explode_outer if outer else F.explode
-    words = docs.repartition("doc_id").select("doc_id", *keep, explode(word_tokens(F.col("text"))).alias("term"))
-    return words.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counted = tokenised(docs, keep).mapInArrow(count_terms, with_lists(docs, keep, term=T.StringType(), tf=T.LongType()))
+    inline = F.inline_outer if outer else F.inline
+    return counted.select("doc_id", *keep, inline(F.arrays_zip("term", "tf")))
 
 
 def doc_freq(counts: DataFrame) -> DataFrame:
@@ -41,10 +56,7 @@ def corpus_terms(docs: DataFrame) -> DataFrame:
     Every token counts once for ``tf``; every distinct token of a text counts once for ``df``. Nothing is
     grouped by document, so the shuffle carries term totals of tasks, not documents.
     """
-    # Fewer files than cores may leave cores idle.
-    few = len(docs.inputFiles()) < docs.sparkSession.sparkContext.defaultParallelism
-    texts = docs.repartition("doc_id") if few else docs
-    tokens = texts.select(word_tokens(F.col("text")).alias("tokens"))
+    tokens = docs.select(word_tokens(F.col("text")).alias("tokens"))
 
     def counted(terms: Column, tf: int, df: int) -> Column:
         return F.struct(terms.alias("terms"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
@@ -84,9 +96,32 @@ def pack_vectors(
     vocabulary; terms that are not kept are removed after it and the row is not normalised again.
     """
     tfidf = check_representation(representation) == "tfidf"
-    kept = F.col("kept") if "kept" in vocab.columns else F.lit(True)
+    side = vocab.select("term", "term_id", "idf", (F.col("kept") if "kept" in vocab.columns else F.lit(True)).alias("kept"))
+    if vocab_rows > session.BROADCAST_ROWS:
+        return _pack_by_join(docs, side, tfidf, keep)
+    terms = side.orderBy("term_id").toArrow()
+    column = lambda name: terms[name].to_numpy()
+    words, ids, idf, kept = terms["term"].combine_chunks(), column("term_id"), column("idf"), column("kept")
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for others, rows, tokens in token_blocks(batches):
+            at = find_terms(tokens, words)
+            rows, at, counts = count_pairs(rows[at >= 0], at[at >= 0], len(words))
+            n_rows, values = len(others[0]), counts.astype(float)
+            if tfidf:
+                values *= idf[at]
+                # Added in ascending order of the ids, so equal documents get equal bits.
+                values /= np.sqrt(np.bincount(rows, values * values, n_rows))[rows]
+            rows, at, values = (x[kept[at]] for x in (rows, at, values))
+            lists = lists_of(rows, n_rows, pa.array(ids[at], pa.int32())), lists_of(rows, n_rows, pa.array(values, pa.float64()))
+            yield pa.RecordBatch.from_arrays([*others, *lists], ["doc_id", *keep, "ids", "vals"])
+
+    return tokenised(docs, keep).mapInArrow(pack, with_lists(docs, keep, ids=T.IntegerType(), vals=T.DoubleType()))
+
+
+def _pack_by_join(docs: DataFrame, side: DataFrame, tfidf: bool, keep: tuple[str, ...]) -> DataFrame:
+    """The same for a vocabulary too large for a task: counted terms are joined, then grouped by document."""
     weight = F.col("tf") * F.col("idf") if tfidf else F.col("tf").cast("double")
-    side = lookup_side(vocab.select("term", "term_id", "idf", kept.alias("kept")), vocab_rows)
     known = term_counts(docs, keep, outer=True).join(side, "term", "left")
     entry = F.when(F.col("term_id").isNotNull(), F.struct("term_id", weight.alias("value"), "kept"))
     # Sorted entries fix the order of the sum, so equal documents get equal bits.

@@ -2,11 +2,13 @@ import re
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 import entry_queries
+from lexigrade.functions import tokens
 from lexigrade.functions.text import ws_tokens, word_tokens
 from lexigrade.operators import labels, select, sequences, vectorize
 from lexigrade.plans.features import FeatureParams, encode_level, fit_feature_space, fit_vectors, preprocess
@@ -105,6 +107,33 @@ def test_term_totals_equal_counts(spark):
     assert by_count.count() == vectorize.doc_freq(counts).count()
 
 
+def test_tokens_stay_in_their_rows(spark, monkeypatch):
+    """Vectors, sequences and counts without an exchange; the join form for large vocabularies gives the same."""
+    docs = trio(spark, ODD)
+    fitted = fit_feature_space(docs, FeatureParams(3, 1, 0, "tfidf"))
+    made = {
+        "packed": lambda: vectorize.pack_vectors(docs, fitted.terms, 4, "tfidf", ("split",)),
+        "counted": lambda: vectorize.pack_vectors(docs, fitted.terms, 4, "bow"),
+        "sequences": lambda: sequences.encode_sequences(docs, fitted.terms, 4, ("split",)),
+    }
+    got = {name: make() for name, make in made.items()}
+    for df in (*got.values(), vectorize.term_counts(docs)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("lexigrade.session.BROADCAST_ROWS", 3)
+    for name, make in made.items():
+        assert make().orderBy("doc_id").collect() == got[name].orderBy("doc_id").collect(), name
+
+
+def test_token_blocks_are_bounded(monkeypatch):
+    lists = pa.array([["b", "a", "b"], [], None, ["c"], ["d", "d"]], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), lists], ["doc_id", "tokens"])
+    want = [(0, ["a", "b"], [1, 2]), (1, [], []), (2, [], []), (3, ["c"], [1]), (4, ["d"], [2])]
+    for cells in (1, 2, 4, 100):
+        monkeypatch.setattr(tokens, "BLOCK_CELLS", cells)
+        parts = list(tokens.count_terms([batch, batch.slice(0, 0)]))
+        assert [tuple(r.values()) for part in parts for r in part.to_pylist()] == want
+
+
 # -- labels -----------------------------------------------------------------------------------------
 
 

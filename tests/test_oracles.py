@@ -3,6 +3,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+import entry_queries
+import entry_sql
 
 ORACLES = entry.oracle_sql()
 
@@ -13,14 +15,13 @@ def duck():
 
 
 def test_registration():
-    assert set(ORACLES) <= set(entry.queries())
-    without_sql = set(entry.queries()) - set(ORACLES)
+    assert set(ORACLES) <= set(entry.queries()) and set(entry_queries.QUERIES) <= set(entry.queries())
+    without_sql = set(entry_queries.QUERIES) - set(entry_sql.oracle_sql())
     assert without_sql == {
         "svm_fit",
         "svm_ovr_fit",
         "lr_fit_stochastic",
         "lr_stop_window",
-        "lr_ovr_fit",
         "boost_fit",
         "boost_ovr_fit",
         "svm_levels",

@@ -94,11 +94,23 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_vectors_take_one_exchange_and_no_python(spark):
+def test_vectors_and_counts_take_no_exchange(spark):
     space = entry_queries.space(spark, SF_SMALL, "tfidf")
-    text = plan(space.vectors(entry_queries.documents(spark, SF_SMALL), ("split",)))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "BroadcastHashJoin" in text and "ArrowEval" not in text and "MapInArrow" not in text
+    docs = entry_queries.documents(spark, SF_SMALL)
+    for df in (space.vectors(docs, ("split",)), vectorize.term_counts(docs)):
+        assert "Exchange" not in plan(df) and "lang:string" not in plan(df)
+
+
+def test_cells_are_summed_before_the_exchange(spark):
+    data = entry_queries.level_data(spark, SF_SMALL)
+    params, rows = entry_queries.TREE, boost.with_logits(data.train, data.classes, entry_queries.TREE)
+    stats = boost.value_stats(rows)
+    totals = boost.root_totals(rows, data.classes, [], params)
+    nodes = {c: [n for k, n in totals if k == c] for c in data.classes}
+    hist = boost.node_histograms(rows, data.classes, 0, nodes, [], [], stats, params)
+    text = plan(boost.split_candidates(hist, totals, stats, params))
+    # Operators stand above their inputs: the lowest exchange lies over the partial sums.
+    assert "partial_sum" in text[text.rindex("Exchange hashpartitioning") :]
 
 
 def test_scoring_moves_no_rows(spark):
