@@ -3,9 +3,9 @@
 A page is split into text nodes, each with its path of open elements. Per path the text length, the punctuation and
 the link text are summed over its nodes. The ratio of text to nodes and the ratio of punctuation are smoothed over the
 neighbouring nodes of the page and multiplied (the fused score of a path). Elements that are named as page furniture
-have no score. The content root is the deepest element that holds most of the score. Its paths are content unless
-most of their text is link text; those that are no paragraphs, headings or items must also pass a share of the spread
-of the scores.
+have no score. All other paths are content unless most of their text is link text; those that are no paragraphs,
+headings or items must also pass a share of the spread of the scores. No single subtree is chosen, so an article of
+several parts is kept whole.
 """
 
 from __future__ import annotations
@@ -48,13 +48,11 @@ SPACES = re.compile(r"[ \t\n\r\f\v\xa0]+")
 
 class ExtractParams(NamedTuple):
     threshold: float = 0.1
-    root_share: float = 0.6
     smooth: float = 1.0
 
 
 class Node(NamedTuple):
     path: tuple[str, ...]
-    elements: tuple[int, ...]
     block: int
     text: str
     links: int
@@ -75,9 +73,9 @@ def furniture(tag: str, attributes: str) -> bool:
 
 def nodes(html: str) -> list[Node]:
     """Text nodes in page order. Unclosed paragraphs, items and cells end where the standard ends them."""
-    stack: list[tuple[str, str, int, bool]] = []  # tag, path step, element number, furniture
+    stack: list[tuple[str, str, bool]] = []  # tag, path step, furniture
     out: list[Node] = []
-    number, block, at = 0, 0, 0
+    block, at = 0, 0
 
     def text(raw: str) -> None:
         nonlocal block
@@ -86,7 +84,7 @@ def nodes(html: str) -> list[Node]:
             linked = any(s[0] == "a" for s in stack)
             inner = [s for s in stack if s[0] not in INLINE]
             path = tuple(s[1] for s in inner)
-            out.append(Node(path, tuple(s[2] for s in inner), block, clean, len(clean) if linked else 0, any(s[3] for s in stack)))
+            out.append(Node(path, block, clean, len(clean) if linked else 0, any(s[2] for s in stack)))
 
     while True:
         match = TOKEN.search(html, at)
@@ -129,9 +127,8 @@ def nodes(html: str) -> list[Node]:
             close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
             at = close.end() if close else len(html)
             continue
-        number += 1
         kind = next((v.strip("\"'") for n, v in NAMES.findall(attributes) if n.lower() == "class"), "") if attributes else ""
-        stack.append((tag, f"{tag}.{kind}" if kind else tag, number, furniture(tag, attributes)))
+        stack.append((tag, f"{tag}.{kind}" if kind else tag, furniture(tag, attributes)))
 
 
 def smoothed(values: np.ndarray, width: float) -> np.ndarray:
@@ -160,20 +157,9 @@ def content(found: list[Node], params: ExtractParams) -> list[bool]:
     score = np.where(plain & (size > 0), fused, 0)
     if not score.any():
         return [False] * n
-    # The deepest element that holds most of the score, each node's counted by its text; one block is no root.
-    mass = score * size
-    weight: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    for x, w in zip(found, mass):
-        inner = x.elements[:-1] if x.path and x.path[-1].split(".")[0] in BLOCKS else x.elements
-        for d, e in enumerate(inner):
-            weight[e] = weight.get(e, 0.0) + w
-            depth[e] = d
-    root = max((e for e, w in weight.items() if w >= params.root_share * mass.sum()), key=lambda e: depth[e], default=None)
-    inside = np.array([root is None or root in x.elements for x in found]) & plain
-    level = params.threshold * score[inside & (size > 0)].std()
+    level = params.threshold * score[plain & (size > 0)].std()
     named = np.array([bool(x.path) and x.path[-1].split(".")[0] in BLOCKS for x in found])
-    return (inside & (link_share[of] < 0.5) & (named | (score >= level))).tolist()
+    return (plain & (link_share[of] < 0.5) & (named | (score >= level))).tolist()
 
 
 def main_text(html: str | None, params: ExtractParams = ExtractParams()) -> str:

@@ -391,6 +391,22 @@ def test_main_text_of_layouts(html):
     assert html_extract.main_text(html) == TEXT
 
 
+LONG = "A long part of the article, with commas; it goes on, and on. " * 6
+PART = "Another part, not as long; it belongs to the article, too."
+
+
+@pytest.mark.parametrize(("html", "parts"), [
+    (f"<article><section><p>{LONG}</p></section><section><p>{PART}</p></section></article>", (LONG, PART)),
+    (f"<article><p>{PART}</p><ul><li>{LONG}</li><li>{LONG}</li></ul><p>After it.</p></article>", (PART, LONG, LONG, "After it.")),
+    (f"<article><p>{PART}</p><blockquote><p>{LONG}</p></blockquote><p>After it.</p></article>", (PART, LONG, "After it.")),
+    (f"<article><p>{PART}</p><table><tr><td>{LONG}</td></tr></table></article>", (PART, LONG)),
+    (f"<div><h1>Title here</h1><div class=body><p>{LONG}</p><p>{PART}</p></div></div>", ("Title here", LONG, PART)),
+])
+def test_main_text_keeps_every_part_of_an_article(html, parts):
+    html = page(f"<nav><a href=a>Home</a></nav>{html}<div class=sidebar><p>Other, stories. And more.</p></div>")
+    assert html_extract.main_text(html) == " ".join(p.strip() for p in parts)
+
+
 def test_pages_with_nothing(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "", "x"), (3, "u", "<nav>a</nav>", "x"), (4, "u", "a < b & c <p title='", "x")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(pages).collect()}
