@@ -2,8 +2,9 @@
 
 A page is split into text nodes, each with its path of open elements. Per path the text length, the punctuation and
 the link text are summed over its nodes. The ratio of text to nodes and the ratio of punctuation are smoothed over the
-neighbouring nodes of the page and multiplied (the fused score of a path). Elements that are named as page furniture
-have no score. All other paths are content unless most of their text is link text; those that are no paragraphs,
+neighbouring nodes of the page and multiplied (the fused score of a path). Furniture elements have no score. A class, id
+or role that names furniture lowers the score of its paths by their share of the page's text and punctuation: to nothing
+where the rest of the page holds more, not at all where they hold most. All other paths are content unless most of their text is link text; those that are no paragraphs,
 headings or items must also pass a share of the spread of the scores. No single subtree is chosen, so an article of
 several parts is kept whole.
 """
@@ -32,6 +33,8 @@ SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
 FURNITURE = frozenset("nav header footer aside form menu dialog button select head object audio video canvas template figcaption".split())
 #: Blocks that are text by their name, however short.
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote caption".split())
+#: Elements that hold the page or the article, whatever their class says.
+WHOLE = frozenset("html body main article".split())
 #: Words in class, id or role that name furniture.
 FURNITURE_WORD = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tions?)?|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|"
@@ -49,6 +52,7 @@ SPACES = re.compile(r"[ \t\n\r\f\v\xa0]+")
 class ExtractParams(NamedTuple):
     threshold: float = 0.1
     smooth: float = 1.0
+    beside_share: float = 0.95
 
 
 class Node(NamedTuple):
@@ -57,23 +61,31 @@ class Node(NamedTuple):
     text: str
     links: int
     furniture: bool
+    marks: tuple[tuple, ...]
 
 
 def furniture(tag: str, attributes: str) -> bool:
+    """Whether an element is furniture by what it is, not by a name that was given to it."""
     if tag in FURNITURE:
         return True
     for name, value in NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id", "role", "aria-label") and FURNITURE_WORD.search(value):
-            return True
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
 
 
+def furniture_words(tag: str, attributes: str) -> tuple[str, ...]:
+    """Words in the names of an element that name furniture."""
+    if tag in WHOLE or not attributes:
+        return ()
+    names = [v.strip("\"'") for n, v in NAMES.findall(attributes) if n.lower() in ("class", "id", "role", "aria-label")]
+    return tuple(sorted({m[0].strip(" \t\n\r\f\v_-").lower() for v in names for m in FURNITURE_WORD.finditer(v)}))
+
+
 def nodes(html: str) -> list[Node]:
     """Text nodes in page order. Unclosed paragraphs, items and cells end where the standard ends them."""
-    stack: list[tuple[str, str, bool]] = []  # tag, path step, furniture
+    stack: list[tuple[str, str, bool, tuple[str, ...]]] = []  # tag, path step, furniture, words that name furniture
     out: list[Node] = []
     block, at = 0, 0
 
@@ -84,7 +96,9 @@ def nodes(html: str) -> list[Node]:
             linked = any(s[0] == "a" for s in stack)
             inner = [s for s in stack if s[0] not in INLINE]
             path = tuple(s[1] for s in inner)
-            out.append(Node(path, block, clean, len(clean) if linked else 0, any(s[2] for s in stack)))
+            # A mark is the place of a named element: the path above it, its tag and the words.
+            marks = tuple((tuple(x[1] for x in stack[:i]), s[0], s[3]) for i, s in enumerate(stack) if s[3])
+            out.append(Node(path, block, clean, len(clean) if linked else 0, any(s[2] for s in stack), marks))
 
     while True:
         match = TOKEN.search(html, at)
@@ -128,7 +142,7 @@ def nodes(html: str) -> list[Node]:
             at = close.end() if close else len(html)
             continue
         kind = next((v.strip("\"'") for n, v in NAMES.findall(attributes) if n.lower() == "class"), "") if attributes else ""
-        stack.append((tag, f"{tag}.{kind}" if kind else tag, furniture(tag, attributes)))
+        stack.append((tag, f"{tag}.{kind}" if kind else tag, furniture(tag, attributes), furniture_words(tag, attributes)))
 
 
 def smoothed(values: np.ndarray, width: float) -> np.ndarray:
@@ -139,6 +153,33 @@ def smoothed(values: np.ndarray, width: float) -> np.ndarray:
     return np.convolve(padded, weights / weights.sum(), mode="valid")
 
 
+def outweighed(found: list[Node], mass: np.ndarray, params: ExtractParams) -> np.ndarray:
+    """Whether each node stands under a mark whose nodes hold less of the mass than the rest that is kept.
+
+    The heaviest marks are weighed first, the outer of two equal ones before the inner; a mark that holds at least as
+    much as all nodes without one, or with none but such marks, is no furniture. Beside an article or main element
+    without a mark it must hold nearly all.
+    """
+    under: dict[tuple, list[int]] = {}
+    for i, x in enumerate(found):
+        for m in set(x.marks):
+            under.setdefault(m, []).append(i)
+    total = {m: mass[of].sum() for m, of in under.items()}
+    left = np.array([len(set(x.marks)) for x in found])
+    if not under:
+        return left > 0
+    declared = np.array([any(step.split(".")[0] in ("main", "article") for step in x.path) for x in found]) & (mass > 0)
+    for m in sorted(under, key=lambda m: (-total[m], len(m[0]))):
+        of = under[m]
+        rest = left == 0
+        rest[of] = False
+        beside = (declared & rest).any() and not declared[of].any()
+        share = params.beside_share if beside else 0.5
+        if total[m] and total[m] * (1 - share) >= mass[rest].sum() * share:
+            left[of] -= 1
+    return left > 0
+
+
 def content(found: list[Node], params: ExtractParams) -> list[bool]:
     """Whether each node is content."""
     n = len(found)
@@ -154,6 +195,7 @@ def content(found: list[Node], params: ExtractParams) -> list[bool]:
     link_share = per(linked) / np.maximum(chars, 1)
     plain = np.array([not x.furniture for x in found])
     fused = smoothed(text_ratio[of], params.smooth) * (1 + smoothed(mark_ratio[of], params.smooth)) * (1 - link_share[of])
+    plain &= ~outweighed(found, np.where(plain, (size + marks) * (1 - link_share[of]), 0), params)
     score = np.where(plain & (size > 0), fused, 0)
     if not score.any():
         return [False] * n

@@ -407,6 +407,18 @@ def test_main_text_keeps_every_part_of_an_article(html, parts):
     assert html_extract.main_text(html) == " ".join(p.strip() for p in parts)
 
 
+@pytest.mark.parametrize("html", [
+    page(f"<main>{BODY}</main>").replace("<body>", "<body class='page has-sidebar'>"),
+    page(f"<main class=search-result>{BODY}</main>"),
+    page(f"<article id=share class='post tag-news'>{BODY}</article>"),
+    page(f"<div class=content-with-sidebar><div class=entry>{BODY}</div><div class=sidebar><p>Other, stories. And more.</p></div></div>"),
+    page(f"<div class=header-wrap><div class=no-sidebar>{BODY}</div></div><div class=related><p>Other, stories. And more.</p></div>"),
+    page("<div>" + "".join(f"<div class='part tag-{i}'>{p}</p></div>" for i, p in enumerate(BODY.split("</p>")[:-1])) + "</div>"),
+])
+def test_names_do_not_take_the_whole_page(html):
+    assert html_extract.main_text(html) == TEXT
+
+
 def test_pages_with_nothing(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "", "x"), (3, "u", "<nav>a</nav>", "x"), (4, "u", "a < b & c <p title='", "x")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(pages).collect()}
