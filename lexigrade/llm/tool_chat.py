@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lexigrade.session import write_stage
 
-TAG = re.compile(r"<tool_call>(.*?)</tool_call>", re.DOTALL)
+OPEN, CLOSE = "<tool_call>", "</tool_call>"
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
 #: Schemas of known tools: JSON schema of the arguments. Calls of other tools are kept and marked as unknown.
@@ -109,45 +109,73 @@ def read_call(value: Any, schemas: Mapping[str, Mapping]) -> dict | None:
     return {"id": value["id"], "name": value["name"], "arguments": canonical(arguments), "uses": references(arguments), "errors": errors}
 
 
-def read_message(role: str | None, text: str | None, schemas: Mapping[str, Mapping]) -> tuple[str, list[dict], str | None]:
-    """Content without calls, calls, and the id that a result answers."""
+def unreadable(calls: list[dict | None]) -> list[str]:
+    return [f"call {i}: unreadable" for i, c in enumerate(calls, 1) if c is None]
+
+
+def read_tags(text: str, schemas: Mapping[str, Mapping]) -> tuple[str, list[dict | None]]:
+    """Text without the tagged calls that can be read, and all calls. One that can't be read ends where the next begins."""
+    rest, calls, at = [], [], 0
+    while (start := text.find(OPEN, at)) >= 0:
+        rest.append(text[at:start])
+        begin = start + len(OPEN)
+        close = text.find(CLOSE, begin)
+        call = read_call(loads(text[begin:close]), schemas) if close >= 0 else None
+        at = close + len(CLOSE) if close >= 0 else len(text)
+        if call is None:
+            inner = text.find(OPEN, begin, at)
+            at = inner if inner >= 0 else at
+            rest.append(text[start:at])
+        calls.append(call)
+    return "".join([*rest, text[at:]]).strip(), calls
+
+
+def read_message(role: str | None, text: str | None, schemas: Mapping[str, Mapping]) -> tuple[str, list[dict], str | None, list[str]]:
+    """Content without the calls that can be read, these calls, the id that a result answers, and an error per other call."""
     text = text or ""
     if role == "tool":
         value = loads(text)
         if isinstance(value, dict) and isinstance(value.get("tool_call_id"), str):
             content = value.get("content")
-            return (content if isinstance(content, str) else canonical(content)), [], value["tool_call_id"]
-        return text, [], None
+            return (content if isinstance(content, str) else canonical(content)), [], value["tool_call_id"], []
+        return text, [], None, []
     if role != "assistant":
-        return text, [], None
+        return text, [], None, []
     value = loads(text) if text[:1] == "{" else None
     if isinstance(value, dict) and isinstance(value.get("tool_calls"), list):
         calls = [read_call(x, schemas) for x in value["tool_calls"]]
         if all(calls):
-            return value.get("content") if isinstance(value.get("content"), str) else "", calls, None
-    calls = [read_call(loads(x), schemas) for x in TAG.findall(text)] if "<tool_call>" in text else []
-    return (TAG.sub("", text).strip(), calls, None) if calls and all(calls) else (text, [], None)
+            return value.get("content") if isinstance(value.get("content"), str) else "", calls, None, []
+        # The object stays, with the calls that can't be read.
+        rest = canonical(value | {"tool_calls": [x for x, c in zip(value["tool_calls"], calls) if not c]}) if any(calls) else text
+        return rest, [c for c in calls if c], None, unreadable(calls)
+    rest, calls = read_tags(text, schemas)
+    errors = unreadable(calls)
+    if value is None and text[:1] == "{" and '"tool_calls"' in text or isinstance(value, dict) and value.get("tool_calls") is not None:
+        errors.append("tool_calls: unreadable")
+    return rest if any(calls) else text, [c for c in calls if c], None, errors
 
 
 CALL = "struct<id:string,name:string,arguments:string,uses:array<string>,errors:array<string>>"
 
 
 def read_messages(chats: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
-    """Adds ``content``, ``calls`` and ``answers`` (the id that a result names)."""
+    """Adds ``content``, ``calls``, ``answers`` (the id that a result names) and ``unreadable`` (errors of other calls)."""
 
     kind = pa.struct([
         ("content", pa.string()),
         ("calls", pa.list_(pa.struct([("id", pa.string()), ("name", pa.string()), ("arguments", pa.string()), ("uses", pa.list_(pa.string())), ("errors", pa.list_(pa.string()))]))),
         ("answers", pa.string()),
+        ("unreadable", pa.list_(pa.string())),
     ])
 
-    @F.arrow_udf(f"struct<content:string,calls:array<{CALL}>,answers:string>")
+    @F.arrow_udf(f"struct<content:string,calls:array<{CALL}>,answers:string,unreadable:array<string>>")
     def read(roles: pa.Array, texts: pa.Array) -> pa.Array:
         out = [read_message(r, t, schemas) for r, t in zip(roles.to_pylist(), texts.to_pylist())]
-        return pa.array([dict(zip(("content", "calls", "answers"), x)) for x in out], kind)
+        return pa.array([dict(zip(("content", "calls", "answers", "unreadable"), x)) for x in out], kind)
 
     found = chats.select("conv_id", "turn", "role", read("role", "text").alias("m"))
-    return found.select("conv_id", "turn", "role", "m.content", "m.calls", "m.answers")
+    return found.select("conv_id", "turn", "role", "m.content", "m.calls", "m.answers", "m.unreadable")
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -179,9 +207,10 @@ def format_chats(chats: DataFrame, schemas: Mapping[str, Mapping] = SCHEMAS) ->
 
     Messages of a conversation ordered by (at_turn, at_level, turn, message) are in topological order. ``message`` is
     canonical JSON with role, content, and tool_calls or tool_call_id. ``linked`` tells for a result whether its call is
-    there. ``errors`` lists schema errors, calls without a result, repeated ids (the call of least turn is linked) and
-    cycles. Null texts are empty messages, null roles stay null; rows without conv_id or turn are kept and never
-    linked; repeated rows are kept; other columns are ignored; an empty table gives no rows.
+    there. ``errors`` lists calls that can't be read (they stay in the content, the others of the message are read),
+    schema errors, calls without a result, repeated ids (the call of least turn is linked) and cycles. Null texts are empty
+    messages, null roles stay null; rows without conv_id or turn are kept and never linked; repeated rows are kept; other
+    columns are ignored; an empty table gives no rows.
     """
     rows = write_stage(read_messages(chats, schemas), "chat-messages")
     calls = rows.filter(F.size("calls") > 0).select("conv_id", "turn", F.explode("calls").alias("c")).select("conv_id", "turn", "c.id", "c.uses")
@@ -204,8 +233,9 @@ def format_chats(chats: DataFrame, schemas: Mapping[str, Mapping] = SCHEMAS) ->
         F.max(F.struct("to_turn", F.coalesce("level", F.lit(0)).alias("level"))).alias("at"), F.count_if(F.col("n_results") > 0).alias("n_answered"),
         F.array_sort(F.flatten(F.collect_set(notes))).alias("notes"),
     )
-    plain = rows.filter("size(calls) = 0 and answers is null").select("*", F.lit(None).cast("struct<to_turn:bigint,level:int>").alias("at"), F.lit(0).cast("long").alias("n_answered"), F.lit(None).cast("boolean").alias("linked"), F.array().cast("array<string>").alias("notes"))
+    plain = rows.filter("size(calls) = 0 and answers is null").select("*", F.lit(None).cast("struct<to_turn:bigint,level:int>").alias("at"), F.lit(0).cast("long").alias("n_answered"), F.lit(None).cast("boolean").alias("linked"), F.col("unreadable").alias("notes"))
     with_calls = rows.filter(F.size("calls") > 0).join(by_message, ["conv_id", "turn"], "left").withColumn("linked", F.lit(None).cast("boolean"))
+    with_calls = with_calls.withColumn("notes", F.concat(F.coalesce("notes", F.array().cast("array<string>")), "unreadable"))
     results = rows.filter("answers is not null").join(known.withColumnRenamed("id", "answers"), ["conv_id", "answers"], "left")
     results = results.select(
         *rows.columns, F.when(F.col("to_turn").isNotNull(), F.struct("to_turn", F.coalesce("level", F.lit(0)).alias("level"))).alias("at"),

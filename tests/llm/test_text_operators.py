@@ -454,6 +454,31 @@ def test_chats_link_order_and_validate(spark):
     assert rows(tool_chat.format_chats(table.filter("false"))) == []
 
 
+def test_chats_read_the_calls_beside_a_broken_one(spark):
+    call = lambda i, name, **a: "<tool_call>" + json.dumps({"id": i, "name": name, "arguments": a}) + "</tool_call>"
+    broken, bare = '<tool_call>{"id": "x", </tool_call>', {"name": "search", "arguments": {}}
+    good = {"id": "e", "name": "calculator", "arguments": {"expression": "1"}}
+    chats = [
+        (1, 0, "assistant", "see " + call("a", "calculator", expression="1+1") + broken + call("b", "search", limit=0)), (1, 1, "tool", '{"tool_call_id":"a","content":"2"}'),
+        (1, 2, "assistant", call("c", "calculator", expression="2") + '<tool_call>{"id": "d"'), (1, 3, "tool", '{"tool_call_id":"c","content":"2"}'),
+        (1, 4, "assistant", json.dumps({"content": "t", "tool_calls": [bare, good]})), (1, 5, "tool", '{"tool_call_id":"e","content":"1"}'),
+        (1, 6, "assistant", broken), (1, 7, "assistant", '<tool_call>{"id": "f" ' + call("g", "calculator", expression="3")), (None, 1, "assistant", broken + call("a", "calculator", expression="4")),
+        (2, 0, "assistant", call("h", "search", query="what is <tool_call>?")), (2, 1, "assistant", '{"tool_calls": [{"id": '), (2, 2, "assistant", '{"a": 1}'),
+    ]
+    got = {(r.conv_id, r.turn): r for r in tool_chat.format_chats(spark.createDataFrame(chats, "conv_id long, turn long, role string, text string")).collect()}
+    said = {k: json.loads(r.message) for k, r in got.items()}
+    assert len(got) == len(chats)
+    assert [c["id"] for c in said[1, 0]["tool_calls"]] == ["a", "b"] and said[1, 0]["content"] == "see " + broken
+    assert got[1, 0].errors == ["b $.limit: minimum", "b $.query: required", "b: no result", "call 2: unreadable"] and got[1, 0].n_answered == 1
+    assert (got[1, 2].n_calls, got[1, 2].errors, said[1, 2]["content"]) == (1, ["call 2: unreadable"], '<tool_call>{"id": "d"')
+    assert (got[1, 4].n_calls, got[1, 4].errors) == (1, ["call 1: unreadable"]) and json.loads(said[1, 4]["content"]) == {"content": "t", "tool_calls": [bare]}
+    assert got[1, 1].linked and got[1, 3].linked and got[1, 5].linked
+    assert (got[1, 6].n_calls, got[1, 6].errors, said[1, 6]["content"]) == (0, ["call 1: unreadable"], broken)
+    assert [c["id"] for c in said[1, 7]["tool_calls"]] == ["g"] and got[1, 7].errors == ["g: no result", "call 1: unreadable"]
+    assert (got[2, 0].n_calls, got[2, 0].errors) == (1, ["h: no result"]) and (got[2, 1].errors, got[2, 2].errors) == (["tool_calls: unreadable"], [])
+    assert got[None, 1].n_calls == 1 and got[None, 1].errors == ["call 1: unreadable"]
+
+
 # -- pipeline ---------------------------------------------------------------------------------------
 
 
