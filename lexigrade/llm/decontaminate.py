@@ -7,7 +7,9 @@ threshold serves all items. Passages overlap by half and are at least as long as
 For all passages of a chunk of rows, the sums of the list maxima and then of the block maxima are computed at once;
 passages that pass the threshold in some block go through block-max WAND, which returns every item above the
 threshold. Each hit is verified by the share of the five-word shingles of the item's question, and of its answer,
-that occur around the passage.
+that occur around the passage; parts of few words have shorter shingles, so that one changed word leaves half of them.
+An item without an inner question mark has no certain boundary: it is verified as a whole if its last sentence is too
+short for an answer, else by both parts or by nearly all of the whole.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ class SearchParams(NamedTuple):
     b: float = 0.75
     score: float = 0.35
     overlap: float = 0.5
+    copied: float = 0.7
     words: int = 5
     step: int = 32
     block: int = 2
@@ -53,6 +56,16 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (question, answer) if question and answer else (text, text)
 
 
+def asks(text: str) -> bool:
+    """Whether a question mark tells the question from the answer."""
+    return "?" in text.strip()[:-1]
+
+
+def shingle_size(n: int, params: SearchParams, least: int) -> int:
+    """Words per shingle of a part of ``n`` words: one changed word leaves half of the shingles, where ``least`` allows it."""
+    return max(1, min(n, params.words, max(least, (n + 1) // 3)))
+
+
 def lower(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts.fill_null(""))
 
@@ -70,8 +83,9 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def postings(items: DataFrame, params: SearchParams) -> DataFrame:
-    """Rows (shard, item, item_id, question, answer, terms, impacts), one per item with words."""
-    kind = "item_id long, question array<bigint>, answer array<bigint>, n_words long, terms array<bigint>, tfs array<bigint>"
+    """Rows (shard, item, item_id, question, answer, whole, terms, impacts), one per item with words. ``whole`` is empty
+    where question and answer alone decide."""
+    kind = "item_id long, question array<bigint>, answer array<bigint>, whole array<bigint>, n_words long, terms array<bigint>, tfs array<bigint>"
     names = [x.split()[0] for x in kind.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,10 +93,14 @@ def postings(items: DataFrame, params: SearchParams) -> DataFrame:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             words = hashed(texts)
             halves = [hashed(list(question_and_answer(t))) for t in texts]
+            unsure = [not asks(t) for t in texts]
+            # A last sentence of few words is no answer of its own.
+            halves = [[w, w] if u and len(h[1]) < 2 * params.words else h for w, h, u in zip(words, halves, unsure)]
+            whole = [w if u and h[0] is not w else w[:0] for w, h, u in zip(words, halves, unsure)]
             counted = [np.unique(w.view(np.int64), return_counts=True) for w in words]
-            lists = [[h[0].view(np.int64) for h in halves], [h[1].view(np.int64) for h in halves], [c[0] for c in counted], [c[1] for c in counted]]
-            q, a, t, f = (pa.array(x, pa.list_(pa.int64())) for x in lists)
-            yield pa.RecordBatch.from_arrays([batch.column(0), q, a, pa.array([len(w) for w in words], pa.int64()), t, f], names)
+            lists = [[h[0].view(np.int64) for h in halves], [h[1].view(np.int64) for h in halves], [w.view(np.int64) for w in whole], [c[0] for c in counted], [c[1] for c in counted]]
+            q, a, w, t, f = (pa.array(x, pa.list_(pa.int64())) for x in lists)
+            yield pa.RecordBatch.from_arrays([batch.column(0), q, a, w, pa.array([len(x) for x in words], pa.int64()), t, f], names)
 
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(read, kind).filter("n_words > 0")
     rows = write_stage(rows.withColumn("item", F.monotonically_increasing_id()), "bench-items")
@@ -98,7 +116,7 @@ def postings(items: DataFrame, params: SearchParams) -> DataFrame:
     )
     shards = max(1, -(-(cells or 0) // params.shard_postings))
     return rows.join(lists, "item").select(
-        F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), "item", "item_id", "question", "answer", "n_words",
+        F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), "item", "item_id", "question", "answer", "whole", "n_words",
         F.col("tws.term").alias("terms"), F.transform("tws.w", lambda w: w / F.col("own")).alias("impacts"),
     )
 
@@ -108,11 +126,13 @@ class Shard:
 
     def __init__(self, table: pa.Table, params: SearchParams):
         self.ids = table["item_id"].to_pylist()
-        self.parts = []  # shingle size and shingles of question and answer
-        for halves in zip(table["question"].to_pylist(), table["answer"].to_pylist()):
-            hashes = [np.array(x, np.int64).view(np.uint64) for x in halves]
-            sizes = [max(1, min(params.words, len(x))) for x in hashes]
-            self.parts.append([(n, frozenset(grams(x, n).tolist())) for n, x in zip(sizes, hashes)])
+        self.parts = []  # shingle size and shingles of question, answer and, if there is one, the whole
+        for parts in zip(table["question"].to_pylist(), table["answer"].to_pylist(), table["whole"].to_pylist()):
+            hashes = [np.array(x, np.int64).view(np.uint64) for x in parts]
+            # Single words tell something only of an answer, beside its question; a phrase of under five words is one shingle.
+            least = 2 if len(hashes[0]) >= 5 else 4
+            sizes = [shingle_size(len(x), params, n) for x, n in zip(hashes, (least, least if parts[0] == parts[1] else 1, 2))]
+            self.parts.append([(n, frozenset(grams(x, n).tolist())) for n, x in zip(sizes, hashes)][: 3 if parts[2] else 2])
         self.n_words = table["n_words"].to_pylist()
         self.block = params.block
         self.blocks = -(-len(self.ids) // params.block)
@@ -248,8 +268,10 @@ def search(shard: Shard, words: Rows, params: SearchParams, step: int) -> dict[i
                     grams_of[r, size] = grams(own, size)
                 around = grams_of[r, size][low : max(low, high - size + 1)]
                 shares.append(len(part.intersection(around.tolist())) / len(part) if part else 1.0)
+            copied = shares[2:] and shares[2] >= params.copied
+            shares = shares[:2]
             was = out.setdefault(r, {}).get(item)
-            if min(shares) >= params.overlap and (was is None or (min(shares), score) > (min(was[1:3]), was[0])):
+            if (min(shares) >= params.overlap or copied) and (was is None or (min(shares), score) > (min(was[1:3]), was[0])):
                 out[r][item] = (score, *shares, begin)
     return out
 
@@ -294,7 +316,8 @@ def contaminated_passages(docs: DataFrame, items: DataFrame, params: SearchParam
     """One row per document and test item found in it: doc_id, item_id, score, question, answer, word.
 
     Words are lower-cased runs of letters and digits. ``score`` is the item's share of BM25 in the best passage,
-    ``question`` and ``answer`` the shares of their shingles, ``word`` the first word of the passage. Null or empty
+    ``question`` and ``answer`` the shares of their shingles (both of the whole item where its last sentence is no answer),
+    ``word`` the first word of the passage. Null or empty
     texts on either side give nothing; repeated rows are reported each; other columns are ignored.
     """
     found = docs.select("doc_id", F.explode(finder(docs, items, params)("text")).alias("hit"))

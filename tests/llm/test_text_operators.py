@@ -203,6 +203,33 @@ def test_contamination_finds_planted_items_only(spark, awkward, nothing):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated_passages(docs, items, small).collect()} == found
 
 
+def test_contamination_finds_near_and_partial_copies(spark):
+    long, short = prose(90, 36), prose(91, 4)
+    texts = {1: f"{long} {short}", 2: f"{prose(92, 40)} {prose(93, 10)}", 3: f"{prose(94, 20)[:-1]}? {prose(95, 3)}", 4: prose(96, 30)}
+    docs, want = [], set()
+
+    def plant(item, words, found=True):
+        docs.append((len(docs), f"{prose(200 + len(docs), 150)} {' '.join(words)} {prose(500 + len(docs), 150)}"))
+        want.update({(len(docs) - 1, item)} if found else ())
+
+    for i, t in texts.items():
+        words = t.split(" ")
+        for at in range(0, len(words), 1 if i == 3 else 3):
+            plant(i, words[:at] + ["changed"] + words[at + 1 :])
+        plant(i, words[:-1] + ["changed"])
+        plant(i, words[:-2] + words[-1:])
+    plant(1, long.split(" "))  # all but the last sentence, of four words
+    plant(2, prose(92, 40).split(" "))  # and of ten words: nearly all of the item
+    plant(1, long.split(" ")[:12], False)
+    plant(2, prose(93, 10).split(" "), False)
+    plant(3, prose(94, 20).split(" "), False)  # a question without its answer
+    plant(3, prose(95, 3).split(" "), False)
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated_passages(table, items).collect()} == want
+    assert decontaminate.drop_contaminated(table, items).count() == len(docs) - len(want)
+
+
 def test_wand_returns_what_full_scoring_returns(spark):
     draw = np.random.default_rng(3)
     items = spark.createDataFrame([(i, " ".join(f"w{k}" for k in draw.zipf(1.3, 25) % 200)) for i in range(60)], "item_id long, text string")
