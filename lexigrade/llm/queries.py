@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrade.llm import decontaminate, html_extract, jaccard_join, line_runs, packing, quality, secret_scan, tool_chat, toxicity, url_filter
+from lexigrade.llm import decontaminate, html_extract, jaccard_join, line_runs, packing, quality, repair, secret_scan, tool_chat, toxicity, url_filter
 
 #: The rules that decide first.
 RULES = (
@@ -83,11 +83,30 @@ def op10_best_fit_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Every twentieth turn dropped (``copies`` 0), blanked, cut off, repeated (``copies`` 2) or given to the user, by its key's CRC."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    hit = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce(F.col("role"), blank), F.coalesce(F.col("text"), blank)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(hit == 4, "user").otherwise(role).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(hit == 0, 0).when(hit == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.report(repair.repair(damaged(table(spark, sf, "conversations")), "copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_quality_rules, op3_line_dedup, op4_secret_scan, op5_url_filter, op6_html_extract, op7_decontaminate,
-        op8_tool_chat, op9_jaccard_join, op10_best_fit_pack,
+        op8_tool_chat, op9_jaccard_join, op10_best_fit_pack, op11_structure_repair,
     )
 }
 
@@ -119,6 +138,47 @@ best AS (SELECT r, glob_rule FROM own QUALIFY row_number() OVER (PARTITION BY r
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN glob_rule IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, CASE WHEN rule IS NULL THEN glob_rule END AS glob_rule
 FROM parts LEFT JOIN found USING (r) LEFT JOIN best USING (r)"""
 
+#: CRC-32 of the ASCII text ``{0}``, byte by byte and bit by bit.
+CRC32 = """xor(list_reduce(flatten(list_transform(string_split({0}, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+_EDIT_ROWS = ", ".join(f"({code}, {s}, {to}, {cost}, '{letters}')" for code in range(9) for s in range(4) for to, (cost, letters) in repair.EDITS[code][s].items())
+
+OP11_SQL = rf"""
+WITH RECURSIVE given AS (SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {CRC32.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS hit FROM conversations),
+damaged AS (SELECT c, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE hit WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM given WHERE hit <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+faults AS (SELECT c, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen, right(regexp_replace(text, '[ 	-
+]+$', ''), 1) AS final FROM numbered),
+coded AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM faults),
+turns AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 0 ELSE
+    CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 4 END + CASE WHEN fault = 'truncated' THEN 4 ELSE 0 END END AS code FROM coded),
+edits(code, s, t, price, letters) AS (VALUES {_EDIT_ROWS}),
+dp AS (SELECT DISTINCT c, 0::BIGINT AS i, 0 AS s, {{'cost': 0, 'audit': ''}} AS best FROM turns
+    UNION ALL
+    SELECT dp.c, dp.i + 1, e.t, min({{'cost': (dp.best).cost + e.price, 'audit': (dp.best).audit || e.letters}})
+    FROM dp JOIN turns r ON r.c IS NOT DISTINCT FROM dp.c AND r.i = dp.i + 1 JOIN edits e ON e.code = r.code AND e.s = dp.s GROUP BY dp.c, dp.i, e.t),
+sums AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY c),
+chosen AS (SELECT sums.c, min({{'cost': (best).cost + CASE s WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END, 'audit': (best).audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}}) AS best
+    FROM dp JOIN sums ON sums.c IS NOT DISTINCT FROM dp.c AND dp.i = sums.n GROUP BY sums.c),
+letters AS (SELECT c, unnest(string_split((best).audit, '')) AS e, unnest(range(length((best).audit))) AS pos FROM chosen),
+placed AS (SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e IN ('K', 'R', 'I')) OVER w AS kept FROM letters WINDOW w AS (PARTITION BY c ORDER BY pos)),
+first_kept AS (SELECT p.c, min(t.initial) FILTER (p.e = 'K' AND p.kept = 1) AS initial FROM placed p LEFT JOIN turns t ON t.c IS NOT DISTINCT FROM p.c AND t.i = p.i AND p.e = 'K' GROUP BY p.c),
+lines AS (SELECT p.c, p.pos, CASE WHEN p.e = 'K' THEN t.role WHEN (p.kept + CASE WHEN f.initial = 's' THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN p.e = 'I' THEN '' ELSE t.text END AS line
+    FROM placed p JOIN first_kept f ON f.c IS NOT DISTINCT FROM p.c LEFT JOIN turns t ON t.c IS NOT DISTINCT FROM p.c AND t.i = p.i WHERE p.e <> 'D'),
+bodies AS (SELECT c, string_agg(line, chr(10) ORDER BY pos) AS body FROM lines GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce((best).cost, 0) AS cost, coalesce((best).audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums ON sums.c IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN chosen ON chosen.c IS NOT DISTINCT FROM o.conv_id LEFT JOIN bodies ON bodies.c IS NOT DISTINCT FROM o.conv_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality.oracle_sql(), "op3_line_dedup": OP3_SQL, "op5_url_filter": OP5_SQL}
+    return {"op2_quality_rules": quality.oracle_sql(), "op3_line_dedup": OP3_SQL, "op5_url_filter": OP5_SQL, "op11_structure_repair": OP11_SQL}
