@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrade.llm import decontaminate, html_extract, jaccard_join, line_runs, packing, quality, repair, secret_scan, tool_chat, toxicity, url_filter
+from lexigrade.llm import decontaminate, html_extract, jaccard_join, line_runs, packing, prefix_trie, quality, repair, secret_scan, tool_chat, toxicity, url_filter, warc
+from lexigrade.session import write_stage
 
 #: The rules that decide first.
 RULES = (
@@ -102,11 +103,45 @@ def op11_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair.report(repair.repair(damaged(table(spark, sf, "conversations")), "copies"))
 
 
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf, "pages"))
+
+
+#: Conversations that begin alike, and the most turns that they take from the first of them.
+FAMILY, SHARED_TURNS = 20, 4
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin with the first turns of their family's first one, and the numbers of their turns.
+
+    ``turns`` are those of ``prefix_trie.numbered``. Only the first three turns of a conversation are ever joined to others, so none is gathered.
+    """
+    take = F.coalesce(F.crc32(F.col("conv").cast("string").cast("binary")) % SHARED_TURNS, F.lit(0))
+    sizes = write_stage(prefix_trie.members_of(turns), "families")
+    first = sizes.select(F.col("conv").alias("base"), F.col("n").alias("base_turns"))
+    families = sizes.withColumn("base", F.col("conv") - F.col("conv") % FAMILY).withColumn("take", take).join(first, "base", "left")
+    families = families.withColumn("taken", F.least("take", F.coalesce("base_turns", F.lit(0))))
+    families = families.withColumn("total", F.col("taken") + F.greatest(F.col("n") - F.col("take"), F.lit(0)))
+    families = write_stage(families, "families")
+    heads = turns.where(F.col("depth") < SHARED_TURNS).where(F.col("conv") % FAMILY == 0).withColumnRenamed("conv", "base")
+    taken = families.where("taken > 0").select("conv", "base", "taken").join(heads, "base").where("depth <= taken").select(*turns.columns)
+    # Own turns move up where the first conversation is too short or not there.
+    moved = families.where("taken < take").select(F.col("conv").alias("c"), (F.col("take") - F.col("taken")).alias("up"))
+    own = turns.where(F.col("depth") > take).join(moved, F.col("conv") == F.col("c"), "left")
+    own = own.withColumn("depth", F.col("depth") - F.coalesce("up", F.lit(0))).select(*turns.columns)
+    return own.unionByName(taken), families.select("conv", F.col("total").cast("long").alias("n"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf, "conversations"))
+    return prefix_trie.build(*rebuilt(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_quality_rules, op3_line_dedup, op4_secret_scan, op5_url_filter, op6_html_extract, op7_decontaminate,
-        op8_tool_chat, op9_jaccard_join, op10_best_fit_pack, op11_structure_repair,
+        op8_tool_chat, op9_jaccard_join, op10_best_fit_pack, op11_structure_repair, op12_warc, op13_prefix_trie,
     )
 }
 
@@ -179,6 +214,37 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums ON sums.c IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN chosen ON chosen.c IS NOT DISTINCT FROM o.conv_id LEFT JOIN bodies ON bodies.c IS NOT DISTINCT FROM o.conv_id"""
 
+_BASE32 = "".join(chr(c) for c in [*range(ord("A"), ord("Z") + 1), *range(ord("2"), ord("7") + 1)])
+
+OP12_SQL = f"""
+WITH given AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha1 FROM pages),
+same AS (SELECT sha1, max(page_id) AS largest FROM given GROUP BY sha1),
+bits AS (SELECT sha1, flatten(list_transform(string_split(sha1, ''), lambda h: list_transform([8, 4, 2, 1], lambda b: CASE WHEN (instr('0123456789abcdef', h) - 1) & b > 0 THEN 1 ELSE 0 END))) AS b FROM same),
+digests AS (SELECT sha1, array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}',
+    CAST(16 * b[5 * i + 1] + 8 * b[5 * i + 2] + 4 * b[5 * i + 3] + 2 * b[5 * i + 4] + b[5 * i + 5] + 1 AS BIGINT), 1)), '') AS digest FROM bits)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest, CASE WHEN largest IS NOT NULL AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM given JOIN same USING (sha1) JOIN digests USING (sha1)"""
+
+OP13_SQL = rf"""
+WITH turns AS (SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words, turn, coalesce(role, '') AS role FROM conversations),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, id) AS i FROM turns),
+families AS (SELECT DISTINCT c, c - c % {FAMILY} AS base, coalesce({CRC32.format("c::VARCHAR")} % {SHARED_TURNS}, 0) AS h FROM turns),
+joined AS (SELECT f.c, 0 AS own, n.i, n.id, n.words FROM families f JOIN numbered n ON n.c = f.base AND n.i <= h
+    UNION ALL SELECT f.c, 1, n.i, n.id, n.words FROM families f JOIN numbered n ON n.c IS NOT DISTINCT FROM f.c AND n.i > h),
+depths AS (SELECT c, id, words, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d FROM joined),
+sequences AS (SELECT f.c, list(id ORDER BY d) FILTER (d IS NOT NULL) AS ids, count(d) AS n FROM families f LEFT JOIN depths x ON x.c IS NOT DISTINCT FROM f.c GROUP BY f.c),
+prefixes AS (SELECT c, 0::BIGINT AS d, []::VARCHAR[] AS p, 0 AS words, n FROM sequences
+    UNION ALL SELECT x.c, x.d, ids[1:x.d], x.words, n FROM depths x JOIN sequences s ON s.c IS NOT DISTINCT FROM x.c),
+nodes AS (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words, coalesce(string_agg(coalesce(c::VARCHAR, ''), ',' ORDER BY c NULLS FIRST) FILTER (n = d), '') AS ends
+    FROM prefixes GROUP BY d, p),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+sums AS (SELECT n.p[1:k] AS p, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(d + 1)) AS k FROM nodes) n LEFT JOIN children c ON c.p = n.p GROUP BY 1)
+SELECT x.conv_id, x.d AS depth, u.conv_id AS parent_conv_id, x.n_convs, coalesce(c.n, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN sums s ON s.p = x.p LEFT JOIN children c ON c.p = x.p LEFT JOIN nodes u ON x.d > 0 AND u.p = x.p[1:x.d - 1]"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality.oracle_sql(), "op3_line_dedup": OP3_SQL, "op5_url_filter": OP5_SQL, "op11_structure_repair": OP11_SQL}
+    return {"op2_quality_rules": quality.oracle_sql(), "op3_line_dedup": OP3_SQL, "op5_url_filter": OP5_SQL, "op11_structure_repair": OP11_SQL, "op12_warc": OP12_SQL, "op13_prefix_trie": OP13_SQL}

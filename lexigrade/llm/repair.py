@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 from typing import NamedTuple
 
 import pandas as pd
@@ -131,9 +130,15 @@ def divide(codes: bytes, state: int, after: Sequence[int]) -> tuple[list[str], i
     return edits, state
 
 
-@lru_cache(maxsize=1 << 16)
+_known: dict[bytes, tuple[list[str], int]] = {}
+
+
 def _divide_short(codes: bytes) -> tuple[list[str], int]:
-    return divide(codes, 0, CLOSED)
+    if codes not in _known:
+        if len(_known) >= 1 << 16:
+            _known.clear()
+        _known[codes] = divide(codes, 0, CLOSED)
+    return _known[codes]
 
 
 # -- segments ---------------------------------------------------------------------------------------
