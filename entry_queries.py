@@ -94,9 +94,12 @@ def named(long: DataFrame, fitted: FeatureSpace, id_name: str = "term_id") -> Da
 
 
 def q_read_corpus(spark, sf):
+    """Text and label files of three splits, several files each and without ids, as corpora are published."""
     base = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
-    corpus.write_level(documents(spark, sf).withColumn("label", F.col("lang")), base, "lang")
-    paths = {split: f"{base}/lang/split={split}" for split in corpus.SPLITS}
+    paths = {split: f"{base}/{split}" for split in corpus.SPLITS}
+    for split, path in paths.items():
+        rows = documents(spark, sf).where(F.col("split") == split).orderBy("doc_id")
+        rows.select("text", F.col("lang").alias("label")).write.option("maxRecordsPerFile", 1000).parquet(path)
     return corpus.read_corpus(spark, paths).select("doc_id", "split", "label", F.length("text").alias("chars"))
 
 

@@ -360,7 +360,11 @@ def binary(source: str, by: str) -> str:
 def oracle_sql() -> dict[str, str]:
     both = lambda body: " UNION ALL ".join(body.replace("{rep}", r) for r in ("bow", "tfidf"))
     out = {
-        "read_corpus": statement("SELECT doc_id, split, lang AS label, CAST(length(text) AS INTEGER) AS chars FROM docs", "docs"),
+        "read_corpus": statement(
+            """SELECT row_number() OVER (ORDER BY list_position(['train', 'validation', 'test'], split), doc_id) - 1 AS doc_id, split, lang AS label,
+                CAST(length(text) AS INTEGER) AS chars FROM docs""",
+            "docs",
+        ),
         "select_level": statement(
             " UNION ALL ".join(f"SELECT '{v}' AS level, split, CAST(label AS VARCHAR) AS label, count(*) AS n_docs FROM level_{v} GROUP BY split, label" for v in LEVELS),
             *[f"level_{v}" for v in LEVELS],

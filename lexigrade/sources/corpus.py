@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrade.functions.lookup import constant_array
+from lexigrade.session import BROADCAST_ROWS, count_up_to, lookup_side, write_stage
 
 # The three splits of a level, in the order in which they are reported.
 SPLITS = ("train", "validation", "test")
@@ -18,22 +20,40 @@ POSITION_BUCKET_ROWS = 1_000_000
 POSITION_BUCKET_MIN = 500
 
 
-def read_corpus(spark: SparkSession, paths: Mapping[str, str], id_column: str = "doc_id") -> DataFrame:
-    """One parquet path per split, with columns ``text``, ``label`` and a document id.
+def level_files(base: str, level: str) -> dict[str, str]:
+    """The files of one level as corpora are published: ``base/level/<split>-*.parquet``."""
+    return {split: f"{base}/{level}/{split}-*.parquet" for split in SPLITS}
 
-    Only these columns are read. The id stands for the row position of the source.
+
+def read_corpus(spark: SparkSession, paths: Mapping[str, str], id_column: str | None = None) -> DataFrame:
+    """``(doc_id, text, label, split)`` from one parquet path per split; a path may hold any number of files.
+
+    The files need no id: a document's id is the position of its row over all files, in the order of the splits, then of the file names,
+    then of the rows. It follows from Spark's file metadata, so it is the same however the files are cut into tasks, and no row moves.
+    ``id_column`` takes ids from the files instead; they must differ between the splits.
     """
     unknown = set(paths) - set(SPLITS)
     if unknown:
         raise ValueError(f"unknown splits: {sorted(unknown)}")
-    parts = [
-        spark.read.parquet(path).select(F.col(id_column).alias("doc_id"), "text", "label").withColumn("split", F.lit(split))
-        for split, path in paths.items()
-    ]
-    corpus = parts[0]
-    for part in parts[1:]:
-        corpus = corpus.unionByName(part)
-    return corpus
+    columns = ["text", "label"] if id_column is None else [F.col(id_column).alias("doc_id"), "text", "label"]
+    if id_column is None:
+        columns += [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    parts = [spark.read.parquet(paths[split]).select(*columns, F.lit(split).alias("split")) for split in SPLITS if split in paths]
+    corpus = reduce(DataFrame.unionByName, parts)
+    return corpus if id_column is not None else _with_file_ids(corpus)
+
+
+def _with_file_ids(rows: DataFrame) -> DataFrame:
+    """Replace file and row number by a dense id. Only one number per file is counted, and stored for the readers to come."""
+    order = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split"))
+    before = Window.orderBy(order, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("split", "_file").agg(F.count(F.lit(1)).alias("n"))
+    firsts = sizes.select(F.col("split").alias("_of"), F.col("_file").alias("_name"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    firsts = write_stage(firsts, "files")
+    # One file may serve two splits: both parts of the key count.
+    same = (F.col("_file") == F.col("_name")) & (F.col("split") == F.col("_of"))
+    joined = rows.join(lookup_side(firsts, count_up_to(firsts, BROADCAST_ROWS)), same)
+    return joined.select((F.col("_first") + F.col("_row")).cast("long").alias("doc_id"), "text", "label", "split")
 
 
 def read_level(spark: SparkSession, base: str, level: str) -> DataFrame:
