@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entry_sql import RUN_DEPTH, RUN_EPOCHS, RUN_LEVELS, RUN_ROUNDS, RUN_STEPS
 from lexigrade.functions import numeric
 from lexigrade.functions.text import word_tokens, ws_tokens
 from lexigrade.operators import boost, evaluate, labels, linear, logreg, select, sequences, svm, vectorize
@@ -27,6 +28,10 @@ LEVELS = ("lang", "source", "size", "quality", "toxic")
 # Step sizes and tree settings of the single training steps that SQL can follow.
 STEP = logreg.LogRegParams(lr=0.01, alpha=0.01, n_iter=1, batch_size=None, mode="batch")
 TREE = boost.BoostParams(n_estimators=1, learning_rate=0.1, max_depth=2, min_samples_split=5, min_impurity_decrease=0.01, reg_lambda=1.0, gamma=0.1)
+# Whole trainings, short enough for SQL to follow.
+SVM = svm.SvmParams(learning_rate=0.01, lambda_param=0.01, n_iters=RUN_EPOCHS)
+LOGREG = logreg.LogRegParams(lr=0.01, alpha=0.01, n_iter=RUN_STEPS, seed=7)
+BOOST = boost.BoostParams(**{**vars(TREE), "n_estimators": RUN_ROUNDS, "max_depth": RUN_DEPTH})
 
 _fitted: dict[tuple, object] = {}
 
@@ -335,11 +340,11 @@ def q_svm_ovr_predict(spark, sf):
 def q_svm_fit(spark, sf):
     """One class against the rest: the labelled documents of good quality."""
     data = level_data(spark, sf, "quality")
-    return model_rows(spark, svm.svm_fit(data.train, data.n_train, data.n_features, runs.SVM_RUN))
+    return model_rows(spark, svm.svm_fit(data.train, data.n_train, data.n_features, SVM)).withColumn("w", F.round("w", 8))
 
 
 def q_svm_ovr_fit(spark, sf):
-    return model_rows(spark, runs.fit_svm(level_data(spark, sf)))
+    return model_rows(spark, runs.fit_svm(level_data(spark, sf), SVM)).withColumn("w", F.round("w", 8))
 
 
 def q_sigmoid_clipped(spark, sf):
@@ -358,7 +363,8 @@ def q_lr_fit_batch(spark, sf):
 def q_lr_fit_stochastic(spark, sf):
     data = level_data(spark, sf)
     params = logreg.LogRegParams(n_iter=300, mode="stochastic", seed=7)
-    return model_rows(spark, logreg.lr_ovr_fit(data.train, data.n_train, data.n_features, data.classes, params).model)
+    model = logreg.lr_ovr_fit(data.train, data.n_train, data.n_features, data.classes, params).model
+    return model_rows(spark, model).withColumn("w", F.round("w", 8))
 
 
 def _iterations(spark, fit: logreg.LogRegFit) -> DataFrame:
@@ -511,11 +517,11 @@ def q_best_split_dense(spark, sf):
 def q_boost_fit(spark, sf):
     """One booster: the labelled documents of good quality against the rest."""
     data = level_data(spark, sf, "quality")
-    return boost.boost_fit(data.train, runs.BOOST_RUN).tree_table(spark)
+    return boost.boost_fit(data.train, BOOST).tree_table(spark).withColumn("value", F.round("value", 6))
 
 
 def q_boost_ovr_fit(spark, sf):
-    return runs.fit_boost(level_data(spark, sf)).tree_table(spark)
+    return runs.fit_boost(level_data(spark, sf), BOOST).tree_table(spark).withColumn("value", F.round("value", 6))
 
 
 def q_boost_proba(spark, sf):
@@ -577,7 +583,6 @@ def q_summary(spark, sf):
 
 # -- whole runs -------------------------------------------------------------------------------------
 
-RUN_LEVELS = ("lang", "source", "toxic")
 RUN_FEATURES = FeatureParams(TOP_WORDS, SKIP_TOP, SKIP_RARE)
 
 
@@ -588,16 +593,20 @@ def q_fit_predict_splits(spark, sf):
     return predictions
 
 
+def r6_accuracy(summary: DataFrame) -> DataFrame:
+    return summary.withColumn("accuracy", F.round("accuracy", 6))
+
+
 def q_svm_levels(spark, sf):
-    return runs.svm_levels(levelled(spark, sf), RUN_LEVELS, features=RUN_FEATURES)
+    return r6_accuracy(runs.svm_levels(levelled(spark, sf), RUN_LEVELS, features=RUN_FEATURES, params=SVM))
 
 
 def q_lr_levels(spark, sf):
-    return runs.lr_levels(levelled(spark, sf), RUN_LEVELS, features=RUN_FEATURES)[0]
+    return r6_accuracy(runs.lr_levels(levelled(spark, sf), RUN_LEVELS, RUN_FEATURES, LOGREG)[0])
 
 
 def q_boost_levels(spark, sf):
-    return runs.boost_levels(levelled(spark, sf), RUN_LEVELS, features=RUN_FEATURES)
+    return r6_accuracy(runs.boost_levels(levelled(spark, sf), RUN_LEVELS, RUN_FEATURES, BOOST))
 
 
 QUERIES = {name[2:]: query for name, query in list(globals().items()) if name.startswith("q_")}

@@ -7,6 +7,9 @@ KEEP = TOP_WORDS - SKIP_RARE
 TERMS = KEEP + SKIP_TOP
 FEATURES = KEEP // 10
 
+# Small trainings that SQL can follow: levels, steps, epochs, boosting rounds and tree depth.
+RUN_LEVELS, RUN_STEPS, RUN_EPOCHS, RUN_ROUNDS, RUN_DEPTH = ("lang", "source", "toxic"), 120, 2, 2, 2
+
 WORD = r"'[\p{L}\p{N}_]+'"
 SPACE = r"'[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'"
 
@@ -29,8 +32,10 @@ def statement(body: str, *needs: str) -> str:
 
     for need in needs:
         visit(need)
-    head = ",\n".join(f"{name} AS ({CTES[name][0]})" for name in wanted)
-    return f"WITH {head}\n{body}" if head else body
+    # What a recursive table reads again in every step is made once.
+    kept = lambda name: " MATERIALIZED" if name.startswith(("dense_", "size_", "draws_", "class_")) else ""
+    head = ",\n".join(f"{name} AS{kept(name)} ({CTES[name][0]})" for name in wanted)
+    return f"WITH RECURSIVE {head}\n{body}" if head else body
 
 
 cte(
@@ -458,7 +463,7 @@ def oracle_sql() -> dict[str, str]:
         "boost_proba": statement("SELECT doc_id, class, round(p, 6) AS p FROM bp", "bp"),
         "boost_predict": statement("SELECT doc_id, class, CAST(p >= 0.5 AS INTEGER) AS prediction FROM bp", "bp"),
         "boost_ovr_proba": statement("SELECT doc_id, class, round(p / sum(p) OVER (PARTITION BY doc_id), 6) AS p FROM bp", "bp"),
-        "boost_ovr_predict": statement(ARGMAX.format(rows="(SELECT doc_id, class, p / sum(p) OVER (PARTITION BY doc_id) AS q FROM bp)", key="q"), "bp"),
+        "boost_ovr_predict": statement(ARGMAX.format(rows="(SELECT doc_id, class, p / sum(p) OVER (PARTITION BY doc_id) AS q FROM bp)", key="round(q, 12)"), "bp"),
         "accuracy": statement("SELECT split, round(accuracy, 6) AS accuracy FROM acc", "acc"),
         "class_counts": statement("SELECT split, class, tp, fp, fn FROM counts", "counts"),
         "per_class_prf": statement("SELECT * FROM prf_class", "prf_class"),
@@ -496,4 +501,6 @@ def oracle_sql() -> dict[str, str]:
     out["padded_dataset"] = statement(
         f"SELECT doc_id, {padded}, CAST(y AS BIGINT) AS y FROM seqs JOIN seqlen USING (split) WHERE split = 'train'", "seqs", "seqlen"
     )
-    return out
+    import entry_train_sql
+
+    return out | entry_train_sql.statements(RUN_LEVELS, RUN_STEPS, RUN_EPOCHS, RUN_ROUNDS, RUN_DEPTH)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrade.functions.numeric import LOGIT_CLIP
+from lexigrade.functions.numeric import LOGIT_CLIP, counter_draw
 from lexigrade.functions.packed import list_column, list_parts, row_blocks
 from lexigrade.operators.evaluate import binary_scores
 from lexigrade.operators.linear import LinearModel, argmax_class, linear_scores, probabilities, row_normalised
@@ -212,9 +212,26 @@ def draw_rows(rows: DataFrame, n_rows: int, classes: tuple[int, ...], params: Lo
         F.get(listed, (F.col("id") % k).cast("int")).cast("int").alias("class"),
         F.floor(F.col("id") / k).cast("int").alias("step"),
     )
-    # 63 random bits: the remainder is even for any row count.
-    bits = F.xxhash64(F.lit(params.seed), "class", "step")
-    return steps.withColumn("pos", F.pmod(F.shiftrightunsigned(bits, 1), F.lit(n_rows).cast("long")))
+    return steps.withColumn("pos", counter_draw(n_rows, F.lit(params.seed), F.col("class"), F.col("step")))
+
+
+class RunningMean:
+    """Mean of the last ``STOP_WINDOW`` numbers, from their running sum."""
+
+    def __init__(self) -> None:
+        self.ring, self.seen, self.total = np.zeros(STOP_WINDOW), 0, 0.0
+
+    def add(self, x: float) -> None:
+        at = self.seen % STOP_WINDOW
+        self.total += x - self.ring[at]
+        self.ring[at] = x
+        self.seen += 1
+        if at == STOP_WINDOW - 1:
+            # Once around: what rounding left in the sum goes.
+            self.total = float(self.ring.sum())
+
+    def below(self, tolerance: float) -> bool:
+        return self.seen >= STOP_WINDOW and self.total / STOP_WINDOW < tolerance
 
 
 def lr_fit_stochastic(
@@ -237,7 +254,7 @@ def lr_fit_stochastic(
         lengths, ids = list_parts(table.column("ids").combine_chunks())
         _, vals = list_parts(table.column("vals").combine_chunks())
         ends = np.cumsum(lengths)
-        w, b, norms, points = np.zeros(n_features), 0.0, [], []
+        w, b, norms, points = np.zeros(n_features), 0.0, RunningMean(), []
         for i in range(len(y)):
             at, x = ids[ends[i] - lengths[i] : ends[i]], vals[ends[i] - lengths[i] : ends[i]]
             error = float(_logistic(np.array(x @ w[at] + b)) - y[i])
@@ -245,13 +262,13 @@ def lr_fit_stochastic(
             dw[at] += error * x
             w -= params.lr * dw
             b -= params.lr * error
-            norms.append(np.linalg.norm(dw) + abs(error))
+            norms.add(float(np.linalg.norm(dw)) + abs(error))
             if (i + 1) % CURVE_EVERY == 0:
                 points.append((i + 1, False, w.copy(), b))
-            if len(norms) >= STOP_WINDOW and np.mean(norms[-STOP_WINDOW:]) < params.tolerance:
+            if norms.below(params.tolerance):
                 points.append((i + 1, False, w.copy(), b))
                 break
-        points.append((len(norms), True, w, b))
+        points.append((norms.seen, True, w, b))
         steps, last, weights, biases = zip(*points)
         return _points([target] * len(points), list(steps), list(last), np.vstack(weights), list(biases))
 
