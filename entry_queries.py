@@ -457,8 +457,8 @@ def _root_candidates(spark, sf):
     data = level_data(spark, sf)
     stats = boost.value_stats(data.train)
     state = boost.with_logits(data.train, data.classes, TREE)
-    totals = boost.root_totals(state, data.classes, (), TREE)
     hist = boost.node_histograms(state, data.classes, 0, {c: [0] for c in data.classes}, (), (), stats, TREE)
+    totals = boost.root_totals(hist, data.classes)
     return boost.split_candidates(hist, totals, stats, TREE), totals
 
 
@@ -508,8 +508,8 @@ def q_best_split_dense(spark, sf):
     classes = tuple(r["y"] for r in labels.distinct_classes(rows).collect())
     stats = boost.value_stats(rows)
     state = boost.with_logits(rows, classes, TREE)
-    totals = boost.root_totals(state, classes, (), TREE)
     hist = boost.node_histograms(state, classes, 0, {c: [0] for c in classes}, (), (), stats, TREE)
+    totals = boost.root_totals(hist, classes)
     best = boost.best_splits(boost.split_candidates(hist, totals, stats, TREE))
     return best.select("class", "feature_id", r6("threshold"), r6("gain"), "n_left")
 

@@ -1,34 +1,38 @@
 """Second-order boosted trees with exact greedy splits, one booster per class.
 
-Trees of all classes grow together, level by level. One level is one pass over the packed rows: a task
-routes its rows through the trees known so far, adds up gradient and hessian per (class, node, feature,
-value) and emits those partial sums; Spark combines them, forms the running sums and picks the best split of
-every node. Only chosen splits (classes x nodes) reach the driver. Rows carry no per-round state: the margins
-of finished rounds are written out every few rounds, so a lost executor costs at most those few.
+Trees of all classes grow together, level by level. One level is one pass over the packed rows: a task routes its
+rows through the trees known so far and adds up gradient, hessian and rows per feature value, one column per node of
+each class. These histograms are combined over buckets of features and kept for one level: of two children only the
+smaller one is built from the rows, its sibling is the parent's histogram without it, and the sums of the root come
+from the same pass. The best split of every node is searched where its histogram lies. Only chosen splits (classes x nodes)
+reach the driver. Rows carry no per-round state: the margins of finished rounds are written out every few rounds, so
+a lost executor costs at most those few.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrade.functions.numeric import sigmoid
-from lexigrade.functions.packed import BLOCK_CELLS, combine_sums, list_column, list_parts
+from lexigrade.functions.packed import BLOCK_CELLS, list_column, list_parts
 from lexigrade.operators.linear import argmax_class, row_normalised
 from lexigrade.session import write_stage
 
 # Gains are compared with nine digits, so that equal splits tie and the order decides.
 GAIN_SCALE = 1e9
-# Distinct values of one feature that a single window partition may order.
+# Distinct values of one feature that a single histogram row may hold.
 WINDOW_VALUES = 2_000
-# Ranges into which the values of a feature with more of them are cut.
-VALUE_RANGES = 64
+# Ranges into which the values of a feature with more of them are cut: at least, and at most.
+VALUE_RANGES, MOST_RANGES = 64, 4096
+# Groups of features per shuffle partition.
+BUCKETS_PER_PARTITION = 2
 
 SUMS = ("g", "h", "n")
 
@@ -231,34 +235,20 @@ class ValueStats:
 
 
 def value_stats(rows: DataFrame) -> ValueStats:
-    """One row per feature reaches the driver. The estimate of distinct values only chooses between two exact plans."""
+    """One row per feature reaches the driver. The estimate of distinct values only sets the number of ranges."""
     long = rows.select(F.inline(F.arrays_zip("ids", "vals")))
     per_feature = long.groupBy("ids").agg(F.approx_count_distinct("vals").alias("distinct"), F.min("vals").alias("low"))
     overall = per_feature.agg(F.max("distinct").alias("distinct"), F.min("low").alias("low")).first()
     has_negative = (overall["low"] or 0.0) < 0
-    if (overall["distinct"] or 0) <= WINDOW_VALUES:
+    distinct = overall["distinct"] or 0
+    if distinct <= WINDOW_VALUES:
         return ValueStats(has_negative, None)
-    probabilities = [i / VALUE_RANGES for i in range(1, VALUE_RANGES)]
-    cuts = long.groupBy("ids").agg(F.percentile_approx("vals", probabilities, 1000).alias("cuts"))
+    ranges = min(MOST_RANGES, max(VALUE_RANGES, -(-distinct // max(1, WINDOW_VALUES))))
+    probabilities = [i / ranges for i in range(1, ranges)]
+    cuts = long.groupBy("ids").agg(F.percentile_approx("vals", probabilities, max(1000, 10 * ranges)).alias("cuts"))
     return ValueStats(has_negative, {r["ids"]: np.array(sorted({0.0, *r["cuts"]})) for r in cuts.collect()})
 
 
-def root_totals(rows: DataFrame, classes: tuple[int, ...], done: Sequence[Node], params: BoostParams) -> dict[tuple[int, int], Totals]:
-    """Gradient, hessian and row count of every class over all rows, token-free ones included."""
-
-    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g_sum, h_sum, n = np.zeros(len(classes)), np.zeros(len(classes)), 0
-        for part in _slices(batches, len(_used_features(done)) + 4 * len(classes)):
-            g, h = _gradients(part, classes, done, params)
-            g_sum, h_sum, n = g_sum + g.sum(0), h_sum + h.sum(0), n + part.num_rows
-        columns = [pa.array(classes, pa.int32()), pa.array(g_sum), pa.array(h_sum), pa.array([n] * len(classes), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["class", "g", "h", "n"])
-
-    parts = rows.select("y", "ids", "vals", "logits").mapInArrow(partial, "class int, g double, h double, n long")
-    sums = parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in SUMS])
-    return {(r["class"], 0): Totals(r["g"], r["h"], r["n"]) for r in sums.collect()}
-
-
 def _gradients(part: pa.RecordBatch, classes: tuple[int, ...], done: Sequence[Node], params: BoostParams) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and hessian of the logistic loss, rows x classes."""
     logits = list_parts(part.column("logits"))[1].reshape(part.num_rows, len(classes)).copy()
@@ -268,136 +258,369 @@ def _gradients(part: pa.RecordBatch, classes: tuple[int, ...], done: Sequence[No
     return p - (part.column("y").to_numpy()[:, None] == np.array(classes)[None, :]), p * (1.0 - p)
 
 
-def _distinct(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and the index of each key among them; keys are below ``size``."""
-    if size > 4 * len(key) + 1000:
-        return np.unique(key, return_inverse=True)
-    hit = np.flatnonzero(np.bincount(key, minlength=size))
-    place = np.zeros(size, dtype=np.int64)
-    place[hit] = np.arange(len(hit))
-    return hit, place[key]
+# -- histograms -------------------------------------------------------------------------------------
+#
+# A histogram row holds the cells of one feature, or of one range of its values: the distinct values in order, and for each of them
+# the sums of all slots. A slot is a node of a class; feature -1 holds the sums over all rows of the slots.
+
+TOTALS = -1
+_HIST = "bucket int, feature_id int, vrange int, vals array<double>, g array<double>, h array<double>, n array<double>"
+_HIST_NAMES = ("bucket", "feature_id", "vrange", "vals", *SUMS)
+
+Slot = tuple[int, int]
+
+
+class _Cells:
+    """Sums by (feature, range, value), one column per slot; what is added is combined before it leaves a task."""
+
+    def __init__(self, width: int) -> None:
+        self.width, self.parts, self.size = width, [], 0
+
+    def add(self, feature: np.ndarray, vrange: np.ndarray, value: np.ndarray, sums: Sequence[np.ndarray]) -> None:
+        if len(feature):
+            self.parts.append((feature, vrange, value, *sums))
+            self.size += len(feature)
+
+    def add_table(self, table: pa.Table, first: int, width: int) -> None:
+        """Histogram rows whose slots become the columns from ``first`` on."""
+        if not table.num_rows:
+            return
+        lengths, vals = list_parts(table.column("vals").combine_chunks())
+        feature, vrange = (np.repeat(table.column(c).to_numpy(), lengths) for c in ("feature_id", "vrange"))
+        sums = []
+        for name in SUMS:
+            matrix = np.zeros((len(vals), self.width))
+            matrix[:, first : first + width] = list_parts(table.column(name).combine_chunks())[1].reshape(len(vals), width)
+            sums.append(matrix)
+        self.add(feature, vrange, vals, sums)
+
+    def combined(self) -> tuple[np.ndarray, ...]:
+        if not self.parts:
+            none = np.zeros(0, dtype=np.int64)
+            return (none, none, np.zeros(0), *[np.zeros((0, self.width))] * 3)
+        columns = [np.concatenate(c) for c in zip(*self.parts)]
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        feature, vrange, value = (c[order] for c in columns[:3])
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (feature[1:] != feature[:-1]) | (vrange[1:] != vrange[:-1]) | (value[1:] != value[:-1])
+        starts = np.flatnonzero(fresh)
+        out = (feature[starts], vrange[starts], value[starts], *[np.add.reduceat(c[order], starts, axis=0) for c in columns[3:]])
+        self.parts, self.size = [out], len(starts)
+        return out
 
 
-_HIST_KEYS = ("class", "node", "feature_id", "vrange", "value")
-_HIST_SCHEMA = "class int, node int, feature_id int, vrange int, value double, g double, h double, n long"
+def _packed(cells: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+    feature, vrange, value, *sums = cells
+    width = sums[0].shape[1]
+    fresh = np.ones(len(feature), bool)
+    fresh[1:] = (feature[1:] != feature[:-1]) | (vrange[1:] != vrange[:-1])
+    starts = np.flatnonzero(fresh)
+    offsets = np.append(starts, len(feature))
+    lists = lambda flat, step: pa.ListArray.from_arrays(pa.array(offsets * step, pa.int32()), pa.array(flat))
+    bucket = (feature[starts] + 31 * vrange[starts]) % buckets
+    columns = [pa.array(c.astype(np.int32)) for c in (bucket, feature[starts], vrange[starts])]
+    columns += [lists(value, 1), *[lists(np.ascontiguousarray(m).ravel(), width) for m in sums]]
+    return pa.RecordBatch.from_arrays(columns, names=list(_HIST_NAMES))
 
 
-def node_histograms(
+def _partial_histograms(
     rows: DataFrame,
     classes: tuple[int, ...],
     depth: int,
-    open_nodes: dict[int, list[int]],
+    slots: Sequence[Slot],
     done: Sequence[Node],
     growing: Sequence[Node],
     stats: ValueStats,
     params: BoostParams,
 ) -> DataFrame:
-    """Sums per task ``(class, node, feature_id, vrange, value, g, h, n)`` of the non-zero cells of the open nodes.
-
-    ``done`` are the trees since the ``logits`` column was written, ``growing`` those of this round.
-    """
-    grown = _by_tree(growing)
-    growing_features = _used_features(growing)
+    """Histogram rows of each task. ``done`` are the trees since ``logits`` was written, ``growing`` those of this round."""
+    grown, growing_features = _by_tree(growing), _used_features(growing)
     round_id = max((n.round for n in growing), default=0)
-    n_nodes = 2 ** (depth + 1)
-    cuts = stats.cuts
+    cuts, width = stats.cuts, len(slots)
+    of_class = {c: [(i, node) for i, (target, node) in enumerate(slots) if target == c] for c in classes}
+    buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def ranges(cell_ids: np.ndarray, cell_vals: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(cell_ids), dtype=np.int64)
+    def ranges(ids: np.ndarray, vals: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ids), dtype=np.int64)
         if cuts is not None:
-            starts = np.flatnonzero(np.diff(cell_ids, prepend=-1))
-            for start, end in zip(starts, [*starts[1:], len(cell_ids)]):
-                out[start:end] = np.searchsorted(cuts[cell_ids[start]], cell_vals[start:end], side="right")
+            starts = np.flatnonzero(np.diff(ids, prepend=-1))
+            for start, end in zip(starts, [*starts[1:], len(ids)]):
+                out[start:end] = np.searchsorted(cuts[ids[start]], vals[start:end], side="right")
         return out
 
+    def sums_of(part: pa.RecordBatch, held: _Cells) -> None:
+        g, h = _gradients(part, classes, done, params)
+        dense = _columns_of(part, growing_features)
+        lengths, ids = list_parts(part.column("ids"))
+        _, vals = list_parts(part.column("vals"))
+        row = np.repeat(np.arange(part.num_rows), lengths)
+        filled = vals != 0
+        ids, vals, row = ids[filled], vals[filled], row[filled]
+        # One code per distinct (feature, value) of this batch; the last code stands for all rows.
+        order = np.lexsort((vals, ids))
+        ids, vals, row = ids[order], vals[order], row[order]
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (ids[1:] != ids[:-1]) | (vals[1:] != vals[:-1])
+        n_cells = int(fresh.sum())
+        code = np.concatenate([np.cumsum(fresh) - 1, np.full(part.num_rows, n_cells)])
+        row = np.concatenate([row, np.arange(part.num_rows)])
+        sums = [np.zeros((n_cells + 1, width)) for _ in SUMS]
+        for k, target in enumerate(classes):
+            mine = of_class[target]
+            if not mine:
+                continue
+            place = np.full(2 ** (depth + 1), -1, dtype=np.int64)
+            place[[node for _, node in mine]] = np.arange(len(mine))
+            where = place[_route(dense, growing_features, grown.get((round_id, target), {}), depth)]
+            live = where[row] >= 0
+            key, at = code[live] * len(mine) + where[row[live]], row[live]
+            columns = [i for i, _ in mine]
+            for matrix, weight in zip(sums, (g[at, k], h[at, k], None)):
+                matrix[:, columns] = np.bincount(key, weight, (n_cells + 1) * len(mine)).reshape(n_cells + 1, len(mine))
+        used = np.flatnonzero(sums[2].any(axis=1))
+        feature = np.append(ids[fresh], TOTALS)[used]
+        value = np.append(vals[fresh], 0.0)[used]
+        vrange = np.append(ranges(ids[fresh], vals[fresh]), 0)[used]
+        held.add(feature.astype(np.int64), vrange, value, [m[used] for m in sums])
+
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches, len(_used_features(done)) + len(growing_features) + 4 * len(classes)):
-            g, h = _gradients(part, classes, done, params)
-            dense = _columns_of(part, growing_features)
-            lengths, ids = list_parts(part.column("ids"))
-            _, vals = list_parts(part.column("vals"))
-            row = np.repeat(np.arange(part.num_rows), lengths)
-            filled = vals != 0
-            ids, vals, row = ids[filled], vals[filled], row[filled]
-            # One code per distinct (feature, value) of this batch.
-            order = np.lexsort((vals, ids))
-            ids, vals, row = ids[order], vals[order], row[order]
-            fresh = np.ones(len(ids), bool)
-            fresh[1:] = (ids[1:] != ids[:-1]) | (vals[1:] != vals[:-1])
-            code = np.cumsum(fresh) - 1
-            cell_ids, cell_vals = ids[fresh], vals[fresh]
-            cell_ranges = ranges(cell_ids, cell_vals)
-            n_cells = max(1, len(cell_ids))
-            out = []
-            for k, target in enumerate(classes):
-                nodes = np.array(open_nodes.get(target, []), dtype=np.int64)
-                slot = np.full(n_nodes, -1, dtype=np.int64)
-                slot[nodes] = np.arange(len(nodes))
-                where = slot[_route(dense, growing_features, grown.get((round_id, target), {}), depth)]
-                live = where[row] >= 0
-                mine = row[live]
-                key = where[mine] * n_cells + code[live]
-                hit, index = _distinct(key, len(nodes) * n_cells)
-                gs, hs = (np.bincount(index, x[mine, k], len(hit)) for x in (g, h))
-                cell = hit % n_cells
-                out.append((np.full(len(hit), target), nodes[hit // n_cells], cell_ids[cell], cell_ranges[cell], cell_vals[cell], gs, hs, np.bincount(index, minlength=len(hit))))
-            kinds = (np.int32, np.int32, np.int32, np.int32, np.float64, np.float64, np.float64, np.int64)
-            columns = [pa.array(np.concatenate(column).astype(kind)) for column, kind in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*_HIST_KEYS, *SUMS])
-
-    def combined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combine_sums(partial(batches), _HIST_KEYS, SUMS)
-
-    return rows.select("y", "ids", "vals", "logits").mapInArrow(combined, _HIST_SCHEMA)
-
-
-def split_candidates(hist: DataFrame, totals: dict[tuple[int, int], Totals], stats: ValueStats, params: BoostParams) -> DataFrame:
+        held, most = _Cells(width), max(1, BLOCK_CELLS // max(1, width))
+        for batch in batches:
+            cells = max(1, int(batch.column("ids").flatten().__len__()) // max(1, batch.num_rows))
+            # A row adds at most its cells, each with all slots.
+            for part in _slices([batch], len(_used_features(done)) + len(growing_features) + 4 * len(classes) + cells * width):
+                sums_of(part, held)
+                if held.size > most:
+                    cells_now = held.combined()
+                    if held.size > most // 2:
+                        yield _packed(cells_now, buckets)
+                        held = _Cells(width)
+        if held.parts:
+            yield _packed(held.combined(), buckets)
+
+    return rows.select("y", "ids", "vals", "logits").mapInArrow(partial, _HIST)
+
+
+def node_histograms(
+    rows: DataFrame,
+    classes: tuple[int, ...],
+    depth: int,
+    open_nodes: dict[int, list[int]],
+    done: Sequence[Node],
+    growing: Sequence[Node],
+    stats: ValueStats,
+    params: BoostParams,
+) -> DataFrame:
+    """Histograms of the given nodes, straight from the rows; their slots are the sorted (class, node) pairs."""
+    slots = sorted((c, node) for c, nodes in open_nodes.items() for node in nodes)
+    parts = _partial_histograms(rows, classes, depth, slots, done, growing, stats, params)
+    width = len(slots)
+
+    def merge(table: pa.Table) -> pa.Table:
+        cells = _Cells(width)
+        cells.add_table(table, 0, width)
+        return pa.Table.from_batches([_packed_in(cells.combined(), table)])
+
+    return parts.groupBy("bucket").applyInArrow(merge, _HIST)
+
+
+def _packed_in(cells: tuple[np.ndarray, ...], table: pa.Table) -> pa.RecordBatch:
+    """Histogram rows of one bucket."""
+    batch = _packed(cells, 1)
+    bucket = pa.array(np.full(batch.num_rows, table.column("bucket")[0].as_py(), np.int32))
+    return pa.RecordBatch.from_arrays([bucket, *batch.columns[1:]], names=list(_HIST_NAMES))
+
+
+@dataclass(frozen=True)
+class Level:
+    """Slots of a level: those built from the rows and, by the place of parent and sibling, those that are the rest of the parent."""
+
+    slots: list[Slot]
+    built: list[Slot]
+    derived: dict[Slot, tuple[int, int]]
+
+
+def child_histograms(
+    rows: DataFrame,
+    parents: DataFrame,
+    n_parents: int,
+    classes: tuple[int, ...],
+    depth: int,
+    level: Level,
+    done: Sequence[Node],
+    growing: Sequence[Node],
+    stats: ValueStats,
+    params: BoostParams,
+) -> DataFrame:
+    """Histograms of the next level: only the smaller child of a node is built, its sibling is the parent without it."""
+    parts = _partial_histograms(rows, classes, depth, level.built, done, growing, stats, params)
+    place = {slot: i for i, slot in enumerate(level.built)}
+    n_built, width = len(level.built), len(level.slots)
+
+    def subtract(small: pa.Table, parent: pa.Table) -> pa.Table:
+        cells = _Cells(n_parents + n_built)
+        cells.add_table(parent, 0, n_parents)
+        cells.add_table(small, n_parents, n_built)
+        feature, vrange, value, *both = cells.combined()
+        out = [np.zeros((len(feature), width)) for _ in SUMS]
+        for at, slot in enumerate(level.slots):
+            for matrix, given in zip(out, both):
+                if slot in place:
+                    matrix[:, at] = given[:, n_parents + place[slot]]
+                else:
+                    above, sibling = level.derived[slot]
+                    matrix[:, at] = given[:, above] - given[:, n_parents + sibling]
+        # Cells without rows are exactly empty, whatever rounding left of their sums.
+        out[0][out[2] == 0] = out[1][out[2] == 0] = 0.0
+        used = out[2].any(axis=1)
+        table = parent if parent.num_rows else small
+        return pa.Table.from_batches([_packed_in((feature[used], vrange[used], value[used], *[m[used] for m in out]), table)])
+
+    return parts.groupBy("bucket").cogroup(parents.groupBy("bucket")).applyInArrow(subtract, _HIST)
+
+
+def root_totals(hist: DataFrame, classes: tuple[int, ...]) -> dict[Slot, Totals]:
+    """Gradient, hessian and row count of every class over all rows, token-free ones included, from the histograms of the roots."""
+    row = hist.where(F.col("feature_id") == TOTALS).select(*SUMS).first()
+    if row is None:
+        return {(c, 0): Totals(0.0, 0.0, 0) for c in classes}
+    return {(c, 0): Totals(row["g"][i], row["h"][i], int(row["n"][i])) for i, c in enumerate(sorted(classes))}
+
+
+# -- split search -----------------------------------------------------------------------------------
+
+_BEFORE = tuple(f"{c}_before" for c in SUMS)
+_ZERO = (*[f"{c}_below" for c in SUMS], "filled")
+
+
+def _with_offsets(hist: DataFrame, width: int) -> DataFrame:
+    """Histogram rows of value ranges with the sums of the ranges farther from zero; the lowest range also has the feature's negative sums."""
+    sides = "feature_id int, vrange int, positive boolean, g array<double>, h array<double>, n array<double>"
+
+    def totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, vals = list_parts(batch.column("vals"))
+            starts = np.cumsum(lengths) - lengths
+            sums = [np.add.reduceat(list_parts(batch.column(c))[1].reshape(len(vals), width), starts, axis=0) for c in SUMS]
+            columns = [batch.column("feature_id"), batch.column("vrange"), pa.array(vals[starts] > 0), *[list_column(m) for m in sums]]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature_id", "vrange", "positive", *SUMS])
+
+    def offsets(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("vrange")
+        positive = table.column("positive").to_numpy()
+        sums = [list_parts(table.column(c).combine_chunks())[1].reshape(len(positive), width) for c in SUMS]
+        before = []
+        for m in sums:
+            low, high = np.cumsum(np.where(positive[:, None], 0, m), axis=0) - np.where(positive[:, None], 0, m), m[::-1]
+            high = np.cumsum(np.where(positive[::-1, None], high, 0), axis=0)[::-1] - np.where(positive[:, None], m, 0)
+            before.append(np.where(positive[:, None], high, low))
+        zero = [m[~positive].sum(axis=0) for m in sums] + [sums[2].sum(axis=0)]
+        lists = [pa.array([z.tolist()] + [None] * (len(positive) - 1), pa.list_(pa.float64())) for z in zero]
+        columns = {"f": table.column("feature_id"), "r": table.column("vrange")}
+        columns |= {name: list_column(m) for name, m in zip(_BEFORE, before)} | dict(zip(_ZERO, lists))
+        return pa.table(columns)
+
+    schema = "f int, r int, " + ", ".join(f"{c} array<double>" for c in (*_BEFORE, *_ZERO))
+    cells = hist.where(F.col("feature_id") != TOTALS)
+    ahead = cells.mapInArrow(lambda batches: totals(b for b in batches if b.num_rows), sides).groupBy("feature_id").applyInArrow(offsets, schema)
+    return cells.join(ahead, (F.col("feature_id") == F.col("f")) & (F.col("vrange") == F.col("r"))).drop("f", "r")
+
+
+@dataclass
+class _Thresholds:
+    """Candidates of one histogram row in ascending order: thresholds x slots."""
+
+    feature: int
+    value: np.ndarray
+    left: list[np.ndarray]
+    gain: np.ndarray
+    valid: np.ndarray
+
+
+def _thresholds(batch: pa.RecordBatch, total: np.ndarray, ranged: bool, params: BoostParams) -> Iterator[_Thresholds]:
+    """Zero cells are implicit: above zero the left side is the node total minus the cells from the threshold upwards, below zero the
+    sum of the cells under it. Zero itself is a threshold where a feature has negative cells and empty ones."""
+    width = total.shape[1]
+    lengths, vals = list_parts(batch.column("vals"))
+    ends = np.cumsum(lengths)
+    sums = [list_parts(batch.column(c))[1].reshape(-1, width) for c in SUMS]
+    extra = {c: batch.column(c).to_pylist() for c in (*_BEFORE, *_ZERO)} if ranged else {}
+    score = lambda gs, hs: gs * gs / (hs + params.reg_lambda)
+    for i, feature in enumerate(batch.column("feature_id").to_pylist()):
+        if feature == TOTALS:
+            continue
+        value = vals[ends[i] - lengths[i] : ends[i]]
+        own = [m[ends[i] - lengths[i] : ends[i]] for m in sums]
+        split = int(np.searchsorted(value, 0.0))
+        left = []
+        for c, m in enumerate(own):
+            before = np.array(extra[_BEFORE[c]][i]) if ranged else 0.0
+            low = before + np.cumsum(m[:split], axis=0) - m[:split]
+            high = total[c] - (before + np.cumsum(m[split:][::-1], axis=0)[::-1])
+            left.append(np.vstack([low, high]))
+        valid = (own[2] > 0) & (left[2] > 0)
+        below, filled = None, None
+        if ranged:
+            if extra["filled"][i] is not None:
+                below, filled = [np.array(extra[c][i]) for c in _ZERO[:3]], np.array(extra["filled"][i])
+        elif split:
+            below, filled = [m[:split].sum(axis=0) for m in own], own[2].sum(axis=0)
+        if below is not None:
+            value = np.insert(value, split, 0.0)
+            left = [np.insert(m, split, z, axis=0) for m, z in zip(left, below)]
+            valid = np.insert(valid, split, (below[2] > 0) & (filled < total[2]), axis=0)
+        with np.errstate(divide="ignore", invalid="ignore"):  # slots that are not searched have no totals
+            gain = 0.5 * (score(left[0], left[1]) + score(total[0] - left[0], total[1] - left[1]) - score(total[0], total[1])) - params.gamma
+        yield _Thresholds(feature, value, left, gain, valid)
+
+
+_CANDIDATE = "class int, node int, feature_id int, threshold double, gain double, g_left double, h_left double, n_left long"
+
+
+def _candidate_batch(slots: np.ndarray, at: np.ndarray, feature: np.ndarray, value: np.ndarray, gain: np.ndarray, left: Sequence[np.ndarray]) -> pa.RecordBatch:
+    columns = [slots[at, 0].astype(np.int32), slots[at, 1].astype(np.int32), feature.astype(np.int32), value, gain, left[0], left[1], left[2].astype(np.int64)]
+    names = [field.split(" ")[0] for field in _CANDIDATE.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
+def _search(hist: DataFrame, totals: dict[Slot, Totals], stats: ValueStats, params: BoostParams, slots: Sequence[Slot], best_only: bool) -> DataFrame:
+    """Candidates of the slots in ``totals``: all of them, or the best of each slot and task."""
+    ranged, width = stats.cuts is not None, len(slots)
+    total = np.array([[getattr(totals.get(s, Totals(0.0, 0.0, 0)), c) for s in slots] for c in SUMS], dtype=float).reshape(len(SUMS), width)
+    wanted = np.array([s in totals for s in slots], dtype=bool)
+    named = np.array(slots, dtype=np.int64).reshape(width, 2)
+    source = _with_offsets(hist, width) if ranged else hist
+
+    def every(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in _thresholds(batch, total, ranged, params):
+                cell, slot = np.nonzero(t.valid & wanted)
+                yield _candidate_batch(named, slot, np.full(len(cell), t.feature), t.value[cell], t.gain[cell, slot], [m[cell, slot] for m in t.left])
+
+    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every_slot = np.arange(width)
+        # Loss, feature, threshold: compared in this order; then gain and the left sums.
+        found = np.full((7, width), np.inf)
+        for batch in batches:
+            for t in _thresholds(batch, total, ranged, params):
+                loss = np.where(t.valid & wanted, -np.rint(t.gain * GAIN_SCALE), np.inf)
+                first = np.argmin(loss, axis=0)
+                now = np.vstack([loss[first, every_slot], np.full(width, t.feature), t.value[first], t.gain[first, every_slot], *[m[first, every_slot] for m in t.left]])
+                tie = now[0] == found[0]
+                better = (now[0] < found[0]) | (tie & (now[1] < found[1])) | (tie & (now[1] == found[1]) & (now[2] < found[2]))
+                found = np.where(better, now, found)
+        at = np.flatnonzero(np.isfinite(found[0]))
+        yield _candidate_batch(named, at, *found[1:4, at], found[4:, at])
+
+    return source.select(*_HIST_NAMES[1:], *((*_BEFORE, *_ZERO) if ranged else ())).mapInArrow(best if best_only else every, _CANDIDATE)
+
+
+def split_candidates(hist: DataFrame, totals: dict[Slot, Totals], stats: ValueStats, params: BoostParams) -> DataFrame:
     """``(class, node, feature_id, threshold, gain, g_left, h_left, n_left)`` of every non-empty split ``value < threshold``.
 
-    Zero cells are implicit. Above zero the left side is the node total minus the cells from the threshold
-    upwards; below zero it is the sum of the cells under it. Both are running sums from the outermost value
-    towards zero, so the zero bucket is never needed as a row.
+    ``totals`` are those of all slots of the histograms.
     """
-    key = ["class", "node", "feature_id"]
-    sums = [F.sum(c).alias(c) for c in SUMS]
-    positive = F.col("value") > 0
-    if stats.cuts is None:
-        # Few values per feature: summed before the exchange, so a frequent feature sends its values once per task.
-        cells = hist.groupBy(*key, "value").agg(*sums)
-        outward = Window.partitionBy(*key, "positive").orderBy(F.desc(F.abs("value")))
-        cells = cells.withColumn("positive", positive)
-        running = cells.select("*", *[F.sum(c).over(outward.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_run") for c in SUMS])
-    else:
-        # Many values: cells are combined before the shuffle, then summed over ranges and inside each range.
-        cells = hist.groupBy(*key, "vrange", "value").agg(*sums).withColumn("positive", positive)
-        outer = F.when(F.col("positive"), -F.col("vrange")).otherwise(F.col("vrange"))
-        before = Window.partitionBy(*key, "positive").orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = cells.groupBy(*key, "positive", "vrange").agg(*sums)
-        offsets = offsets.select(*key, "positive", "vrange", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in SUMS])
-        inside = Window.partitionBy(*key, "positive", "vrange").orderBy(F.desc(F.abs("value")))
-        running = cells.select("*", *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_run") for c in SUMS])
-        running = running.join(offsets, [*key, "positive", "vrange"])
-        running = running.select(*key, "value", "positive", *SUMS, *[(F.col(f"{c}_before") + F.col(f"{c}_run")).alias(f"{c}_run") for c in SUMS])
-
-    # One row per open node: classes x nodes, never more than the model.
-    node_rows = [(c, n, t.g, t.h, t.n) for (c, n), t in totals.items()]
-    schema = "class int, node int, g_all double, h_all double, n_all long"
-    node_totals = F.broadcast(hist.sparkSession.createDataFrame(node_rows, schema))
-    known = running.join(node_totals, ["class", "node"])
-    sides = [
-        F.when(F.col("positive"), F.col(f"{c}_all") - F.col(f"{c}_run")).otherwise(F.col(f"{c}_run") - F.col(c)).alias(f"{c}_left")
-        for c in SUMS
-    ]
-    left = known.select(*key, F.col("value").alias("threshold"), *[f"{c}_all" for c in SUMS], *sides)
-    if stats.has_negative:
-        # Zero itself is a threshold where a feature has negative cells and empty ones.
-        below = cells.groupBy(*key).agg(
-            *[F.sum(F.when(F.col("value") < 0, F.col(c)).otherwise(0)).alias(f"{c}_left") for c in SUMS], F.sum("n").alias("filled")
-        )
-        at_zero = below.join(node_totals, ["class", "node"]).where("filled < n_all").withColumn("threshold", F.lit(0.0))
-        left = left.unionByName(at_zero.select(*left.columns))
-    gain = split_gain(F.col("g_all"), F.col("h_all"), F.col("g_left"), F.col("h_left"), params.reg_lambda, params.gamma)
-    return left.where("n_left > 0").select(*key, "threshold", gain.alias("gain"), *[f"{c}_left" for c in SUMS])
+    return _search(hist, totals, stats, params, sorted(totals), False)
 
 
 def best_splits(candidates: DataFrame) -> DataFrame:
@@ -411,33 +634,60 @@ def best_splits(candidates: DataFrame) -> DataFrame:
     return best.select("class", "node", *[f"best.{c}" for c in rest])
 
 
+def _next_level(splits: dict[Slot, Row], level: dict[Slot, Totals], slots: Sequence[Slot], searched: Callable[[Totals], bool]) -> tuple[dict[Slot, Totals], Level]:
+    """Totals of the children, and which of their histograms are built: the smaller child of a node, unless neither is searched."""
+    following: dict[Slot, Totals] = {}
+    above = {slot: i for i, slot in enumerate(slots)}
+    built: list[Slot] = []
+    derived: dict[Slot, tuple[int, int]] = {}
+    for (target, node), split in sorted(splits.items()):
+        t = level[target, node]
+        left = Totals(split["g_left"], split["h_left"], split["n_left"])
+        right = Totals(t.g - left.g, t.h - left.h, t.n - left.n)
+        pair = [((target, 2 * node + 1), left), ((target, 2 * node + 2), right)]
+        following |= dict(pair)
+        if searched(left) or searched(right):
+            (small, _), (large, rest) = sorted(pair, key=lambda p: p[1].n)
+            if searched(rest):
+                derived[large] = (above[target, node], len(built))
+            built.append(small)
+    return following, Level(sorted([*built, *derived]), built, derived)
+
+
 def _grow_round(
     rows: DataFrame, classes: tuple[int, ...], round_id: int, done: Sequence[Node], stats: ValueStats, params: BoostParams
 ) -> list[Node]:
-    """One tree per class, all of them level by level; the sums of a child follow from the chosen split."""
+    """One tree per class, all of them level by level. The histograms of a level are kept until those of the next one are made from them."""
     nodes: list[Node] = []
-    level = root_totals(rows, classes, done, params)
-    for depth in range(params.max_depth + 1):
-        open_nodes = {k: t for k, t in level.items() if depth < params.max_depth and t.n >= params.min_samples_split}
-        splits = {}
-        if open_nodes:
-            by_class: dict[int, list[int]] = {}
-            for target, node_id in sorted(open_nodes):
-                by_class.setdefault(target, []).append(node_id)
-            hist = node_histograms(rows, classes, depth, by_class, done, nodes, stats, params)
-            best = best_splits(split_candidates(hist, open_nodes, stats, params))
-            splits = {(r["class"], r["node"]): r for r in best.collect() if r["gain"] > params.min_impurity_decrease}
-        following: dict[tuple[int, int], Totals] = {}
-        for (target, node_id), t in sorted(level.items()):
-            split = splits.get((target, node_id))
-            if split is None:
-                nodes.append(Node(target, round_id, node_id, None, None, -t.g / (t.h + params.reg_lambda)))
-                continue
-            nodes.append(Node(target, round_id, node_id, split["feature_id"], split["threshold"], None))
-            left = Totals(split["g_left"], split["h_left"], split["n_left"])
-            following[(target, 2 * node_id + 1)] = left
-            following[(target, 2 * node_id + 2)] = Totals(t.g - left.g, t.h - left.h, t.n - left.n)
-        level = following
+    hist = node_histograms(rows, classes, 0, {c: [0] for c in classes}, done, (), stats, params).persist()
+    kept = [hist]
+    try:
+        slots: Sequence[Slot] = sorted((c, 0) for c in classes)
+        level = root_totals(hist, classes)
+        for depth in range(params.max_depth + 1):
+            open_ = lambda t, at=depth: at < params.max_depth and t.n >= params.min_samples_split
+            wanted = {s: t for s, t in level.items() if open_(t)}
+            splits = {}
+            if wanted:
+                best = best_splits(_search(hist, wanted, stats, params, slots, True))
+                splits = {(r["class"], r["node"]): r for r in best.collect() if r["gain"] > params.min_impurity_decrease}
+            for slot, t in sorted(level.items()):
+                split, leaf = splits.get(slot), -t.g / (t.h + params.reg_lambda)
+                tested = (None, None, leaf) if split is None else (split["feature_id"], split["threshold"], None)
+                nodes.append(Node(slot[0], round_id, slot[1], *tested))
+            level, children = _next_level(splits, level, slots, lambda t, at=depth + 1: at < params.max_depth and t.n >= params.min_samples_split)
+            if children.built:
+                hist = child_histograms(rows, hist, len(slots), classes, depth + 1, children, done, nodes, stats, params)
+                if depth + 2 < params.max_depth:
+                    kept.append(hist.persist())
+                slots = children.slots
+            if len(kept) > 2:
+                kept.pop(0).unpersist()
+            if not level:
+                break
+    finally:
+        for used in kept:
+            used.unpersist()
     return nodes
 
 
@@ -453,22 +703,24 @@ def build_trees(rows: DataFrame, classes: tuple[int, ...], params: BoostParams)
 
 def boost_ovr_fit(rows: DataFrame, classes: tuple[int, ...], params: BoostParams = BoostParams()) -> BoostModel:
     """One booster per class from rows ``(y, ids, vals)``."""
-    stats = value_stats(rows)
+    stats = value_stats(rows) if params.n_estimators else ValueStats(False, None)
     # Every level reads the rows once; a lost block is computed again from the stored rows.
     state = with_logits(rows.select("y", "ids", "vals"), classes, params).persist()
     nodes: list[Node] = []
     pending: list[Node] = []
-    for round_id in range(params.n_estimators):
-        grown = _grow_round(state, classes, round_id, pending, stats, params)
-        nodes += grown
-        pending += grown
-        if (round_id + 1) % params.write_every == 0 and round_id + 1 < params.n_estimators:
-            model = BoostModel(classes, params, tuple(pending))
-            moved = boost_logits(state, model, ("y", "ids", "vals"), base="logits")
-            stored = write_stage(moved.withColumnRenamed("scores", "logits"), "logits")
-            state.unpersist()
-            state, pending = stored.persist(), []
-    state.unpersist()
+    try:
+        for round_id in range(params.n_estimators):
+            grown = _grow_round(state, classes, round_id, pending, stats, params)
+            nodes += grown
+            pending += grown
+            if (round_id + 1) % params.write_every == 0 and round_id + 1 < params.n_estimators:
+                model = BoostModel(classes, params, tuple(pending))
+                moved = boost_logits(state, model, ("y", "ids", "vals"), base="logits")
+                stored = write_stage(moved.withColumnRenamed("scores", "logits"), "logits")
+                state.unpersist()
+                state, pending = stored.persist(), []
+    finally:
+        state.unpersist()
     return BoostModel(tuple(classes), params, tuple(nodes))
 
 

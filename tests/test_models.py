@@ -193,7 +193,7 @@ def test_root_split_golden(spark):
     stats = boost.value_stats(frame(spark, x, y))
     state = boost.with_logits(frame(spark, x, y), (1,), params)
     hist = boost.node_histograms(state, (1,), 0, {1: [0]}, (), (), stats, params)
-    found = boost.split_candidates(hist, boost.root_totals(state, (1,), (), params), stats, params).collect()
+    found = boost.split_candidates(hist, boost.root_totals(hist, (1,)), stats, params).collect()
     gains = {(r["feature_id"], r["threshold"]): r["gain"] for r in found}
     assert np.allclose([gains[(0, 1.0)], gains[(0, 2.0)], gains[(1, 1.0)]], [1.185714, 0.055556, -0.1], atol=1e-6) and len(gains) == 3
 
@@ -282,3 +282,35 @@ def test_training_loss_falls(spark):
         p = {r["pos"]: r["scores"][0] for r in boost.boost_proba(frame(spark, x, y), model, ("pos",)).collect()}
         losses.append(-np.mean([np.log(p[i] if y[i] else 1 - p[i]) for i in range(n)]))
     assert losses == sorted(losses, reverse=True)
+
+
+def test_only_the_smaller_child_is_built(spark, monkeypatch):
+    """Siblings come from their parents: of two children, the rows of the smaller one are added up and no others."""
+    n, width = 90, 4
+    x, y = matrix(24, n, width), np.random.default_rng(25).integers(0, 3, n)
+    rows, params = frame(spark, x, y), boost.BoostParams(n_estimators=1, max_depth=3, min_samples_split=4)
+    passes, sizes = [], []
+    kept = boost._partial_histograms
+
+    def watched(rows, classes, depth, slots, *rest):
+        parts = kept(rows, classes, depth, slots, *rest)
+        total = np.zeros(len(slots))
+        for r in parts.where("feature_id = -1").collect():
+            total += np.array(r["n"])
+        passes.append(depth)
+        sizes.append(dict(zip(slots, total)))
+        return parts
+
+    monkeypatch.setattr(boost, "_partial_histograms", watched)
+    model = boost.boost_ovr_fit(rows, (0, 1, 2), params)
+    assert passes == [0, 1, 2]
+    assert all(v == n for v in sizes[0].values())
+    for above, depth in ((sizes[0], 1), (sizes[1], 2)):
+        for (c, node), count in sizes[depth].items():
+            sibling = node + 1 if node % 2 else node - 1
+            assert (c, sibling) not in sizes[depth]
+            if (c, (node - 1) // 2) in above:
+                assert count <= above[c, (node - 1) // 2] / 2
+    for c in range(3):
+        trees, _ = brute.boost(x, (y == c).astype(int), params)
+        same_tree(as_dict(model, c, 0), trees[0])
