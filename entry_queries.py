@@ -128,10 +128,14 @@ def q_ws_tokens(spark, sf):
 
 
 def _sequences(spark, sf):
+    """Sequences of all documents; a label that train does not have, or none, has code -1."""
     fitted = space(spark, sf, "bow")
-    seqs = sequences.encode_sequences(documents(spark, sf), fitted.terms, fitted.n_terms, ("split", "lang"))
-    index = level_data(spark, sf).index
-    return _once(spark, ("seq", sf), lambda: write_stage(seqs.join(F.broadcast(index), seqs.lang == index.label).drop("label", "n_class"), "sequences"))
+    docs = documents(spark, sf)
+    index = labels.label_index(docs.where("split = 'train' AND lang IS NOT NULL").withColumn("label", F.col("lang")))
+    make = lambda: labels.encode_heldout(
+        sequences.encode_sequences(docs, fitted.terms, fitted.n_terms, ("split", "lang")).withColumnRenamed("lang", "label"), index, index.count()
+    )
+    return _once(spark, ("seq", sf), lambda: write_stage(make(), "sequences"))
 
 
 def q_pad_length(spark, sf):
@@ -152,8 +156,10 @@ def q_pad_truncate(spark, sf):
 
 
 def q_padded_dataset(spark, sf):
-    padded, _ = sequences.padded_dataset(_sequences(spark, sf).where("split = 'train'"), "average")
-    return _padded_text(padded)
+    """All splits, cut and filled to the average length of each."""
+    every = _sequences(spark, sf)
+    parts = [sequences.padded_dataset(every.where(F.col("split") == split), "average")[0].withColumn("split", F.lit(split)) for split in corpus.SPLITS]
+    return _padded_text(reduce(DataFrame.unionByName, parts))
 
 
 # -- vectorising ------------------------------------------------------------------------------------
@@ -195,7 +201,7 @@ def _whole_tfidf(spark, sf, docs):
 
 
 def q_tfidf_l2(spark, sf):
-    return _whole_tfidf(spark, sf, _train(spark, sf)).select("doc_id", "term", r6("value"))
+    return _whole_tfidf(spark, sf, documents(spark, sf)).select("doc_id", "split", "term", r6("value"))
 
 
 def q_transform_heldout(spark, sf):
@@ -348,8 +354,10 @@ def q_svm_ovr_fit(spark, sf):
 
 
 def q_sigmoid_clipped(spark, sf):
+    """Scores far beyond the clip: the logarithm of the small side tells a clipped argument from an unclipped one."""
     z = F.col("score") * 5000.0
-    return _long_scores(spark, sf, 1).select("doc_id", "class", r6("p", numeric.sigmoid_clipped(z)))
+    low = F.ln(numeric.sigmoid_clipped(-F.abs(z)))
+    return _long_scores(spark, sf, 1).select("doc_id", "class", r6("p", numeric.sigmoid_clipped(z)), r6("log_of_smaller", low))
 
 
 def q_linear_score(spark, sf):
@@ -385,13 +393,11 @@ def q_lr_stop_window(spark, sf):
 
 
 def q_lr_curve(spark, sf):
-    """Curve points after the first and the second full-batch step."""
+    """The curve of a real training: what the trainer recorded of every class after each hundred steps."""
     data = level_data(spark, sf)
-    points = []
-    for steps in (1, 2):
-        model = _step_model(spark, sf, steps)
-        points += [logreg.Snapshot(c, steps, model.weights[i], float(model.bias[i])) for i, c in enumerate(model.classes)]
-    curve = logreg.lr_curve(data.rows.where("split <> 'test'"), points, data.n_features)
+    params = logreg.LogRegParams(n_iter=200, mode="stochastic", seed=7)
+    fit = logreg.lr_ovr_fit(data.train, data.n_train, data.n_features, data.classes, params)
+    curve = logreg.lr_curve(data.rows.where("split <> 'test'"), fit.snapshots, data.n_features)
     return curve.withColumn("accuracy", F.round("accuracy", 6))
 
 

@@ -384,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "doc_freq": statement("SELECT term, df FROM tterms", "tterms"),
         "corpus_vocabulary": statement("SELECT term, tf, df, round(ln((1.0 + n) / (1.0 + df)) + 1.0, 6) AS idf FROM tterms, ntrain", "tterms", "ntrain"),
         "smooth_idf": statement("SELECT term, df, round(idf, 6) AS idf FROM voc", "voc"),
-        "tfidf_l2": statement("SELECT doc_id, term, round(value, 6) AS value FROM weighted WHERE split = 'train'", "weighted"),
+        "tfidf_l2": statement("SELECT doc_id, split, term, round(value, 6) AS value FROM weighted", "weighted"),
         "transform_heldout": statement("SELECT doc_id, split, term, round(value, 6) AS value FROM weighted WHERE split <> 'train'", "weighted"),
         "term_weight_rank": statement(both("SELECT '{rep}' AS representation, term, round(weight, 6) AS weight, rank FROM rank_{rep}"), "rank_bow", "rank_tfidf"),
         "skip_top_words": statement(both(f"SELECT '{{rep}}' AS representation, term, rank, {KEPT} AS kept FROM rank_{{rep}}"), "rank_bow", "rank_tfidf"),
@@ -407,7 +407,11 @@ def oracle_sql() -> dict[str, str]:
         "svm_margin": statement("SELECT doc_id, class, round(margin, 6) AS score FROM z1", "z1"),
         "svm_sign": statement("SELECT doc_id, class, CAST(sign(margin) AS INTEGER) AS sign FROM z1", "z1"),
         "svm_ovr_predict": statement(ARGMAX.format(rows="z1", key="sign(margin)"), "z1"),
-        "sigmoid_clipped": statement("SELECT doc_id, class, round(1.0 / (1.0 + exp(-greatest(least(5000.0 * z, 700.0), -700.0))), 6) AS p FROM z1", "z1"),
+        "sigmoid_clipped": statement(
+            """SELECT doc_id, class, round(1.0 / (1.0 + exp(-clipped)), 6) AS p, round(-ln(1.0 + exp(abs(clipped))), 6) AS log_of_smaller
+            FROM (SELECT doc_id, class, greatest(least(5000.0 * z, 700.0), -700.0) AS clipped FROM z1)""",
+            "z1",
+        ),
         "linear_score": statement("SELECT doc_id, class, round(z, 6) AS score FROM z1", "z1"),
         "lr_fit_batch": statement(
             "SELECT class, feature_id, round(w, 8) AS w FROM w2 WHERE w <> 0 UNION ALL SELECT class, -1, round(b, 8) FROM b2", "w2", "b2"
@@ -415,16 +419,6 @@ def oracle_sql() -> dict[str, str]:
         "lr_ovr_fit": statement(
             "SELECT class, feature_id, round(w, 8) AS w FROM w3_toxic WHERE w <> 0 UNION ALL SELECT class, -1, round(b, 8) FROM b3_toxic", "w3_toxic", "b3_toxic"
         ),
-        "lr_curve": statement(
-            binary(
-                " UNION ALL ".join(
-                    f"SELECT class, {i} AS iteration, split, target AS y, CAST(p > 0.5 AS INTEGER) AS prediction FROM pp{i} WHERE split <> 'test'" for i in (1, 2)
-                ),
-                "class, iteration, split",
-            ),
-            "pp1",
-            "pp2",
-        ),
         "lr_proba": statement("SELECT doc_id, class, round(p, 6) AS p FROM pp1", "pp1"),
         "lr_predict": statement("SELECT doc_id, class, CASE WHEN p <= 0.5 THEN 0 ELSE 1 END AS prediction FROM pp1", "pp1"),
         "lr_ovr_predict": statement(ARGMAX.format(rows="pp1", key="p"), "pp1"),
@@ -463,7 +457,7 @@ def oracle_sql() -> dict[str, str]:
         "boost_proba": statement("SELECT doc_id, class, round(p, 6) AS p FROM bp", "bp"),
         "boost_predict": statement("SELECT doc_id, class, CAST(p >= 0.5 AS INTEGER) AS prediction FROM bp", "bp"),
         "boost_ovr_proba": statement("SELECT doc_id, class, round(p / sum(p) OVER (PARTITION BY doc_id), 6) AS p FROM bp", "bp"),
-        "boost_ovr_predict": statement(ARGMAX.format(rows="(SELECT doc_id, class, p / sum(p) OVER (PARTITION BY doc_id) AS q FROM bp)", key="round(q, 12)"), "bp"),
+        "boost_ovr_predict": statement(ARGMAX.format(rows="bp", key="round(p, 12)"), "bp"),
         "accuracy": statement("SELECT split, round(accuracy, 6) AS accuracy FROM acc", "acc"),
         "class_counts": statement("SELECT split, class, tp, fp, fn FROM counts", "counts"),
         "per_class_prf": statement("SELECT * FROM prf_class", "prf_class"),
@@ -484,8 +478,8 @@ def oracle_sql() -> dict[str, str]:
     cte("pos", f"SELECT doc_id, split, lang, generate_subscripts(t, 1) AS place, unnest(t) AS term FROM (SELECT doc_id, split, lang, regexp_extract_all(lower(text), {WORD}) AS t FROM docs)", "docs")
     cte(
         "seqs",
-        """SELECT d.doc_id, d.split, i.y, coalesce(s.seq, []) AS seq
-        FROM docs d JOIN index_lang i ON i.label = d.lang
+        """SELECT d.doc_id, d.split, coalesce(i.y, -1) AS y, coalesce(s.seq, []) AS seq
+        FROM docs d LEFT JOIN index_lang i ON i.label = d.lang
         LEFT JOIN (SELECT doc_id, list(CAST(term_id + 1 AS BIGINT) ORDER BY place) AS seq FROM pos JOIN voc USING (term) GROUP BY doc_id) s USING (doc_id)""",
         "docs",
         "index_lang",
@@ -499,7 +493,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out["pad_truncate"] = statement(f"SELECT doc_id, {padded} FROM seqs, seqlen WHERE seqlen.split IS NULL", "seqs", "seqlen")
     out["padded_dataset"] = statement(
-        f"SELECT doc_id, {padded}, CAST(y AS BIGINT) AS y FROM seqs JOIN seqlen USING (split) WHERE split = 'train'", "seqs", "seqlen"
+        f"SELECT doc_id, split, {padded}, CAST(y AS BIGINT) AS y FROM seqs JOIN seqlen USING (split)", "seqs", "seqlen"
     )
     import entry_train_sql
 

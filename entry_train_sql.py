@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from entry_sql import FEATURES, GAMMA, LAMBDA, MIN_GAIN, MIN_ROWS, RATE, cte, evaluation, features, statement, summary
+from entry_sql import FEATURES, GAMMA, LAMBDA, MIN_GAIN, MIN_ROWS, RATE, binary, cte, evaluation, features, statement, summary
 
 # Of the counter-based draw, and of the training parameters of the registered queries.
 PRIME, FACTOR, SHIFT = 2_147_483_647, 48_271, 1_013_904_223
@@ -144,6 +144,23 @@ def scores(name: str, tag: str, sign: str) -> str:
     return out
 
 
+def curve(name: str, tag: str, every: int) -> str:
+    """Reports of all splits but test after each ``every`` steps."""
+    points, scored = f"points_{name}", f"curve_{name}"
+    cte(points, f"SELECT class, step AS iteration, w, b FROM {name} WHERE step > 0 AND step % {every} = 0", name)
+    cte(
+        scored,
+        f"""SELECT m.class, m.iteration, k.split, CAST(k.y = m.class AS INTEGER) AS y,
+            CAST({P.format('coalesce(sum(x.value * m.w[x.feature_id + 1]), 0.0) + any_value(m.b)')} > 0.5 AS INTEGER) AS prediction
+        FROM known_{tag} k CROSS JOIN {points} m LEFT JOIN x_{tag} x ON x.doc_id = k.doc_id WHERE k.split <> 'test'
+        GROUP BY k.doc_id, k.split, k.y, m.class, m.iteration""",
+        f"known_{tag}",
+        points,
+        f"x_{tag}",
+    )
+    return statement(binary(f"SELECT * FROM {scored}", "class, iteration, split"), scored)
+
+
 def level_summary(tag: str, model: str, kind: str, source: str, key: str) -> str:
     """The report of the predictions of one level."""
     where = f"_{kind}_{tag}"
@@ -233,6 +250,7 @@ def statements(levels: tuple[str, ...], steps: int, epochs: int, rounds: int, de
     out = {}
     lang, quality = dense("lang", "bow"), dense("quality", "bow")
     out["lr_fit_stochastic"] = model_rows(stochastic(lang, 300, 1e-6))
+    out["lr_curve"] = curve(stochastic(lang, 200, 1e-6), lang, 100)
     stopped = last(stochastic(lang, 300, 5.0))
     out["lr_stop_window"] = statement(f"SELECT class, step AS iterations FROM {stopped}", stopped)
     out["svm_ovr_fit"] = model_rows(hinge(lang, epochs))
@@ -253,8 +271,8 @@ def statements(levels: tuple[str, ...], steps: int, epochs: int, rounds: int, de
         cte(f"prob_{tag}", f"SELECT doc_id, split, y, class, {P.format('z')} AS p FROM {scored}", scored)
         reports["lr_levels"].append(level_summary(tag, "logistic regression", "lr", f"prob_{tag}", "p"))
         _, logits = boosted(tag, rounds, depth)
-        cte(f"share_{tag}", f"SELECT *, p / sum(p) OVER (PARTITION BY doc_id) AS q FROM (SELECT *, 1.0 / (1.0 + exp(-logit)) AS p FROM {logits})", logits)
-        reports["boost_levels"].append(level_summary(tag, "boosted trees", "boost", f"share_{tag}", "round(q, 12)"))
+        cte(f"share_{tag}", f"SELECT *, 1.0 / (1.0 + exp(-logit)) AS p FROM {logits}", logits)
+        reports["boost_levels"].append(level_summary(tag, "boosted trees", "boost", f"share_{tag}", "round(p, 12)"))
     for name, parts in reports.items():
         out[name] = " UNION ALL ".join(f"({part})" for part in parts)
     return out

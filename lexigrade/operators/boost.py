@@ -750,6 +750,6 @@ def boost_ovr_proba(vectors: DataFrame, model: BoostModel, keep: tuple[str, ...]
 
 
 def boost_ovr_predict(vectors: DataFrame, model: BoostModel, keep: tuple[str, ...]) -> DataFrame:
-    """Class of the largest share, compared with twelve digits: classes with the same leaves tie, and the lowest wins."""
-    scored = boost_ovr_proba(vectors, model, keep)
+    """Class of the largest probability, compared with twelve digits: classes with the same leaves tie, and the lowest wins."""
+    scored = boost_proba(vectors, model, keep)
     return scored.select(*keep, argmax_class(F.transform("scores", lambda s: F.round(s, 12)), model.classes).alias("prediction"))

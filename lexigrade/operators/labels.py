@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrade.session import lookup_side
+from lexigrade.sources.corpus import ranked
 
 UNSEEN = -1
 
 
 def label_index(train: DataFrame) -> DataFrame:
-    """``(label, y, n_class)``: codes in order of first appearance, and the rows of each. One row per class before the window."""
+    """``(label, y, n_class)``: codes in order of first appearance, and the rows of each.
+
+    Labels are combined before the shuffle and ranked in ranges of their first documents, so any number of them has a code.
+    """
     firsts = train.groupBy("label").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n_class"))
-    return firsts.select("label", (F.row_number().over(Window.orderBy("first_doc")) - 1).cast("int").alias("y"), "n_class")
+    return ranked(firsts, ["first_doc", "label"], "y").select("label", F.col("y").cast("int").alias("y"), "n_class")
 
 
 def encode_train(train: DataFrame, index: DataFrame, index_rows: int) -> DataFrame:

@@ -63,7 +63,7 @@ def linear_scores(vectors: DataFrame, model: LinearModel, bias_sign: int, keep:
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "scores"])
 
     fields = [vectors.schema[name] for name in keep] + [T.StructField("scores", T.ArrayType(T.DoubleType()))]
-    return vectors.select(*keep, "ids", "vals").mapInArrow(score, T.StructType(fields))
+    return vectors.select(*dict.fromkeys((*keep, "ids", "vals"))).mapInArrow(score, T.StructType(fields))
 
 
 def linear_scores_long(vectors: DataFrame, weights: DataFrame, bias: DataFrame, model_rows: int, n_classes: int, bias_sign: int) -> DataFrame:

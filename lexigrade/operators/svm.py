@@ -2,14 +2,14 @@
 
 A row of another class never satisfies the margin test and its update is a plain decay, so a class meets
 only its own rows; the rows in between count as decays. That sends every document to one class instead of
-all of them. A class that fits one bounded block is replayed over all epochs in one task. A larger class is
-never gathered: one distributed pass finds its next margin miss (between misses the weights only decay, so
-every row can tell when it would first miss), then a bounded block of rows from there is replayed.
+all of them. Every class is trained alike: one distributed pass finds its next margin miss (between misses the
+weights only decay, so every row can tell when it would first miss), then a block of at most ``block_rows`` rows from
+there is replayed, over the epochs to come if it holds the whole class. No class is gathered beyond that bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 
 from lexigrade.functions.packed import list_column, list_parts
 from lexigrade.operators.linear import LinearModel, argmax_class, linear_scores, signs
+from lexigrade.session import lookup_side
+
+# Scale of the weights below which they are written out, far from the smallest doubles.
+SMALLEST_SCALE = 1e-100
 
 
 @dataclass(frozen=True)
@@ -47,22 +51,29 @@ _STATE_SCHEMA = "y int, w array<double>, b double, step long"
 
 
 def _replay(state: _State, rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: range, n_rows: int, params: SvmParams) -> _State:
-    """Run the steps of one class's rows, given as ``(pos, ids, vals)`` in row order."""
-    w, b, step, decay, rate = state.w.copy(), state.b, state.step, params.decay, params.learning_rate
-    nonnegative = bool((w >= 0).all()) and all((vals >= 0).all() for _, _, vals in rows)
+    """Run the steps of one class's rows, given as ``(pos, ids, vals)`` in row order, from the state's step on.
+
+    The weights are a sparse sum times one scale, so a decay costs one product and a miss only the row's own cells.
+    """
+    v, scale, b, step, decay, rate = state.w.copy(), 1.0, state.b, state.step, params.decay, params.learning_rate
+    nonnegative = bool((v >= 0).all()) and all((vals >= 0).all() for _, _, vals in rows)
     for epoch in epochs:
         if nonnegative and b <= -1.0:
             break  # every margin stays at or above 1: only decays are left
         for pos, ids, vals in rows:
             at = epoch * n_rows + pos
-            w *= decay ** (at - step)
-            hit = vals @ w[ids] - b >= 1.0
-            w *= decay
+            if at < step:
+                continue
+            scale *= decay ** (at - step)
+            if scale < SMALLEST_SCALE:
+                v, scale = v * scale, 1.0
+            hit = scale * (vals @ v[ids]) - b >= 1.0
+            scale *= decay
             if not hit:
-                w[ids] += rate * vals
+                v[ids] += rate * vals / scale
                 b -= rate
             step = at + 1
-    return _State(w, b, step)
+    return _State(v * scale, b, step)
 
 
 def _replay_blocks(rows: DataFrame, states: dict[int, _State], epochs: dict[int, range], n_rows: int, params: SvmParams) -> dict[int, _State]:
@@ -130,42 +141,43 @@ def _next_misses(rows: DataFrame, states: dict[int, _State], n_rows: int, last:
     return {r["y"]: r["step"] for r in found.groupBy("y").agg(F.min("step").alias("step")).collect()}
 
 
-def svm_ovr_fit(rows: DataFrame, n_rows: int, n_features: int, n_classes: int, params: SvmParams = SvmParams()) -> LinearModel:
-    """One model per class ``0..n_classes-1`` from rows ``(pos, y, ids, vals)`` with positions ``0..n_rows-1``."""
+def svm_ovr_fit(
+    rows: DataFrame, n_rows: int, n_features: int, n_classes: int, params: SvmParams = SvmParams(), classes: Sequence[int] | None = None
+) -> LinearModel:
+    """One model per class from rows ``(pos, y, ids, vals)`` with positions ``0..n_rows-1``: all of ``0..n_classes-1``, or the given ones."""
+    wanted = tuple(range(n_classes)) if classes is None else tuple(classes)
     last = n_rows * params.n_iters
-    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    states = {c: _State(np.zeros(n_features), 0.0, 0) for c in range(n_classes)}
-    small = [c for c in states if 0 < sizes.get(c, 0) <= params.block_rows]
-    pending = {c for c in states if sizes.get(c, 0) > params.block_rows}
-
-    if small:
-        own = {c: states[c] for c in small}
-        every = {c: range(params.n_iters) for c in small}
-        states |= _replay_blocks(rows.where(F.col("y").isin(small)), own, every, n_rows, params)
+    states = {c: _State(np.zeros(n_features), 0.0, 0) for c in wanted}
+    own = rows if classes is None else rows.where(F.col("y").between(min(wanted), max(wanted)) & F.col("y").isin(list(wanted)))
+    sizes = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
+    pending = {c for c in states if sizes.get(c, 0)}
     while pending:
         open_states = {c: states[c] for c in pending}
-        misses = _next_misses(rows.where(F.col("y").isin(list(pending))), open_states, n_rows, last, params)
+        misses = _next_misses(own.where(F.col("y").isin(list(pending))), open_states, n_rows, last, params)
         pending = {c for c in pending if misses[c] < last}
-        blocks, epochs, ahead = F.lit(False), {}, {}
+        windows, epochs, ahead = [], {}, {}
         for c in pending:
             at = misses[c]
-            jumped = _State(states[c].w * params.decay ** (at - states[c].step), states[c].b, at)
-            epochs[c], start = range(at // n_rows, at // n_rows + 1), at % n_rows
-            blocks = blocks | ((F.col("y") == c) & F.col("pos").between(start, start + params.block_rows - 1))
-            ahead[c] = jumped
+            epoch, start = at // n_rows, at % n_rows
+            ahead[c] = _State(states[c].w * params.decay ** (at - states[c].step), states[c].b, at)
+            # A block that holds all rows of its class may go on through the epochs.
+            whole = sizes[c] <= params.block_rows
+            epochs[c] = range(epoch, params.n_iters if whole else epoch + 1)
+            windows.append((c, 0, n_rows) if whole else (c, start, start + params.block_rows))
         if pending:
-            states |= _replay_blocks(rows.where(blocks), ahead, epochs, n_rows, params)
+            # One row per class that still trains.
+            side = lookup_side(rows.sparkSession.createDataFrame(windows, "y int, low long, high long"), len(windows))
+            states |= _replay_blocks(own.join(side, "y").where("pos >= low AND pos < high"), ahead, epochs, n_rows, params)
 
     for state in states.values():
         state.w = state.w * params.decay ** (last - state.step)
-    weights = np.vstack([states[c].w for c in range(n_classes)]) if n_classes else np.zeros((0, n_features))
-    return LinearModel(tuple(range(n_classes)), weights, np.array([states[c].b for c in range(n_classes)]))
+    weights = np.vstack([states[c].w for c in wanted]) if wanted else np.zeros((0, n_features))
+    return LinearModel(wanted, weights, np.array([states[c].b for c in wanted]))
 
 
 def svm_fit(rows: DataFrame, n_rows: int, n_features: int, params: SvmParams = SvmParams()) -> LinearModel:
     """A single model for 0/1 targets ``y``."""
-    both = svm_ovr_fit(rows, n_rows, n_features, 2, params)
-    return LinearModel((1,), both.weights[1:], both.bias[1:])
+    return svm_ovr_fit(rows, n_rows, n_features, 2, params, (1,))
 
 
 def svm_margins(vectors: DataFrame, model: LinearModel, keep: tuple[str, ...]) -> DataFrame:

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from lexigrade.operators import labels as L
 from lexigrade.operators import select as S
 from lexigrade.operators import vectorize as V
-from lexigrade.session import count_up_to, write_stage
+from lexigrade.session import write_stage
 from lexigrade.sources.corpus import with_positions
 
 # Fixed value: one selected feature per this many vocabulary terms.
 TERMS_PER_FEATURE = 10
-# A model holds classes x features; more classes than this are taken for a wrong label column.
-MAX_CLASSES = 100_000
 
 
 @dataclass(frozen=True)
@@ -128,9 +126,7 @@ def encode_level(docs: DataFrame, level: str) -> tuple[DataFrame, DataFrame, int
     """
     labelled = docs.where(F.col(level).isNotNull()).withColumn("label", F.col(level))
     index = write_stage(L.label_index(labelled.where(F.col("split") == "train")), "labels")
-    n_classes = count_up_to(index, MAX_CLASSES)
-    if n_classes > MAX_CLASSES:
-        raise ValueError(f"{level} has more than {MAX_CLASSES} labels")
+    n_classes = index.count()
     coded = L.drop_unseen(L.encode_heldout(labelled, index, n_classes))
     return coded, index, n_classes
 
@@ -142,12 +138,11 @@ def preprocess(space: FeatureSpace, vectors: DataFrame, level: str, k: int | Non
     """
     coded, index, n_classes = encode_level(vectors, level)
     train = coded.where(F.col("split") == "train")
-    sizes = {r["y"]: r["n_class"] for r in index.select("y", "n_class").collect()}
-    n_train = sum(sizes.values())
+    n_train = index.agg(F.sum("n_class")).first()[0] or 0
     scores = S.mutual_information(S.contingency(train), index.select("y", "n_class"), n_classes, n_train)
     n_features = k or space.params.n_features
     features = write_stage(S.top_k_features(scores, n_features), "features")
     rows = S.project(coded, features, space.n_terms, n_features, ("doc_id", "split", "y"))
     rows = write_stage(rows, "rows")
     positioned = with_positions(rows.where(F.col("split") == "train").drop("split"), n_train)
-    return LevelData(index, features, rows, write_stage(positioned, "train"), n_train, tuple(sorted(sizes)), n_features)
+    return LevelData(index, features, rows, write_stage(positioned, "train"), n_train, tuple(range(n_classes)), n_features)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrade.functions.lookup import constant_array
@@ -83,6 +83,24 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     report.write.mode(mode).parquet(path)
 
 
+def ranked(rows: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
+    """Stored ``rows`` with their dense 0-based rank in ``order``, which should tell all rows apart.
+
+    The rows are range-sorted, each task numbers its run, and only the number of rows of each run is added up: no task and no window
+    sees all rows.
+    """
+    run = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    stored = write_stage(run, "ranked")
+    # The task stands in the upper bits, the row in the lower 33.
+    part, at = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per task of the sort.
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    placed = stored.join(F.broadcast(before), part == F.col("_part"))
+    return placed.withColumn(name, F.col("_before") + at).drop("_at", "_part", "_before")
+
+
 def with_positions(rows: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """Add the dense 0-based position ``pos`` of each of the ``n`` rows in ``key`` order.
 
