@@ -30,7 +30,7 @@ STEP = logreg.LogRegParams(lr=0.01, alpha=0.01, n_iter=1, batch_size=None, mode=
 TREE = boost.BoostParams(n_estimators=1, learning_rate=0.1, max_depth=2, min_samples_split=5, min_impurity_decrease=0.01, reg_lambda=1.0, gamma=0.1)
 # Whole trainings, short enough for SQL to follow.
 SVM = svm.SvmParams(learning_rate=0.01, lambda_param=0.01, n_iters=RUN_EPOCHS)
-LOGREG = logreg.LogRegParams(lr=0.01, alpha=0.01, n_iter=RUN_STEPS, seed=7)
+LOGREG = logreg.LogRegParams(lr=0.01, alpha=0.01, n_iter=RUN_STEPS, batch_size=None, seed=7)
 BOOST = boost.BoostParams(**{**vars(TREE), "n_estimators": RUN_ROUNDS, "max_depth": RUN_DEPTH})
 
 _fitted: dict[tuple, object] = {}
@@ -418,7 +418,7 @@ def q_lr_predict(spark, sf):
 def q_lr_ovr_fit(spark, sf):
     """Two classes: three steps over all rows."""
     data = level_data(spark, sf, "toxic")
-    params = logreg.LogRegParams(lr=STEP.lr, alpha=STEP.alpha, n_iter=3)
+    params = logreg.LogRegParams(lr=STEP.lr, alpha=STEP.alpha, n_iter=3, batch_size=None)
     return model_rows(spark, runs.fit_logreg(data, params).model).where("w <> 0 or feature_id = -1").withColumn("w", F.round("w", 8))
 
 

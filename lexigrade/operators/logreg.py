@@ -3,13 +3,14 @@
 Three ways to take the same gradient steps:
 
 * all rows, or batches larger than a block: every batch is one distributed gradient over its rows and all classes;
-* mini-batches in row order: a chain of bounded blocks of rows, the weights handed from block to block;
+* smaller mini-batches in row order: their steps follow each other, so a job takes a block of many batches, reads only the files with
+  its positions, and hands the weights to the next block; rows that fit one block take all their iterations in one job;
 * single random rows: the drawn rows (``n_iter`` per class) are fetched by one join and replayed per class.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrade.functions.numeric import LOGIT_CLIP, counter_draw
-from lexigrade.functions.packed import list_column, list_parts, row_blocks
+from lexigrade.functions.packed import BLOCK_CELLS, DENSE_WIDTH, PackedRows, list_column, list_parts, row_blocks
 from lexigrade.operators.evaluate import binary_scores
 from lexigrade.operators.linear import LinearModel, argmax_class, linear_scores, probabilities, row_normalised
 from lexigrade.session import lookup_side
@@ -38,8 +39,8 @@ class LogRegParams:
     n_iter: int = 1000
     tolerance: float = 1e-6
     alpha: float = 0.01
-    # Rows of a mini-batch in row order, one distributed job each; None takes all rows at once.
-    batch_size: int | None = None
+    # Rows of a mini-batch in row order; None takes all rows at once.
+    batch_size: int | None = 256
     # 'auto': single random rows for more than two classes, mini-batches otherwise.
     mode: str = "auto"
     # Seed of the random draws.
@@ -160,8 +161,16 @@ def _start(classes: tuple[int, ...], n_features: int) -> _Progress:
 
 
 def lr_fit_batch(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams) -> LogRegFit:
-    """Mini-batches in row order from rows ``(pos, y, ids, vals)``: the gradient of each is one job over all its rows."""
-    size = params.batch_size or n_rows
+    """Mini-batches in row order from rows ``(pos, y, ids, vals)``."""
+    size = min(params.batch_size or n_rows, max(1, n_rows))
+    block = BLOCK_CELLS // max(1, min(n_features, DENSE_WIDTH)) // size * size
+    if block < size or size == n_rows:
+        return _fit_large_batches(rows, n_rows, n_features, classes, params, size)
+    return _fit_blocks(rows, n_rows, n_features, classes, params, size, block)
+
+
+def _fit_large_batches(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams, size: int) -> LogRegFit:
+    """The gradient of each batch is one job over all its rows."""
     run = _start(classes, n_features)
     rows = rows.select("pos", "y", "ids", "vals").persist()
     try:
@@ -183,6 +192,66 @@ def lr_fit_batch(rows: DataFrame, n_rows: int, n_features: int, classes: tuple[i
     return run.result()
 
 
+def block_of(rows: DataFrame, start: int, end: int) -> DataFrame:
+    """Rows of some positions. Stored rows lie in runs of positions, so the filter leaves out the files of other blocks."""
+    return rows.select("pos", "y", "ids", "vals").where(F.col("pos").between(start, end - 1))
+
+
+_BLOCK_SCHEMA = "class int, iteration int, last boolean, w array<double>, b double, dw double, db double, active boolean"
+
+
+def _fit_blocks(
+    rows: DataFrame, n_rows: int, n_features: int, classes: tuple[int, ...], params: LogRegParams, size: int, block: int
+) -> LogRegFit:
+    """A chain of bounded blocks of whole batches; the weights, and what the iteration has added up so far, go from block to block."""
+    run, listed, whole = _start(classes, n_features), np.array(classes), n_rows <= block
+    dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
+
+    def replay_from(state: _Progress, dw_sum: np.ndarray, db_sum: np.ndarray, iterations: range) -> Callable[[pa.Table], pa.Table]:
+        return lambda table: replay(table, state, dw_sum, db_sum, iterations)
+
+    def replay(table: pa.Table, state: _Progress, dw_sum: np.ndarray, db_sum: np.ndarray, iterations: range) -> pa.Table:
+        part = table.combine_chunks().sort_by("pos").to_batches()[0]
+        batches = [PackedRows(part.slice(i, size), n_features) for i in range(0, part.num_rows, size)]
+        targets = [_targets(b.part.column("y").to_numpy(), listed) for b in batches]
+        for iteration in iterations:
+            for batch, target in zip(batches, targets):
+                error = _logistic(batch.dot(np.ascontiguousarray(state.w.T)) + state.b) - target
+                dw = batch.weighted_sums(error) / batch.n + params.alpha / n_rows * np.sign(state.w)
+                db = error.sum(axis=0) / batch.n
+                state.step(dw, db, params.lr)
+                dw_sum, db_sum = dw_sum + np.linalg.norm(dw, axis=1), db_sum + np.abs(db)
+            if whole:
+                state.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
+                dw_sum, db_sum = np.zeros(len(listed)), np.zeros(len(listed))
+                if not state.active.any():
+                    break
+        points = [(s.target, s.iteration, False, s.w, s.b, 0.0, 0.0, False) for s in state.snapshots]
+        points += [(int(c), state.iterations.get(int(c), 0), True, state.w[i], float(state.b[i]), float(dw_sum[i]), float(db_sum[i]), bool(state.active[i])) for i, c in enumerate(listed)]
+        target, iteration, last, w, b, dws, dbs, active = zip(*points)
+        out = _points(list(target), list(iteration), list(last), np.vstack(w), list(b))
+        return out.append_column("dw", pa.array(dws)).append_column("db", pa.array(dbs)).append_column("active", pa.array(active))
+
+    for iteration in range(1, params.n_iter + 1):
+        if not run.active.any():
+            break
+        for start in range(0, n_rows, block):
+            span = range(1, params.n_iter + 1) if whole else range(iteration, iteration + 1)
+            taken = block_of(rows, start, min(start + block, n_rows)).withColumn("block", F.lit(start)).groupBy("block")
+            found = taken.applyInArrow(replay_from(run, dw_sum, db_sum, span), _BLOCK_SCHEMA).collect()
+            ended = {r["class"]: r for r in found if r["last"]}
+            run.w = np.array([ended[c]["w"] for c in classes]).reshape(len(classes), n_features)
+            run.b = np.array([ended[c]["b"] for c in classes])
+            dw_sum, db_sum = (np.array([ended[c][name] for c in classes]) for name in ("dw", "db"))
+            if whole:
+                run.snapshots = [Snapshot(r["class"], r["iteration"], np.array(r["w"]), r["b"]) for r in found if not r["last"]]
+                run.iterations = {c: r["iteration"] for c, r in ended.items() if r["iteration"]}
+                return run.result()
+        run.close_iteration(iteration, dw_sum, db_sum, params.tolerance)
+        dw_sum, db_sum = np.zeros(len(classes)), np.zeros(len(classes))
+    return run.result()
+
+
 _CLASS_SCHEMA = "class int, iteration int, last boolean, w array<double>, b double"
 
 

@@ -99,6 +99,31 @@ def test_batches_in_row_order(spark, size):
         assert np.allclose(fit.model.weights[i], w, atol=1e-9) and np.isclose(fit.model.bias[i], b, atol=1e-9)
 
 
+@pytest.mark.parametrize("cells", [4_000_000, 170, 20])
+def test_blocks_of_batches_equal_single_batches(spark, monkeypatch, cells):
+    """All rows in one block, a chain of blocks, and a job per batch: the same steps, stops and curve."""
+    n, width = 50, 5
+    x, y = matrix(5, n, width), np.random.default_rng(6).integers(0, 2, n)
+    monkeypatch.setattr(logreg, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(logreg, "CURVE_EVERY", 3)
+    params = logreg.LogRegParams(lr=0.1, n_iter=5, alpha=0.5, batch_size=16, tolerance=0.6)
+    fit = logreg.lr_ovr_fit(frame(spark, x, y), n, width, (0, 1), params)
+    for i in (0, 1):
+        w, b, stopped = brute.logreg_batches(x, (y == i).astype(int), 0.1, 0.5, 0.6, 5, 16)
+        assert np.allclose(fit.model.weights[i], w, atol=1e-9) and np.isclose(fit.model.bias[i], b, atol=1e-9)
+        assert fit.iterations[i] == stopped
+    assert {(s.target, s.iteration) for s in fit.snapshots} >= {(c, 3) for c in (0, 1) if fit.iterations[c] >= 3}
+
+
+def test_a_block_reads_only_its_files(spark, tmp_path):
+    rows = frame(spark, matrix(5, 400, 5), np.zeros(400)).repartitionByRange(8, "pos")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    block = logreg.block_of(stored, 100, 150)
+    assert "PushedFilters: [IsNotNull(pos), GreaterThanOrEqual(pos,100), LessThanOrEqual(pos,149)]" in block._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["pos"] for r in block.collect()) == list(range(100, 150))
+
+
 @pytest.mark.parametrize("size", [None, 10])
 def test_a_stopped_class_keeps_its_weights(spark, size):
     n, width = 40, 4
