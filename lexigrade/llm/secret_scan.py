@@ -32,6 +32,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+RUN = re.compile(r"[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[\sA-Za-z0-9+/=]+-----END \1-----")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 HEX = frozenset("0123456789abcdef")
@@ -95,12 +96,27 @@ def hex_runs(text: str) -> list[tuple[int, int]]:
     return found
 
 
+class _Runs:
+    """Ends of the runs of web-token characters, each found once: many hits in one long run cost no more than one."""
+
+    def __init__(self, text: str):
+        self.text, self.end, self.good = text, -1, False
+
+    def is_token(self, start: int) -> bool:
+        """Whether the run from ``start`` ends before a dot and another token part: else no web token starts there."""
+        if start >= self.end:
+            self.end = RUN.match(self.text, start).end()
+            self.good = self.text.startswith(".eyJ", self.end)
+        return self.good
+
+
 def scan(text: str | None) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) in code points, by start, then kind."""
     if not text:
         return []
     spans = [("hex", a, b) for a, b in hex_runs(text)]
     done = dict.fromkeys(KINDS, 0)
+    run = _Runs(text)
     hits = sorted({(end - length + 1, what, length) for end, (what, length) in automaton().iter(text)})
     for start, what, length in hits:
         kind, shape, passes = CHECKED.get(what, (what, ACCESS, None))
@@ -112,6 +128,8 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
         elif kind == "access":
             match = shape.match(text, start)
             good = match and match.end() - start >= MIN_ACCESS
+        elif kind == "jwt" and not run.is_token(start):
+            continue
         else:
             match = shape.match(text, start)
             good = match and passes(match)

@@ -10,6 +10,7 @@ its place, so a conversation of any length is never gathered.
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Mapping
 from typing import Any
@@ -36,7 +37,7 @@ def canonical(value: Any) -> str:
 
 
 def loads(text: str) -> Any:
-    """Value of a JSON text, None for any other text; repeated keys and NaN are no JSON here."""
+    """Value of a JSON text, None for any other text; repeated keys, NaN and numbers beyond the doubles are no JSON here."""
 
     def pairs(items: list[tuple[str, Any]]) -> dict:
         if len({k for k, _ in items}) < len(items):
@@ -46,8 +47,14 @@ def loads(text: str) -> Any:
     def constant(name: str) -> Any:
         raise ValueError(name)
 
+    def number(digits: str) -> float:
+        value = float(digits)
+        if math.isinf(value):
+            raise ValueError(digits)  # JSON has no word for it
+        return value
+
     try:
-        value = json.loads(text, object_pairs_hook=pairs, parse_constant=constant)
+        value = json.loads(text, object_pairs_hook=pairs, parse_constant=constant, parse_float=number)
         if "\\ud" in text.lower():
             canonical(value).encode()  # half of a surrogate pair is no text
         return value

@@ -39,6 +39,10 @@ NOT_WORD = re.compile(r"[\W_]+")
 BITS = 20
 #: About so much text is split into words at once.
 PART_BYTES = 1 << 22
+#: Characters of words that are scored at once, and places of subsequences within them.
+BLOCK_CHARS, SLICE_CHARS = 1 << 20, 1 << 17
+#: Longer words are scored like all others but teach nothing.
+LEARNT_CHARS = 200
 
 
 class ToxicParams(NamedTuple):
@@ -84,21 +88,29 @@ class Subsequences(NamedTuple):
     weight: np.ndarray
 
 
-def subsequences(words: list[str], params: ToxicParams) -> Subsequences:
-    """Hashed three-character subsequences of every word, edges marked, scaled to norm one."""
+def laid(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of all words, edges marked; word and end of word of each."""
     flat = "".join(f"\x02{w}\x03" for w in words)
     codes = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.array([len(w) + 2 for w in words], np.int64)
-    ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    end = np.repeat(ends, lengths)
+    return codes, np.repeat(np.arange(len(words)), lengths), np.repeat(np.cumsum(lengths), lengths)
+
+
+def hashed(codes: np.ndarray, at: np.ndarray, b: int, c: int) -> np.ndarray:
+    """Features of the subsequences of the characters at, b and c places on."""
+    key = (codes[at] << np.uint64(42)) ^ (codes[at + b] << np.uint64(21)) ^ codes[at + c]
+    return (mix(key) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def subsequences(words: list[str], params: ToxicParams) -> Subsequences:
+    """Hashed three-character subsequences of every word, scaled to norm one."""
+    codes, owner, end = laid(words)
     at = np.arange(len(codes))
     parts = []
     for c in range(2, params.span):
         ok = np.flatnonzero(at + c < end)
         for b in range(1, c):
-            key = (codes[ok] << np.uint64(42)) ^ (codes[ok + b] << np.uint64(21)) ^ codes[ok + c]
-            parts.append((owner[ok], mix(key) >> np.uint64(64 - BITS), np.full(len(ok), params.decay ** (c + 1))))
+            parts.append((owner[ok], hashed(codes, ok, b, c), np.full(len(ok), params.decay ** (c + 1))))
     word, feature, weight = (np.concatenate(x) for x in zip(*parts))
     norm = np.sqrt(np.bincount(word, weight**2, len(words)))
     return Subsequences(word, feature.astype(np.int64), weight / np.maximum(norm, 1e-12)[word])
@@ -148,10 +160,30 @@ class WordModel(NamedTuple):
     bias: float
 
     def margins(self, words: list[str], params: ToxicParams) -> np.ndarray:
-        if not words:
-            return np.empty(0)
-        found = subsequences(words, params)
-        return np.bincount(found.word, found.weight * self.weights[found.feature], len(words)) + self.bias
+        """Margin of every word, in blocks of bounded characters; a longer word is a block of its own."""
+        out, low = np.empty(len(words)), 0
+        ends = np.cumsum([len(w) + 2 for w in words]) if words else np.empty(0)
+        while low < len(words):
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + BLOCK_CHARS, side="right")))
+            out[low:high] = self._block(words[low:high], params)
+            low = high
+        return out
+
+    def _block(self, words: list[str], params: ToxicParams) -> np.ndarray:
+        """The folded sum over the norm of each word. Both add up over the places where a subsequence begins, so they are
+        taken slice by slice, and a text without spaces takes no more memory than any other."""
+        codes, owner, end = laid(words)
+        total, squares = np.zeros(len(words)), np.zeros(len(words))
+        for start in range(0, len(codes), SLICE_CHARS):
+            at = np.arange(start, min(start + SLICE_CHARS, len(codes)))
+            for c in range(2, params.span):
+                ok = at[at + c < end[at]]
+                weight = params.decay ** (c + 1)
+                for b in range(1, c):
+                    total += weight * np.bincount(owner[ok], self.weights[hashed(codes, ok, b, c)], len(words))
+                squares += (c - 1) * weight**2 * np.bincount(owner[ok], minlength=len(words))
+        return total / np.maximum(np.sqrt(squares), 1e-12) + self.bias
 
 
 def spread(side: list[str], n: int) -> list[str]:
@@ -192,7 +224,7 @@ def document_features(texts: list[str | None], model: WordModel, params: ToxicPa
     out[:, :3] = -2
     if not len(codes):
         return out
-    margins = np.concatenate([model.margins(list(distinct[i : i + 50_000]), params) for i in range(0, len(distinct), 50_000)])[codes]
+    margins = model.margins(list(distinct), params)[codes]
     row = np.repeat(np.arange(len(texts)), counts)
     hits = np.bincount(row, margins > 0, len(texts))
     strength = np.bincount(row, np.maximum(margins, 0), len(texts))
@@ -263,7 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicParams = ToxicParams())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(set(units(t))) for t in batch.column(0).to_pylist()]
+            found = [sorted({w for w in units(t) if len(w) <= LEARNT_CHARS}) for t in batch.column(0).to_pylist()]
             at = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
             word = pa.array([w for f in found for w in f], pa.string())
             yield pa.RecordBatch.from_arrays([word, batch.column(1).take(at), batch.column(2).take(at)], ["word", "label", "part"])

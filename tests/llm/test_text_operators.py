@@ -532,3 +532,74 @@ def test_pipeline_stages(spark):
 
 def test_common_line_is_what_the_rows_share():
     assert sum(COMMON.lower() in (t or "").lower() for _, t in awkward_texts()) == 3
+
+
+# -- hostile texts ----------------------------------------------------------------------------------
+
+
+def seconds(work):
+    import time
+
+    start = time.process_time()
+    work()
+    return time.process_time() - start
+
+
+def test_long_words_take_bounded_memory():
+    """4 MB without a space are scored exactly, in slices."""
+    import tracemalloc
+
+    params, rng = toxicity.ToxicParams(), np.random.default_rng(1)
+    model = toxicity.WordModel(rng.normal(size=1 << toxicity.BITS).astype(np.float32), -0.5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in (3, 40, 1000, 200_000, 7)]
+    found = toxicity.subsequences(words, params)
+    want = np.bincount(found.word, found.weight * model.weights[found.feature], len(words)) + model.bias
+    assert np.allclose(model.margins(words, params), want, atol=1e-9)
+    long = "".join(chr(97 + c) for c in rng.integers(0, 26, 4_000_000))
+    tracemalloc.start()
+    toxicity.document_features([long, "short words here"], model, params)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+
+
+def test_repeated_token_starts_cost_one_run():
+    few, many = ("eyJ" * n for n in (20_000, 330_000))
+    assert secret_scan.scan(many) == []
+    assert seconds(lambda: secret_scan.scan(many)) < 60 * max(0.02, seconds(lambda: secret_scan.scan(few)))
+
+
+def test_deep_pages_are_read_in_linear_time():
+    few, many = ("<div class='ad'>x" * n for n in (500, 4_000))
+    html_extract.main_text(few)
+    assert seconds(lambda: html_extract.main_text("<div>x" * 80_000)) < 16 * max(0.05, seconds(lambda: html_extract.main_text("<div>x" * 20_000)))
+    assert seconds(lambda: html_extract.main_text(many)) < 80 * max(0.01, seconds(lambda: html_extract.main_text(few)))
+    assert html_extract.main_text("<div>" * 20_000 + "<b><hr></i>" * 20_000) == ""
+
+
+def test_the_fused_score_decides(spark):
+    """Without the threshold's score no page keeps its text; the tag-path ratios equal plain sums."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    texts = [html_extract.main_text(p) for p in pages]
+    assert all(html_extract.main_text(p, html_extract.ExtractParams(threshold=1e9)) != t for p, t in zip(pages, texts) if t)
+    short = "<p>" + "Long text of the article, with several clauses; it goes on. " * 8 + "</p>"
+    page = f"<div><div>ok</div><div>go</div><div>no</div></div><section>{short * 3}</section><div><div>a</div><div>b</div><div>c</div></div>"
+    kept = html_extract.main_text(page)
+    # Smoothing reaches the next node or two of the article, no farther.
+    assert "Long text" in kept and "ok" not in kept.split()[:1] and kept.split()[-1] not in ("b", "c")
+    assert "ok go" not in kept and "b c" not in kept
+    assert "ok go no" in html_extract.main_text(page, html_extract.ExtractParams(threshold=0.0))
+
+
+def test_article_parts_are_kept():
+    body = "<p>" + "A sentence of the article, and more of it. " * 6 + "</p>"
+    page = f"<article><header><h1>Its heading</h1></header>{body}<figure><img><figcaption>Its caption, in words.</figcaption></figure>{body}</article>"
+    text = html_extract.main_text(page)
+    assert text.startswith("Its heading A sentence") and "Its caption, in words." in text
+    assert html_extract.main_text(f"<header><p>{'Site name, always here. ' * 3}</p></header><article>{body}</article>") == body[3:-4].strip()
+    assert "one two three" in html_extract.main_text(f"<article>{body}<p>one two　\n three</p></article>")
+
+
+def test_numbers_beyond_doubles_are_no_json():
+    assert tool_chat.loads("1e999") is None and tool_chat.loads("[-1e999]") is None
+    assert tool_chat.loads('{"a": 1e300}') == {"a": 1e300}
