@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from lexigrade import session
 from lexigrade.functions.text import word_tokens
 from lexigrade.functions.tokens import count_pairs, count_terms, find_terms, lists_of, token_blocks
+from lexigrade.session import write_stage
+from lexigrade.sources.corpus import ranked
 
 REPRESENTATIONS = ("bow", "tfidf")
 
@@ -71,14 +73,32 @@ def smooth_idf(df: Column, n_docs: int) -> Column:
 
 
 def fit_vocab(train: DataFrame, max_terms: int) -> DataFrame:
-    """The ``max_terms`` most counted terms of the train split with alphabetical ids.
+    """The ``max_terms`` most counted terms of the train split with alphabetical ids; the smaller of equally counted terms are taken.
 
-    At most ``max_terms`` rows remain before the unpartitioned window.
+    Up to ``BROADCAST_ROWS`` terms they meet in one task that ranks them; a larger vocabulary is cut and numbered in ranges.
     """
+    if max_terms > session.BROADCAST_ROWS:
+        return _fit_large_vocab(corpus_terms(train), max_terms)
     top = corpus_terms(train).orderBy(F.desc("tf"), "term").limit(max_terms)
     return top.withColumn("term_id", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
+def _fit_large_vocab(terms: DataFrame, max_terms: int) -> DataFrame:
+    """The same rows without a task that holds them all: the count at the cut, the ties at it by rank, ids by rank.
+
+    One row per distinct count is ordered in one place; n different counts need at least n squared over two tokens, so they are few.
+    """
+    terms = write_stage(terms, "terms")
+    more = Window.orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = terms.groupBy("tf").agg(F.count(F.lit(1)).alias("n")).withColumn("above", F.coalesce(F.sum("n").over(more), F.lit(0)))
+    cut = counts.where(F.col("above") < max_terms).orderBy("tf").first()
+    if cut is None:
+        return terms.withColumn("term_id", F.lit(0)).limit(0)
+    ties = ranked(terms.where(F.col("tf") == cut["tf"]), ["term"], "_tie").where(F.col("_tie") < max_terms - cut["above"]).drop("_tie")
+    kept = terms.where(F.col("tf") > cut["tf"]).unionByName(ties)
+    return ranked(kept, ["term"], "term_id").withColumn("term_id", F.col("term_id").cast("int"))
+
+
 def _norm(entries: Column) -> Column:
     return F.sqrt(F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + e["value"] * e["value"]))
 

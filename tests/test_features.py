@@ -8,6 +8,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 import entry_queries
+from lexigrade import session
 from lexigrade.functions import tokens
 from lexigrade.functions.text import ws_tokens, word_tokens
 from lexigrade.operators import labels, select, sequences, vectorize
@@ -148,6 +149,19 @@ def test_unseen_labels(spark):
     assert [r["y"] for r in labels.distinct_classes(coded).collect()] == [0, 1, 2]
 
 
+@pytest.mark.parametrize("k", [1, 37, 400, 100_000])
+def test_large_vocabularies_are_cut_in_ranges(spark, monkeypatch, k):
+    """The same terms and ids, ties at the cut included, with no task that orders all of them."""
+    train = entry_queries.documents(spark, SF_SMALL).where("split = 'train'").limit(60)
+    want = {(r["term"], r["tf"], r["df"], r["term_id"]) for r in vectorize.fit_vocab(train, k).collect()}
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    large = vectorize.fit_vocab(train, k)
+    assert {(r["term"], r["tf"], r["df"], r["term_id"]) for r in large.collect()} == want
+    assert "TakeOrdered" not in large._jdf.queryExecution().executedPlan().toString()
+    if k == 1:
+        assert vectorize.fit_vocab(train.limit(0), 5).count() == 0
+
+
 # -- selection --------------------------------------------------------------------------------------
 
 
