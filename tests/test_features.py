@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import brute
 import numpy as np
@@ -135,6 +136,25 @@ def test_token_blocks_are_bounded(monkeypatch):
         assert [tuple(r.values()) for part in parts for r in part.to_pylist()] == want
 
 
+def test_counting_holds_no_more_for_a_larger_batch():
+    """What counting and looking up hold beside a batch follows from the block, not from the rows of the batch."""
+    terms = pa.array([str(i) for i in range(500)])
+
+    def peak(n_rows: int) -> int:
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n_rows)), pa.array([[str(i % 500) for i in range(r, r + 300)] for r in range(n_rows)])], ["doc_id", "tokens"])
+        tracemalloc.start()
+        for _ in tokens.count_terms([batch]):
+            pass
+        for _, rows, words in tokens.token_blocks([batch]):
+            at = tokens.find_terms(words, terms)
+            tokens.count_pairs(rows[at >= 0], at[at >= 0], len(terms))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(4000) < 1.2 * peak(1000)
+
+
 # -- labels -----------------------------------------------------------------------------------------
 
 
