@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrade.functions.numeric import sigmoid
-from lexigrade.functions.packed import BLOCK_CELLS, list_column, list_parts
+from lexigrade.functions.packed import list_column, list_parts
 from lexigrade.operators.linear import argmax_class, row_normalised
 from lexigrade.session import write_stage
 
@@ -31,8 +31,10 @@ GAIN_SCALE = 1e9
 WINDOW_VALUES = 2_000
 # Ranges into which the values of a feature with more of them are cut: at least, and at most.
 VALUE_RANGES, MOST_RANGES = 64, 4096
-# Groups of features per shuffle partition.
-BUCKETS_PER_PARTITION = 2
+# Groups of features per shuffle partition, at least; distinct values that a group of ranges may hold.
+BUCKETS_PER_PARTITION, BUCKET_VALUES = 2, 16_000
+# Numbers of a block of rows with its sums, and of the sums that a task holds before it passes them on.
+BLOCK_CELLS, HELD_CELLS = 500_000, 1_000_000
 
 SUMS = ("g", "h", "n")
 
@@ -228,10 +230,24 @@ def apply_trees(vectors: DataFrame, trees: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ValueStats:
-    """What the split search must know about the values: ``cuts`` is None while every feature has few of them."""
+    """What the split search must know about the values: ``cuts`` is None while every feature has few of them, about ``distinct`` at most."""
 
     has_negative: bool
     cuts: dict[int, np.ndarray] | None
+    distinct: int = 0
+
+    @property
+    def ranges(self) -> int:
+        """Ranges of a feature, at most."""
+        return 1 + max(map(len, self.cuts.values()), default=0) if self.cuts else 1
+
+    def buckets(self, partitions: int) -> int:
+        """Groups into which features and ranges are dealt: their number grows with the values, their size does not."""
+        fewest = BUCKETS_PER_PARTITION * partitions
+        if not self.cuts:
+            return fewest
+        together = max(1, BUCKET_VALUES // (1 + self.distinct // self.ranges))
+        return max(fewest, -(-len(self.cuts) * self.ranges // together))
 
 
 def value_stats(rows: DataFrame) -> ValueStats:
@@ -242,11 +258,11 @@ def value_stats(rows: DataFrame) -> ValueStats:
     has_negative = (overall["low"] or 0.0) < 0
     distinct = overall["distinct"] or 0
     if distinct <= WINDOW_VALUES:
-        return ValueStats(has_negative, None)
+        return ValueStats(has_negative, None, distinct)
     ranges = min(MOST_RANGES, max(VALUE_RANGES, -(-distinct // max(1, WINDOW_VALUES))))
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = long.groupBy("ids").agg(F.percentile_approx("vals", probabilities, max(1000, 10 * ranges)).alias("cuts"))
-    return ValueStats(has_negative, {r["ids"]: np.array(sorted({0.0, *r["cuts"]})) for r in cuts.collect()})
+    return ValueStats(has_negative, {r["ids"]: np.array(sorted({0.0, *r["cuts"]})) for r in cuts.collect()}, distinct)
 
 
 def _gradients(part: pa.RecordBatch, classes: tuple[int, ...], done: Sequence[Node], params: BoostParams) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +325,7 @@ class _Cells:
         return out
 
 
-def _packed(cells: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+def _packed(cells: tuple[np.ndarray, ...], buckets: int, ranges: int = 1) -> pa.RecordBatch:
     feature, vrange, value, *sums = cells
     width = sums[0].shape[1]
     fresh = np.ones(len(feature), bool)
@@ -317,7 +333,7 @@ def _packed(cells: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
     starts = np.flatnonzero(fresh)
     offsets = np.append(starts, len(feature))
     lists = lambda flat, step: pa.ListArray.from_arrays(pa.array(offsets * step, pa.int32()), pa.array(flat))
-    bucket = (feature[starts] + 31 * vrange[starts]) % buckets
+    bucket = (feature[starts] * ranges + vrange[starts]) % buckets
     columns = [pa.array(c.astype(np.int32)) for c in (bucket, feature[starts], vrange[starts])]
     columns += [lists(value, 1), *[lists(np.ascontiguousarray(m).ravel(), width) for m in sums]]
     return pa.RecordBatch.from_arrays(columns, names=list(_HIST_NAMES))
@@ -338,7 +354,7 @@ def _partial_histograms(
     round_id = max((n.round for n in growing), default=0)
     cuts, width = stats.cuts, len(slots)
     of_class = {c: [(i, node) for i, (target, node) in enumerate(slots) if target == c] for c in classes}
-    buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets, n_ranges = stats.buckets(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), stats.ranges
 
     def ranges(ids: np.ndarray, vals: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), dtype=np.int64)
@@ -384,7 +400,7 @@ def _partial_histograms(
         held.add(feature.astype(np.int64), vrange, value, [m[used] for m in sums])
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, most = _Cells(width), max(1, BLOCK_CELLS // max(1, width))
+        held, most = _Cells(width), max(1, HELD_CELLS // max(1, width))
         for batch in batches:
             cells = max(1, int(batch.column("ids").flatten().__len__()) // max(1, batch.num_rows))
             # A row adds at most its cells, each with all slots.
@@ -393,10 +409,10 @@ def _partial_histograms(
                 if held.size > most:
                     cells_now = held.combined()
                     if held.size > most // 2:
-                        yield _packed(cells_now, buckets)
+                        yield _packed(cells_now, buckets, n_ranges)
                         held = _Cells(width)
         if held.parts:
-            yield _packed(held.combined(), buckets)
+            yield _packed(held.combined(), buckets, n_ranges)
 
     return rows.select("y", "ids", "vals", "logits").mapInArrow(partial, _HIST)
 

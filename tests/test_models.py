@@ -245,6 +245,20 @@ def test_trees_match_exhaustive_search(spark, monkeypatch, kind, spread):
     assert np.allclose([scored[i] for i in range(n)], np.array(logits).T, atol=1e-8)
 
 
+def test_groups_of_ranges_do_not_grow_with_the_values(spark, monkeypatch):
+    """More distinct values make more groups of ranges, not larger ones; the groups of a feature with few values stay as they are."""
+    monkeypatch.setattr(boost, "BUCKET_VALUES", 500, raising=False)
+    rows = spark.range(5000).select(
+        (F.col("id") % 2).alias("y"), F.sequence(F.lit(0), F.lit(3)).alias("ids"), F.array(*[F.col("id") * (k + 1) - 2500.0 for k in range(4)]).alias("vals")
+    )
+    params = boost.BoostParams(n_estimators=1)
+    hist = boost.node_histograms(boost.with_logits(rows, (0, 1), params), (0, 1), 0, {0: [0], 1: [0]}, (), (), boost.value_stats(rows), params)
+    sizes = [r["n"] for r in hist.groupBy("bucket").agg(F.sum(F.size("vals")).alias("n")).collect()]
+    # The three zeros have no cells, the sums of all rows have one.
+    assert sum(sizes) == 4 * 5000 - 3 + 1
+    assert max(sizes) <= 2 * 500
+
+
 def test_products_on_cells_equal_dense_products(monkeypatch):
     rng = np.random.default_rng(22)
     x = matrix(23, 12, 7)
