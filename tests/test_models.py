@@ -1,3 +1,5 @@
+import tracemalloc
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -276,6 +278,22 @@ def test_products_on_cells_equal_dense_products(monkeypatch):
         assert np.allclose(sum(parts), factors.T @ x)
 
 
+def test_products_hold_no_more_for_a_larger_batch():
+    weights = np.ones((500, 4))
+
+    def peak(n_rows: int) -> int:
+        ids, vals = pa.array([[r % 500] for r in range(n_rows)], pa.list_(pa.int32())), pa.array([[1.0]] * n_rows)
+        batch = pa.RecordBatch.from_arrays([ids, vals], names=["ids", "vals"])
+        tracemalloc.start()
+        for block in packed.row_blocks([batch], 500):
+            block.weighted_sums(block.dot(weights))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(8000) < 1.2 * peak(2000)
+
+
 def test_partial_sums_combine_within_a_task(monkeypatch):
     rng = np.random.default_rng(21)
     keys, g = rng.integers(0, 40, 900), rng.integers(0, 9, 900).astype(float)
