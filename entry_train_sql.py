@@ -8,6 +8,8 @@ from entry_sql import FEATURES, GAMMA, LAMBDA, MIN_GAIN, MIN_ROWS, RATE, binary,
 PRIME, FACTOR, SHIFT = 2_147_483_647, 48_271, 1_013_904_223
 LR, ALPHA, SEED, STOP_WINDOW = 0.01, 0.01, 7, 100
 SVM_RATE, SVM_LAMBDA = 0.01, 0.01
+# Iterations of the published logistic regression.
+LR_RUN_STEPS = 300
 
 ZEROS = f"list_transform(range({FEATURES}), lambda f: CAST(0 AS DOUBLE))"
 DOT = "list_dot_product({0}, {1})"
@@ -161,16 +163,21 @@ def curve(name: str, tag: str, every: int) -> str:
     return statement(binary(f"SELECT * FROM {scored}", "class, iteration, split"), scored)
 
 
-def level_summary(tag: str, model: str, kind: str, source: str, key: str) -> str:
-    """The report of the predictions of one level."""
+def run_summary(tag: str, model: str, kind: str, source: str, key: str) -> str:
+    """The report of the predictions of one run."""
     where = f"_{kind}_{tag}"
     evaluation(
         where,
         f"SELECT split, y, prediction, count(*) AS n FROM (SELECT split, y, class AS prediction FROM {source} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {key} DESC, class) = 1) GROUP BY ALL",
         source,
     )
+    return summary(where, model)
+
+
+def level_summary(tag: str, model: str, kind: str, source: str, key: str) -> str:
+    """The report of the predictions of one level."""
     level, rep = tag.rsplit("_", 1)
-    body = summary(where, model)
+    body = run_summary(tag, model, kind, source, key)
     return f"SELECT '{level}' AS level, '{rep}' AS representation, * FROM ({body})"
 
 
@@ -253,6 +260,9 @@ def statements(levels: tuple[str, ...], steps: int, epochs: int, rounds: int, de
     out["lr_curve"] = curve(stochastic(lang, 200, 1e-6), lang, 100)
     stopped = last(stochastic(lang, 300, 5.0))
     out["lr_stop_window"] = statement(f"SELECT class, step AS iterations FROM {stopped}", stopped)
+    scored = scores(full_batch(lang, LR_RUN_STEPS), lang, "+")
+    cte(f"prob_run_{lang}", f"SELECT doc_id, split, y, class, {P.format('z')} AS p FROM {scored}", scored)
+    out["lr_run"] = run_summary(lang, "logistic regression", "run", f"prob_run_{lang}", "p")
     out["svm_ovr_fit"] = model_rows(hinge(lang, epochs))
     out["svm_fit"] = model_rows(hinge(quality, epochs), "class = 1")
     nodes = "SELECT class, round, CAST(node AS INTEGER) AS node_id, feature_id, threshold, round(value, 6) AS value FROM "

@@ -101,6 +101,23 @@ def test_batches_in_row_order(spark, size):
         assert np.allclose(fit.model.weights[i], w, atol=1e-9) and np.isclose(fit.model.bias[i], b, atol=1e-9)
 
 
+@pytest.mark.parametrize("cells", [4_000_000, 0])
+@pytest.mark.parametrize("dense_width", [20_000, 0])
+def test_full_batches_of_several_blocks(spark, monkeypatch, cells, dense_width):
+    """Partial gradients added by the driver and by Spark; rows in blocks of four or more, some of them empty."""
+    monkeypatch.setattr(logreg, "GRADIENT_CELLS", cells)
+    monkeypatch.setattr(packed, "BLOCK_CELLS", 20)
+    monkeypatch.setattr(packed, "DENSE_WIDTH", dense_width)
+    n, width = 50, 5
+    x, y = matrix(5, n, width), np.random.default_rng(6).integers(0, 3, n)
+    x[::7] = 0
+    params = logreg.LogRegParams(lr=0.1, n_iter=4, alpha=0.5, batch_size=None, mode="batch")
+    fit = logreg.lr_ovr_fit(frame(spark, x, y).repartition(3), n, width, (0, 1, 2), params)
+    for i in range(3):
+        w, b, _ = brute.logreg_batches(x, (y == i).astype(int), 0.1, 0.5, 1e-6, 4, n)
+        assert np.allclose(fit.model.weights[i], w, atol=1e-9) and np.isclose(fit.model.bias[i], b, atol=1e-9)
+
+
 @pytest.mark.parametrize("cells", [4_000_000, 170, 20])
 def test_blocks_of_batches_equal_single_batches(spark, monkeypatch, cells):
     """All rows in one block, a chain of blocks, and a job per batch: the same steps, stops and curve."""
