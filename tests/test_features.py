@@ -87,6 +87,23 @@ def test_stored_vectors_equal_fitted_ones(spark):
         assert vectors.exceptAll(again.vectors(docs)).count() == 0 and vectors.count() == 200
 
 
+def test_representations_share_one_count_of_the_texts(spark, monkeypatch, tmp_path):
+    """Null and empty texts, a null id and a repeated one: the same ranks as from a count of their own."""
+    rows = [(0, "Νόμος νόμος ΟΔΟΣ"), (1, "οδος b_1 x"), (2, "x x y"), (2, "x x y"), (3, None), (4, ""), (5, "?! ..."), (None, "x z"), (61, "z z z")]
+    table = spark.createDataFrame([(i, t, "a", "s", 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    counted, fit_vocab = [], vectorize.fit_vocab
+    monkeypatch.setattr(vectorize, "fit_vocab", lambda *a: counted.append(a) or fit_vocab(*a))
+    spaces = {rep: entry_queries.space(spark, str(tmp_path), rep) for rep in vectorize.REPRESENTATIONS}
+    assert len(counted) == 1
+    listed = lambda space: sorted(tuple(r) for r in space.terms.collect())
+    for rep, space in spaces.items():
+        alone = fit_feature_space(entry_queries.documents(spark, str(tmp_path)), space.params)
+        assert space.params.representation == rep and listed(space) == listed(alone)
+        assert (space.n_terms, space.n_train) == (alone.n_terms, alone.n_train)
+    assert {r[0] for r in listed(spaces["bow"])} == {"b_1", "x", "y", "νόμος", "οδος"}
+
+
 def test_nothing_is_cut_without_skip_and_with_room(spark):
     space = fit_feature_space(trio(spark), FeatureParams(10, 0, 0, "bow"))
     assert space.terms.where("kept").count() == 5
